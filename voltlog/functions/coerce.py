@@ -1,9 +1,10 @@
-"""Lenient type coercion of one JSON value, as column expressions.
+"""Lenient type coercion of one JSON value.
 
-Every function takes the value as VARIANT (NULL when the key is absent) and returns
-``(typed value, error text)``. The error is NULL exactly when the value is acceptable.
-They are meant as bodies of ``transform``: limits may differ from element to element and
-are columns, NULL for "no limit".
+The rules are SQL text: each is the body of a ``transform`` over the fields of one kind,
+where ``x`` has ``value`` (VARIANT, NULL when the key is absent), its ``kind`` as
+``schema_of_variant`` names it, its ``text``, and the limits ``low``, ``high`` (NULL for
+none) and ``required`` of the field. A rule gives the typed value and an error text, which
+is NULL exactly when the value is acceptable.
 """
 
 from __future__ import annotations
@@ -38,10 +39,13 @@ LAST_MICRO = 253_402_300_799_999_999
 # --- end of fixed values ------------------------------------------------------
 
 # Characters removed by a text strip, and those trimmed around a number.
-BLANKS = r"[\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-_NUMBER_BLANKS = r"[\x09-\x0d\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_WIDE_BLANKS = r"\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+BLANKS = rf"[\x09-\x0d\x1c-\x20{_WIDE_BLANKS}]"
+_NUMBER_BLANKS = rf"[\x09-\x0d\x20{_WIDE_BLANKS}]"
 
-_DECIMAL_TEXT = r"(?i)^[+-]?(inf|infinity|nan|([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?)\z"
+# All patterns end in \z, as $ would let a final line break pass.
+_DECIMAL_TEXT = r"(?i)^[+-]?(inf|infinity|([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?)\z"
+_NAN_TEXT = r"(?i)^[+-]?nan\z"
 _UNIX_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)\z"
 # Zoned times that Spark's own cast reads the same way; year 0 is none of them.
 PLAIN_INSTANT = (
@@ -54,142 +58,143 @@ _DATE = r"([0-9]{4}-[0-9]{2}-[0-9]{2})"
 _CLOCK = r"[Tt _]((?:[01][0-9]|2[0-3]):[0-5][0-9])(?::([0-5][0-9])(?:[.,]([0-9]+))?)?"
 # The real minus sign U+2212 is as good as a hyphen.
 _ZONE = r"(?:[Zz]|([+\u2212-])([01][0-9]|2[0-3]):?([0-5][0-9]))"
-_ZONED = f"^{_DATE}{_CLOCK}{_ZONE}\\z"
-_NAIVE = f"^{_DATE}(?:{_CLOCK})?\\z"
+_ZONED = rf"^(?!0000){_DATE}{_CLOCK}{_ZONE}\z"
+_NAIVE = rf"^{_DATE}(?:{_CLOCK})?\z"
 
 
 def strip(text: Column) -> Column:
     """Remove white space of any kind at both ends."""
-    return F.regexp_replace(text, f"^{BLANKS}+|{BLANKS}+\\z", "")
+    return F.regexp_replace(text, rf"^{BLANKS}+|{BLANKS}+\z", "")
 
 
 def is_blank(text: Column) -> Column:
     # Nearly every line starts with a brace, which settles it without the pattern.
-    return ~text.startswith("{") & text.rlike(f"^{BLANKS}*\\z")
+    return ~text.startswith("{") & text.rlike(rf"^{BLANKS}*\z")
 
 
-def _kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _is_number(kind: Column) -> Column:
-    return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+def _one_of(words: tuple[str, ...]) -> str:
+    return "(" + ", ".join(map(quoted, words)) + ")"
 
 
-def _as_text(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "string")
+_IS_NUMBER = "(x.kind IN ('BIGINT', 'DOUBLE', 'FLOAT') OR startswith(x.kind, 'DECIMAL'))"
 
+_TEXT_ERROR = f"""CASE
+  WHEN NOT x.required AND coalesce(x.kind = 'VOID', true) THEN NULL
+  WHEN x.kind IS NULL THEN {quoted(MISSING)}
+  WHEN x.kind <> 'STRING' THEN {quoted(NOT_TEXT)}
+  WHEN char_length(x.text) < x.low THEN format_string({quoted(TOO_SHORT)}, x.low)
+  WHEN char_length(x.text) > x.high THEN format_string({quoted(TOO_LONG)}, x.high)
+END"""
 
-def text(value: Column, low: Column, high: Column, required: Column) -> tuple[Column, Column]:
-    kind = _kind(value)
-    content = F.when(kind == "STRING", _as_text(value))
-    error = (
-        F.when(~required & F.coalesce(kind == "VOID", F.lit(True)), F.lit(None).cast("string"))
-        .when(kind.isNull(), MISSING)
-        .when(kind != "STRING", NOT_TEXT)
-        .when(F.char_length(content) < low, F.format_string(TOO_SHORT, low))
-        .when(F.char_length(content) > high, F.format_string(TOO_LONG, high))
-    )
-    return content, error
-
+TEXT = ("CASE WHEN x.kind = 'STRING' THEN x.text END", _TEXT_ERROR)
 
-def vin(value: Column, low: Column, high: Column, required: Column) -> tuple[Column, Column]:
-    """Lengths are those of the raw text; the result is stripped and upper-cased."""
-    content, error = text(value, low, high, required)
-    cleaned = F.upper(strip(content))
-    return cleaned, F.coalesce(error, F.when(F.contains(cleaned, F.lit(" ")), VIN_SPACE))
+# Lengths are those of the raw text; the result is stripped and upper-cased.
+_STRIPPED = f"""upper(regexp_replace(x.text, {quoted(rf'^{BLANKS}+|{BLANKS}+\z')}, ''))"""
+VIN = (
+    f"CASE WHEN x.kind = 'STRING' THEN {_STRIPPED} END",
+    f"coalesce({_TEXT_ERROR}, CASE WHEN contains({_STRIPPED}, ' ') THEN {quoted(VIN_SPACE)} END)",
+)
 
 
-def word(value: Column, allowed: tuple[str, ...]) -> tuple[Column, Column]:
-    kind = _kind(value)
-    content = F.when(kind == "STRING", _as_text(value))
+def word(allowed: tuple[str, ...]) -> tuple[str, str]:
     spelled = ", ".join(f"'{w}'" for w in allowed[:-1]) + f" or '{allowed[-1]}'"
-    error = (
-        F.when(kind.isNull(), MISSING)
-        .when(F.coalesce(content.isin(*allowed), F.lit(False)), F.lit(None))
-        .otherwise(f"Input should be {spelled}")
-    )
-    return content, error
-
-
-def number(value: Column, low: Column, high: Column) -> tuple[Column, Column]:
-    """JSON numbers, booleans and decimal text (with single inner underscores) become doubles."""
-    kind = _kind(value)
-    typed = (
-        F.when(_is_number(kind), F.try_variant_get(value, "$", "double"))
-        .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("double"))
-        .when(kind == "STRING", _decimal_text(_as_text(value)))
-    )
-    # NaN sorts above every number in Spark, but satisfies no limit here.
-    error = (
-        F.when(kind.isNull(), MISSING)
-        .when(typed.isNull(), F.when(kind == "STRING", UNPARSED_NUMBER).otherwise(NOT_NUMBER))
-        .when(high.isNotNull() & (typed > high), F.format_string(TOO_HIGH, high))
-        .when(low.isNotNull() & (F.isnan(typed) | (typed < low)), F.format_string(TOO_LOW, low))
-    )
-    return typed, error
-
-
-def _decimal_text(content: Column) -> Column:
-    single = ~content.startswith("_") & ~content.endswith("_") & ~F.contains(content, F.lit("__"))
-    plain = F.when(
-        F.contains(content, F.lit("_")), F.when(single, F.regexp_replace(content, "_", ""))
-    ).otherwise(F.regexp_replace(content, f"^{_NUMBER_BLANKS}+|{_NUMBER_BLANKS}+\\z", ""))
-    return F.when(plain.rlike(r"(?i)^[+-]?nan\z"), F.lit(float("nan"))).when(
-        plain.rlike(_DECIMAL_TEXT), plain.try_cast("double")
+    return (
+        "CASE WHEN x.kind = 'STRING' THEN x.text END",
+        f"""CASE
+  WHEN x.kind IS NULL THEN {quoted(MISSING)}
+  WHEN x.kind = 'STRING' AND x.text IN {_one_of(allowed)} THEN NULL
+  ELSE {quoted(f'Input should be {spelled}')}
+END""",
     )
 
 
-def flag(value: Column) -> tuple[Column, Column]:
-    kind = _kind(value)
-    amount = F.when(_is_number(kind), F.try_variant_get(value, "$", "double"))
-    spelled = F.when(kind == "STRING", F.lower(_as_text(value)))
-    typed = (
-        F.when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
-        .when((amount == 1) | spelled.isin(*TRUE_WORDS), F.lit(True))
-        .when((amount == 0) | spelled.isin(*FALSE_WORDS), F.lit(False))
-    )
-    whole = (amount == F.rint(amount)) & (F.abs(amount) < float(2**63))
-    error = F.when(kind.isNull(), MISSING).when(
-        typed.isNull(), F.when((kind == "STRING") | whole, UNPARSED_FLAG).otherwise(NOT_FLAG)
-    )
-    return typed, error
-
-
-def instant(value: Column) -> tuple[Column, Column]:
-    """Zoned ISO 8601 text, or unix seconds / milliseconds as number or digit text."""
-    kind = _kind(value)
-    content = F.when(kind == "STRING", _as_text(value))
-    typed = (
-        F.when(content.rlike(_ZONED), _zoned(content))
-        .when(content.rlike(_UNIX_TEXT), _unix(content.try_cast("decimal(38,9)")))
-        .when(_is_number(kind), _unix(F.try_variant_get(value, "$", "decimal(38,9)")))
-    )
-    naive = content.rlike(_NAIVE) & F.substring(content, 1, 10).try_cast("date").isNotNull()
-    error = F.when(kind.isNull(), MISSING).when(
-        typed.isNull(), F.when(naive, NO_ZONE).otherwise(NOT_INSTANT)
-    )
-    return typed, error
-
-
-def _zoned(content: Column) -> Column:
-    """Read the clock as UTC, then take the offset off; Spark itself stops at 18 hours."""
-    part = lambda i: F.regexp_extract(content, _ZONED, i)
-    seconds = F.when(part(3) == "", F.lit("00")).otherwise(part(3))
-    fraction = F.rpad(F.substring(part(4), 1, 6), 6, "0")
-    clock = F.concat(part(1), F.lit("T"), part(2), F.lit(":"), seconds, F.lit("."), fraction, F.lit("Z"))
-    ahead = F.when(
-        part(5) != "", part(6).try_cast("bigint") * 3600 + part(7).try_cast("bigint") * 60
-    ).otherwise(F.lit(0))
-    sign = F.when(part(5) == "+", F.lit(1)).otherwise(F.lit(-1))
-    local = F.when(~content.startswith("0000"), clock.try_cast("timestamp"))
-    return F.timestamp_micros(F.unix_micros(local) - sign * ahead * 1_000_000)
-
-
-def _unix(amount: Column) -> Column:
-    scale = F.when(F.abs(amount) > UNIX_MILLIS_ABOVE, F.lit(1_000)).otherwise(F.lit(1_000_000))
-    micros = F.try_multiply(amount.try_cast("decimal(28,9)"), scale.cast("decimal(7,0)"))
-    micros = F.round(micros, 0)
-    return F.when(
-        micros.between(FIRST_MICRO, LAST_MICRO), F.timestamp_micros(micros.try_cast("bigint"))
-    )
+# Decimal text may be surrounded by blanks, or have single underscores inside, not both.
+_NUMBER_TEXT = f"""CASE
+  WHEN NOT contains(x.text, '_')
+    THEN regexp_replace(x.text, {quoted(rf'^{_NUMBER_BLANKS}+|{_NUMBER_BLANKS}+\z')}, '')
+  WHEN NOT (startswith(x.text, '_') OR endswith(x.text, '_') OR contains(x.text, '__'))
+    THEN replace(x.text, '_', '')
+END"""
+_NUMBER = f"""CASE
+  WHEN {_IS_NUMBER} THEN try_variant_get(x.value, '$', 'double')
+  WHEN x.kind = 'BOOLEAN' THEN CASE WHEN x.text = 'true' THEN 1D ELSE 0D END
+  WHEN x.kind = 'STRING' THEN CASE
+    WHEN ({_NUMBER_TEXT}) RLIKE {quoted(_DECIMAL_TEXT)} THEN try_cast(({_NUMBER_TEXT}) AS double)
+    WHEN ({_NUMBER_TEXT}) RLIKE {quoted(_NAN_TEXT)} THEN double('NaN') END
+END"""
+
+
+def _unix(amount: str) -> str:
+    """Instant of a number of seconds or milliseconds, to the microsecond."""
+    scale = f"CASE WHEN abs({amount}) > {UNIX_MILLIS_ABOVE} THEN 1000 ELSE 1000000 END"
+    micros = f"round(try_multiply(try_cast({amount} AS decimal(28,9)), cast({scale} AS decimal(7,0))), 0)"
+    return f"""CASE WHEN {micros} BETWEEN {FIRST_MICRO} AND {LAST_MICRO}
+  THEN timestamp_micros(try_cast({micros} AS bigint)) END"""
+
+
+def _part(i: int) -> str:
+    return f"regexp_extract(x.text, {quoted(_ZONED)}, {i})"
+
+
+# The clock is read as UTC and the offset taken off, as Spark itself stops at 18 hours.
+_LOCAL = f"""try_cast(concat({_part(1)}, 'T', {_part(2)}, ':',
+  CASE WHEN {_part(3)} = '' THEN '00' ELSE {_part(3)} END, '.',
+  rpad(substring({_part(4)}, 1, 6), 6, '0'), 'Z') AS timestamp)"""
+_AHEAD = f"""CASE {_part(5)} WHEN '' THEN 0 WHEN '+' THEN 1 ELSE -1 END
+  * (coalesce(try_cast({_part(6)} AS bigint), 0) * 3600 + coalesce(try_cast({_part(7)} AS bigint), 0) * 60)"""
+_INSTANT = f"""CASE
+  WHEN x.kind = 'STRING' THEN CASE
+    WHEN x.text RLIKE {quoted(PLAIN_INSTANT)} THEN try_cast(x.text AS timestamp)
+    WHEN x.text RLIKE {quoted(_ZONED)}
+      THEN timestamp_micros(unix_micros({_LOCAL}) - ({_AHEAD}) * 1000000)
+    WHEN x.text RLIKE {quoted(_UNIX_TEXT)} THEN {_unix('try_cast(x.text AS decimal(38,9))')} END
+  WHEN {_IS_NUMBER} THEN {_unix("try_variant_get(x.value, '$', 'decimal(38,9)')")}
+END"""
+
+_AMOUNT = f"CASE WHEN {_IS_NUMBER} THEN try_variant_get(x.value, '$', 'double') END"
+_FLAG = f"""CASE
+  WHEN x.kind = 'BOOLEAN' THEN x.text = 'true'
+  WHEN x.kind = 'STRING' AND lower(x.text) IN {_one_of(TRUE_WORDS)} THEN true
+  WHEN x.kind = 'STRING' AND lower(x.text) IN {_one_of(FALSE_WORDS)} THEN false
+  WHEN ({_AMOUNT}) = 1 THEN true
+  WHEN ({_AMOUNT}) = 0 THEN false
+END"""
+
+# Errors of these three kinds look at the typed value, which they see as x.typed.
+NUMBER = (
+    _NUMBER,
+    f"""CASE
+  WHEN x.kind IS NULL THEN {quoted(MISSING)}
+  WHEN x.typed IS NULL AND x.kind = 'STRING' THEN {quoted(UNPARSED_NUMBER)}
+  WHEN x.typed IS NULL THEN {quoted(NOT_NUMBER)}
+  WHEN x.typed > x.high THEN format_string({quoted(TOO_HIGH)}, x.high)
+  WHEN x.typed < x.low OR (isnan(x.typed) AND x.low IS NOT NULL)
+    THEN format_string({quoted(TOO_LOW)}, x.low)
+END""",
+)
+INSTANT = (
+    _INSTANT,
+    f"""CASE
+  WHEN x.kind IS NULL THEN {quoted(MISSING)}
+  WHEN x.typed IS NOT NULL THEN NULL
+  WHEN x.kind = 'STRING' AND x.text RLIKE {quoted(_NAIVE)}
+    AND try_cast(substring(x.text, 1, 10) AS date) IS NOT NULL THEN {quoted(NO_ZONE)}
+  ELSE {quoted(NOT_INSTANT)}
+END""",
+)
+FLAG = (
+    _FLAG,
+    f"""CASE
+  WHEN x.kind IS NULL THEN {quoted(MISSING)}
+  WHEN x.typed IS NOT NULL THEN NULL
+  WHEN x.kind = 'STRING' THEN {quoted(UNPARSED_FLAG)}
+  WHEN ({_AMOUNT}) = rint({_AMOUNT}) AND abs({_AMOUNT}) < double('9223372036854775808')
+    THEN {quoted(UNPARSED_FLAG)}
+  ELSE {quoted(NOT_FLAG)}
+END""",
+)

@@ -6,10 +6,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltlog.functions import coerce
-from voltlog.operators.lines import parse
-from voltlog.schemas import EVENT_TYPES, FIELD_NAMES, FIELDS, POSITION, Field
+from voltlog.operators.lines import members_sql
+from voltlog.schemas import EVENT, EVENT_TYPES, FIELD_NAMES, FIELDS, POSITION, Field
 
 # --- fixed values: sentences of the batch rules, in reporting order ------------
 DUPLICATE = "duplicate event_id in this batch"
@@ -23,17 +24,28 @@ SCHEMA_PROBLEM = "%s: field '%s' is wrong: %s"
 HOT_IDS = 1_000
 
 
-_KIND_PATTERN = {
-    "text": "STRING",
-    "vin": "STRING",
-    "word": "STRING",
-    "instant": "STRING",
-    "number": r"(BIGINT|DOUBLE|DECIMAL\([0-9]+,[0-9]+\))",
-    "flag": "BOOLEAN",
+# How a value of each kind looks in a line that needs no second look: the natural JSON type,
+# and printable ASCII without escapes. Quantifiers are possessive, so a match is one pass.
+_TEXT_TOKEN = r'"[ !#-\[\]-~]*+"'
+_PLAIN_TOKEN = {
+    "text": _TEXT_TOKEN,
+    "vin": _TEXT_TOKEN,
+    "word": _TEXT_TOKEN,
+    "instant": _TEXT_TOKEN,
+    "number": r"-?+(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+-]?+[0-9]++)?+",
+    "flag": "(?:true|false)",
 }
-_READ_AS = {"text": "string", "vin": "string", "word": "string", "instant": "string",
-            "number": "double", "flag": "boolean"}
-_OPTIONAL_KINDS = "(STRING|VOID|-)"
+_RULES = {
+    "text": coerce.TEXT,
+    "vin": coerce.VIN,
+    "word": coerce.word(EVENT_TYPES),
+    "instant": coerce.INSTANT,
+    "number": coerce.NUMBER,
+    "flag": coerce.FLAG,
+}
+_UNREAD = T.StructType(
+    [T.StructField(f.name, T.StringType() if f.kind == "instant" else EVENT[f.name].dataType) for f in FIELDS]
+)
 
 
 def check_schema(raw: DataFrame) -> DataFrame:
@@ -42,48 +54,36 @@ def check_schema(raw: DataFrame) -> DataFrame:
     The error is that of the first wrong field in contract order; fields outside the
     contract come last, in the order in which the line has them.
 
-    Lines whose values all have their natural JSON type and are within the limits are read
-    directly. All others, wrong or only unusually written, go through ``_examine``, which
-    alone knows every rule.
+    Lines that hold known fields of natural type within the limits, which is nearly all of
+    them, are read directly. All others, wrong or only unusually written, go through
+    ``_examine``, which alone knows every rule.
     """
-    member = lambda f: F.col("members")[f.name]
-    kinds = F.concat_ws(
-        ",", *[F.coalesce(F.schema_of_variant(member(f)), F.lit("-")) for f in FIELDS]
-    )
-    read = parse(raw).select(
-        *POSITION,
-        "value",
-        "members",
-        kinds.alias("kinds"),
-        (F.size("members") - F.col("members")["alert_code"].isNotNull().cast("int")).alias("size"),
-        *[F.try_variant_get(member(f), "$", _READ_AS[f.kind]).alias(f.name) for f in FIELDS],
-    )
-    read = read.select(
+    # The partition number is never negative. Naming it keeps the optimizer from copying the
+    # expressions below into every filter that a caller puts on the result.
+    once = F.spark_partition_id() >= 0
+    direct = F.from_json("value", _UNREAD)
+    read = raw.select(*POSITION, "value", F.when(once & F.col("value").rlike(_plain_line()), direct).alias("read"))
+    typed = read.select(
         *POSITION,
         "value",
-        "members",
-        "kinds",
-        "size",
         *[
-            (F.when(F.col(f.name).rlike(coerce.PLAIN_INSTANT), F.col(f.name).try_cast("timestamp"))
-             if f.kind == "instant" else F.col(f.name)).alias(f.name)
+            (F.when(F.col(f"read.{f.name}").rlike(coerce.PLAIN_INSTANT),
+                    F.col(f"read.{f.name}").try_cast("timestamp"))
+             if f.kind == "instant" else F.col(f"read.{f.name}")).alias(f.name)
             for f in FIELDS
         ],
     )
-    examined = read.select(
-        "*", F.when(F.col("members").isNotNull() & ~_is_plain(), _examine()).alias("examined")
-    )
+    odd = (F.spark_partition_id() >= 0) & ~_is_plain()
+    examined = typed.select("*", F.when(odd, F.expr(_examine_sql())).alias("examined"))
     error = F.col("examined.error")
-    index = {f.name: i for kind in _READ_AS for i, f in enumerate(_of_kind(kind))}
-    careful = lambda f: F.col(f"examined.{f.kind}")[index[f.name]]["typed"]
     return examined.select(
         *POSITION,
-        F.col("members").isNull().alias("broken"),
-        F.when(error.isNotNull(), _written_id()).alias("raw_id"),
+        F.coalesce(F.col("examined.broken"), F.lit(False)).alias("broken"),
+        F.when(error.isNotNull(), F.col("examined.raw_id")).alias("raw_id"),
         error["name"].alias("error_field"),
         error["error"].alias("error_text"),
         *[
-            F.when(F.col("examined").isNull(), F.col(f.name)).otherwise(careful(f)).alias(f.name)
+            F.when(F.col("examined").isNull(), F.col(f.name)).otherwise(_examined_value(f)).alias(f.name)
             for f in FIELDS
         ],
     )
@@ -93,24 +93,35 @@ def _of_kind(kind: str) -> list[Field]:
     return [f for f in FIELDS if f.kind == kind]
 
 
+def _examined_value(f: Field) -> Column:
+    return F.col(f"examined.{f.kind}")[_of_kind(f.kind).index(f)]["typed"]
+
+
+def _plain_line() -> str:
+    """One JSON object with nothing around it, made of known fields of natural type.
+
+    Says nothing about which fields are there, or how often: as with any JSON reader here,
+    the last of several values counts, and all of them have the same type.
+    """
+    members = []
+    for kind, token in _PLAIN_TOKEN.items():
+        names = "|".join(f.name for f in _of_kind(kind) if f.required)
+        members.append(rf'"(?:{names})"\s*+:\s*+{token}')
+    for f in FIELDS:
+        if not f.required:
+            members.append(rf'"{f.name}"\s*+:\s*+(?:null|{_PLAIN_TOKEN[f.kind]})')
+    member = f"(?:{'|'.join(members)})"
+    return rf"^\{{\s*+{member}(?:\s*+,\s*+{member})*+\s*+\}}\z"
+
+
 def _is_plain() -> Column:
-    pattern = ",".join(
-        _KIND_PATTERN[f.kind] if f.required else _OPTIONAL_KINDS for f in FIELDS
-    )
-    rules = [
-        F.col("kinds").rlike(f"^{pattern}\\z"),
-        F.col("size") == len(FIELDS) - 1,
-        F.col("vin").rlike(coerce.PLAIN_VIN),
-        F.col("event_type").isin(*EVENT_TYPES),
-    ]
+    """All required fields were read directly and are within the limits."""
+    rules = [F.col("vin").rlike(coerce.PLAIN_VIN), F.col("event_type").isin(*EVENT_TYPES)]
     for f in FIELDS:
         column = F.col(f.name)
-        if f.kind == "instant":
+        if f.required:
             rules.append(column.isNotNull())
-            continue
         measure = F.char_length(column) if f.kind in ("text", "vin") else column
-        if f.kind == "number":
-            rules.append(~F.isnan(column))
         if f.low is not None:
             rules.append(measure >= f.low)
         if f.high is not None:
@@ -118,79 +129,59 @@ def _is_plain() -> Column:
     return F.coalesce(reduce(lambda a, b: a & b, rules), F.lit(False))
 
 
-def _examine() -> Column:
-    """Typed values and errors by the full rules, one array per kind of field.
+def _examine_sql() -> str:
+    """Typed values and errors of a line by the full rules, one array per kind of field.
 
     Each rule is stated once, as a function over the array of its fields; written out per
-    field the expression would outgrow what the JVM compiles.
+    field the expression would outgrow what the JVM compiles. The one-element arrays around
+    it only give names to values that are used more than once.
     """
-    rule = {
-        "text": lambda x: coerce.text(x["value"], x["low"], x["high"], x["required"]),
-        "vin": lambda x: coerce.vin(x["value"], x["low"], x["high"], x["required"]),
-        "word": lambda x: coerce.word(x["value"], EVENT_TYPES),
-        "instant": lambda x: coerce.instant(x["value"]),
-        "number": lambda x: coerce.number(x["value"], x["low"], x["high"]),
-        "flag": lambda x: coerce.flag(x["value"]),
-    }
-    results = {kind: F.transform(_inputs(kind), _judge(rule[kind])) for kind in rule}
-    first = lambda r: F.struct(r["place"], r["name"], r["error"])
-    errors = F.filter(
-        F.concat(*[F.transform(r, first) for r in results.values()]), lambda e: e["error"].isNotNull()
+    results = ",\n".join(f"'{kind}', {_judged(kind)}" for kind in _RULES)
+    errors = ", ".join(
+        f"transform(r.{kind}, e -> named_struct('place', e.place, 'name', e.name, 'error', e.error))"
+        for kind in _RULES
     )
-    error = F.coalesce(F.array_min(errors), _unknown_field())
-    return F.struct(*[r.alias(kind) for kind, r in results.items()], error.alias("error"))
-
-
-def _inputs(kind: str) -> Column:
-    return F.array(
-        *[
-            F.struct(
-                F.lit(FIELDS.index(f)).alias("place"),
-                F.lit(f.name).alias("name"),
-                F.col("members")[f.name].alias("value"),
-                F.lit(f.low).cast("int").alias("low"),
-                F.lit(f.high).cast("int").alias("high"),
-                F.lit(f.required).alias("required"),
-            )
-            for f in _of_kind(kind)
-        ]
+    known = ", ".join(map(coerce.quoted, FIELD_NAMES))
+    unknown = f"array_except(json_object_keys(value), array({known}))"
+    kinds = ", ".join(f"'{kind}', r.{kind}" for kind in _RULES)
+    return f"""
+transform(transform(array({members_sql("value")}), members -> named_struct(
+  'broken', members IS NULL,
+  'raw_id', {_written_id_sql()},
+  {results}
+)), r -> named_struct('broken', r.broken, 'raw_id', r.raw_id, {kinds},
+  'error', CASE WHEN r.broken THEN NULL ELSE coalesce(
+    array_min(filter(concat({errors}), e -> e.error IS NOT NULL)),
+    CASE WHEN size({unknown}) > 0 THEN named_struct(
+      'place', {len(FIELDS)}, 'name', get({unknown}, 0), 'error', {coerce.quoted(coerce.UNKNOWN_FIELD)}) END
+  ) END))[0]"""
+
+
+def _judged(kind: str) -> str:
+    typed, error = _RULES[kind]
+    fields = ", ".join(
+        f"named_struct('place', {FIELDS.index(f)}, 'name', '{f.name}', 'value', members['{f.name}'], "
+        f"'low', cast({_or_null(f.low)} AS int), 'high', cast({_or_null(f.high)} AS int), "
+        f"'required', {str(f.required).lower()})"
+        for f in _of_kind(kind)
     )
+    given = ", ".join(f"'{c}', x.{c}" for c in ("place", "name", "value", "low", "high", "required"))
+    kept = ", ".join(f"'{c}', x.{c}" for c in ("place", "name", "low", "high", "required", "kind", "text", "value"))
+    return f"""transform(transform(transform(array({fields}),
+  x -> named_struct({given}, 'kind', schema_of_variant(x.value), 'text', try_variant_get(x.value, '$', 'string'))),
+  x -> named_struct({kept}, 'typed', {typed})),
+  x -> named_struct('place', x.place, 'name', x.name, 'typed', x.typed, 'error', {error}))"""
 
 
-def _judge(rule):
-    def judged(x: Column) -> Column:
-        typed, error = rule(x)
-        return F.struct(
-            x["place"].alias("place"), x["name"].alias("name"), error.alias("error"), typed.alias("typed")
-        )
-
-    return judged
+def _or_null(limit: int | None) -> str:
+    return "NULL" if limit is None else str(limit)
 
 
-def _unknown_field() -> Column:
-    known = F.array(*map(F.lit, FIELD_NAMES))
-    unknown = F.array_except(F.json_object_keys("value"), known)
-    return F.when(
-        F.size(unknown) > 0,
-        F.struct(
-            F.lit(len(FIELDS)).alias("place"),
-            F.get(unknown, 0).alias("name"),
-            F.lit(coerce.UNKNOWN_FIELD).alias("error"),
-        ),
-    )
-
-
-def _written_id() -> Column:
+def _written_id_sql() -> str:
     """The id as the line has it, for the report on a line whose fields cannot be trusted."""
-    value = F.col("members")["event_id"]
-    kind = F.schema_of_variant(value)
-    as_text = F.try_variant_get(value, "$", "string")
-    return (
-        F.when(kind.isNull(), "unknown")
-        .when(kind == "VOID", "None")
-        .when(kind == "BOOLEAN", F.initcap(as_text))
-        .otherwise(as_text)
-    )
+    text = "try_variant_get(members['event_id'], '$', 'string')"
+    return f"""CASE coalesce(schema_of_variant(members['event_id']), '')
+  WHEN '' THEN 'unknown' WHEN 'VOID' THEN 'None' WHEN 'BOOLEAN' THEN initcap({text}) ELSE {text} END"""
 
 
 def valid_rows(checked: DataFrame) -> DataFrame:

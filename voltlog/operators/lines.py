@@ -16,24 +16,18 @@ def drop_blank(raw: DataFrame) -> DataFrame:
     return raw.where(~is_blank(F.col("value")))
 
 
-def parse(raw: DataFrame) -> DataFrame:
-    """Add ``members``, the line's JSON object as map of VARIANT, NULL for a broken line.
+def members_sql(line: str) -> str:
+    """The line's JSON object as map of VARIANT, as SQL text; NULL for a broken line.
 
     A lenient JSON reader stops after the first value and ignores the rest of the line.
     The line is therefore parsed as first element of an array that ends with a hash of
     that very line: only if nothing else follows the value is the hash the second element.
     """
-    token = F.xxhash64("value")
-    wrapped = F.try_parse_json(
-        F.concat(F.lit("["), F.col("value"), F.lit(","), token.cast("string"), F.lit("]"))
-    )
-    whole = F.is_valid_utf8("value") & (F.try_variant_get("parsed", "$[1]", "bigint") == token)
-    members = F.try_variant_get("parsed", "$[0]", "map<string,variant>")
-    return (
-        raw.withColumn("parsed", wrapped)
-        .withColumn("members", F.when(whole, members))
-        .drop("parsed")
-    )
+    token = f"xxhash64({line})"
+    return f"""CASE WHEN is_valid_utf8({line}) THEN transform(
+  array(try_parse_json(concat('[', {line}, ',', cast({token} AS string), ']'))),
+  parsed -> CASE WHEN try_variant_get(parsed, '$[1]', 'bigint') = {token}
+                 THEN try_variant_get(parsed, '$[0]', 'map<string,variant>') END)[0] END"""
 
 
 def number_lines(raw: DataFrame, max_blocks: int) -> DataFrame:

@@ -118,7 +118,8 @@ def json_lines(events: DataFrame, defects: bool = False) -> DataFrame:
     place = F.pmod(number, F.lit(100))
     at = lambda n, value, name: F.when(place == n, value).otherwise(fields[name])
     clock = lambda t: F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
-    shown_in_india = F.concat(clock(F.col("event_ts") + F.expr("INTERVAL 330 MINUTES")), F.lit("+05:30"))
+    shifted = iso_utc(F.col("event_ts") + F.expr("INTERVAL 330 MINUTES"))
+    shown_in_india = F.replace(shifted, F.lit("Z"), F.lit("+05:30"))
     changed = {
         **fields,
         "battery_soc": at(1, F.lit(120.0), "battery_soc"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltlog.operators import check, transform
-from voltlog.operators.lines import drop_blank, number_lines, parse
+from voltlog.operators.lines import drop_blank, members_sql, number_lines
 from voltlog.operators.merge import recompute, touched_keys
 from voltlog.schemas import ENRICHED, LEDGER, POSITION, QUARANTINE, TABLES
 from voltlog.session import configure
@@ -199,7 +199,8 @@ def _broken_line(spark, source, rows, checked: DataFrame) -> str:
     files = [(r.path, r.length) for r in rows if r.object_key == key]
     raw = fs.read_lines(spark, source, [path for path, _ in files])
     numbered = number_lines(raw, fs.max_blocks(spark, files))
-    line_no = parse(drop_blank(numbered)).where("members is null").agg(F.min("line_no")).first()[0]
+    broken = drop_blank(numbered).where(f"{members_sql('value')} is null")
+    line_no = broken.agg(F.min("line_no")).first()[0]
     return f"{key} line {line_no} is not a valid JSON object"
 
 
