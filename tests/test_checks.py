@@ -41,7 +41,7 @@ def test_many_events_in_one_batch(spark):
         event(event_id="evt_zones", event_ts="2026-06-06T13:30:00+05:30"),
         event(event_id="evt_wrong_and_twice", speed_mph=-1),
         event(event_id="evt_wrong_and_twice"),
-        event(event_id="evt_all", event_type="alert", event_ts="2026-06-06T09:00:00Z", odometer_miles=0),
+        event(event_id="evt_all_rules", event_type="alert", event_ts="2026-06-06T09:00:00Z", odometer_miles=0),
     ]
     clean, problems = sentences(spark, events)
     assert clean == len(events) - 10
@@ -63,9 +63,9 @@ def test_many_events_in_one_batch(spark):
         "evt_creeping: speed is above 0 but odometer is 0",
         "evt_base_0001: duplicate event_id in this batch",
         "evt_wrong_and_twice: field 'speed_mph' is wrong: Input should be greater than or equal to 0",
-        "evt_all: event_ts is later than ingest_ts",
-        "evt_all: speed is above 0 but odometer is 0",
-        "evt_all: alert event has no alert_code",
+        "evt_all_rules: event_ts is later than ingest_ts",
+        "evt_all_rules: speed is above 0 but odometer is 0",
+        "evt_all_rules: alert event has no alert_code",
     ]
 
 

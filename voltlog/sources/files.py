@@ -44,26 +44,45 @@ def list_files(spark: SparkSession, source: Source) -> DataFrame:
     """All candidate files with size and change time; no content is read.
 
     The listing is Spark's own, so folder names such as ``hour=08`` mean nothing, and names
-    that start with a dot or underscore are not seen.
+    that start with a dot or underscore are not seen. As always with it, the driver holds
+    the names of all files; ``run_batch`` takes an inventory table instead where that is
+    too much.
     """
     if not hadoop.exists(spark, source.folder):
         return spark.createDataFrame([], LISTING)
-    root = hadoop.qualified(spark, source.root).rstrip("/")
-    listed = (
+    scan = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*{source.suffix}")
         .load(source.folder)
-        .select(
-            F.lit(source.root).alias("bucket_name"),
-            F.substr("path", F.lit(len(root) + 2)).alias("object_key"),
-            "path",
-            "length",
-            F.col("modificationTime").alias("modified_at"),
-        )
     )
     # One scan task per file would be a waste for reading three numbers.
-    return listed.coalesce(spark.sparkContext.defaultParallelism * 4)
+    listed = scan.coalesce(spark.sparkContext.defaultParallelism * 4).select(
+        F.lit(source.root).alias("bucket_name"),
+        _key_of(spark, source, F.col("path")).alias("object_key"),
+        "path",
+        "length",
+        F.col("modificationTime").alias("modified_at"),
+    )
+    return listed.unionByName(_empty_files(spark, source, scan, listed))
+
+
+def _empty_files(spark: SparkSession, source: Source, scan: DataFrame, listed: DataFrame) -> DataFrame:
+    """Files without content, which a scan passes over: those the file index has beyond it."""
+    names = spark.createDataFrame([(uri,) for uri in scan.inputFiles()], "uri string")
+    path = _decoded(F.col("uri"))
+    return names.select(
+        F.lit(source.root).alias("bucket_name"),
+        _key_of(spark, source, path).alias("object_key"),
+        path.alias("path"),
+        F.lit(0).cast("bigint").alias("length"),
+        F.timestamp_micros(F.lit(0)).alias("modified_at"),
+    ).join(listed.select("object_key"), "object_key", "left_anti").select(*LISTING.names)
+
+
+def _key_of(spark: SparkSession, source: Source, path: Column) -> Column:
+    root = hadoop.qualified(spark, source.root).rstrip("/")
+    return F.substr(path, F.lit(len(root) + 2))
 
 
 def candidate_report(spark: SparkSession, source: Source) -> DataFrame:
@@ -93,17 +112,18 @@ def with_etags(spark: SparkSession, source: Source, candidates: DataFrame) -> Da
     The driver handles the names of files not seen before, as Spark's file index does.
     """
     rows = candidates.select("path", "length").collect()
-    small = [r.path for r in rows if r.length <= WHOLE_FILE_BYTES]
+    small = [r.path for r in rows if 0 < r.length <= WHOLE_FILE_BYTES]
     large = [(r.path, r.length) for r in rows if r.length > WHOLE_FILE_BYTES]
-    etags = spark.createDataFrame([], "object_key string, etag string")
+    etags = candidates.where("length = 0").select(
+        "object_key", F.md5(F.lit("").cast("binary")).alias("etag")
+    )
     if small:
-        root = hadoop.qualified(spark, source.root).rstrip("/")
         etags = etags.unionByName(
             spark.read.format("binaryFile")
             .option("recursiveFileLookup", "true")
             .load(_literal(small))
             .select(
-                F.substr("path", F.lit(len(root) + 2)).alias("object_key"),
+                _key_of(spark, source, F.col("path")).alias("object_key"),
                 F.md5("content").alias("etag"),
             )
         )
@@ -148,12 +168,11 @@ def read_lines(spark: SparkSession, source: Source, paths: list[str]) -> DataFra
     Any later shuffle or filter leaves the positions as they are, so they can serve as
     order of the records: files by key, lines as in the file.
     """
-    root = hadoop.qualified(spark, source.root).rstrip("/")
     return (
         spark.read.option("recursiveFileLookup", "true")
         .text(_literal(paths))
         .select(
-            F.substr(_decoded(F.col("_metadata.file_path")), F.lit(len(root) + 2)).alias("object_key"),
+            _key_of(spark, source, _decoded(F.col("_metadata.file_path"))).alias("object_key"),
             F.col("_metadata.file_block_start").alias("block_start"),
             F.monotonically_increasing_id().alias("row_id"),
             "value",
