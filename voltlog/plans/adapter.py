@@ -102,6 +102,12 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a table that is too small to be split; larger ones stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def json_lines(events: DataFrame, defects: bool = False) -> DataFrame:
     """Raw lines of the events, all as one file in order of the event number.
 

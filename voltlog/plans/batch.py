@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -230,51 +231,64 @@ def _without_files(checked: DataFrame, files: DataFrame) -> DataFrame:
     )
 
 
+def _together(*steps):
+    """Results of independent steps, whose Spark jobs may share the cluster."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [job.result() for job in [pool.submit(step) for step in steps]]
+
+
 def _prepare(house: Warehouse, enriched: DataFrame, recompute_aggregates: bool) -> list[Pending]:
     """Write the next version of every table; the caller makes them live.
 
     The gate has made sure that event ids are unique, and aggregates are unique by their
     grouping, so the upserts need not check their sources again.
     """
-    events, alerts = house.table("telemetry_enriched"), house.table("alerts")
-    days = distinct_days(enriched, "event_date")
-    replaced = None
-    if recompute_aggregates:
-        replaced = house.stage(
-            "replaced_events",
-            events.replaced_rows(enriched, days).select("vin", "event_date", "event_hour"),
+    events = house.table("telemetry_enriched")
+
+    def upsert_alerts() -> list[Pending]:
+        staged = house.stage("alerts", transform.alerts(enriched))
+        return [house.table("alerts").prepare_upsert(staged, keys_checked=True)]
+
+    if not recompute_aggregates:
+        done = _together(
+            lambda: [events.prepare_upsert(enriched, keys_checked=True)],
+            upsert_alerts,
+            lambda: _prepare_hourly(house, transform.hourly_metrics(enriched)),
+            lambda: _prepare_daily(house, transform.daily_metrics(enriched)),
         )
+        return [version for versions in done for version in versions]
+
+    # The aggregates come from all events, also those loaded earlier, so the events go first.
+    days = distinct_days(enriched, "event_date")
+    replaced = house.stage(
+        "replaced_events",
+        events.replaced_rows(enriched, days).select("vin", "event_date", "event_hour"),
+    )
     new_events = events.prepare_upsert(enriched, keys_checked=True)
-    staged_alerts = house.stage("alerts", transform.alerts(enriched))
-    pending = [new_events, alerts.prepare_upsert(staged_alerts, keys_checked=True)]
-    if recompute_aggregates:
-        return pending + _prepare_recomputed(house, enriched, replaced, new_events, days)
-    hourly = house.stage("vehicle_hourly_metrics", transform.hourly_metrics(enriched))
-    daily = house.stage("daily_metrics", transform.daily_metrics(enriched))
-    sources = {
-        "vehicle_hourly_metrics": hourly,
-        "trip_metrics": transform.trips_of(daily),
-        "battery_health": transform.battery_of(daily),
-    }
-    return pending + [
-        house.table(name).prepare_upsert(rows, keys_checked=True) for name, rows in sources.items()
-    ]
-
-
-def _prepare_recomputed(house: Warehouse, enriched: DataFrame, replaced: DataFrame,
-                        new_events: Pending, days: set[dt.date]) -> list[Pending]:
-    """Aggregates of the touched hours and days from all events, also those loaded earlier."""
-    days = days | distinct_days(replaced, "event_date")
-    events = new_events.read().where(F.col("event_date").isin(sorted(days)))
+    days |= distinct_days(replaced, "event_date")
+    all_events = new_events.read().where(F.col("event_date").isin(sorted(days)))
     hour, day = ("vin", "event_hour"), ("vin", "event_date")
     hours = house.stage("touched_hours", touched_keys(enriched, replaced, hour))
     dates = house.stage("touched_days", touched_keys(enriched, replaced, day))
-    hourly = house.stage(
-        "vehicle_hourly_metrics", recompute(transform.hourly_metrics, events, hours, hour)
+    done = _together(
+        upsert_alerts,
+        lambda: _prepare_hourly(
+            house, recompute(transform.hourly_metrics, all_events, hours, hour), hours),
+        lambda: _prepare_daily(
+            house, recompute(transform.daily_metrics, all_events, dates, day), dates),
     )
-    daily = house.stage("daily_metrics", recompute(transform.daily_metrics, events, dates, day))
-    return [
-        house.table("vehicle_hourly_metrics").prepare_upsert(hourly, hours, keys_checked=True),
-        house.table("trip_metrics").prepare_upsert(transform.trips_of(daily), dates, keys_checked=True),
-        house.table("battery_health").prepare_upsert(transform.battery_of(daily), dates, keys_checked=True),
-    ]
+    return [new_events, *(version for versions in done for version in versions)]
+
+
+def _prepare_hourly(house: Warehouse, hourly: DataFrame, replaced: DataFrame | None = None) -> list[Pending]:
+    staged = house.stage("vehicle_hourly_metrics", hourly)
+    return [house.table("vehicle_hourly_metrics").prepare_upsert(staged, replaced, keys_checked=True)]
+
+
+def _prepare_daily(house: Warehouse, daily: DataFrame, replaced: DataFrame | None = None) -> list[Pending]:
+    staged = house.stage("daily_metrics", daily)
+    sources = {"trip_metrics": transform.trips_of(staged), "battery_health": transform.battery_of(staged)}
+    return _together(*[
+        partial(house.table(name).prepare_upsert, rows, replaced, keys_checked=True)
+        for name, rows in sources.items()
+    ])

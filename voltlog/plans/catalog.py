@@ -54,16 +54,27 @@ def _row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- lines and checks ---------------------------------------------------------
 
 
+@lru_cache(maxsize=4)
+def _lines_folder(spark: SparkSession, sf_dir: str, defects: bool) -> str:
+    folder = scratch_folder(spark)
+    adapter.json_lines(adapter.spread(adapter.telemetry(spark, sf_dir)), defects).write.parquet(folder)
+    return folder
+
+
+def _lines(spark: SparkSession, sf_dir: str, defects: bool) -> DataFrame:
+    """The events as written lines, so that reading them is a job of its own, as in a run."""
+    return spark.read.parquet(_lines_folder(spark, sf_dir, defects))
+
+
 def _parsed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return check.clean_events(check.check_schema(adapter.json_lines(adapter.telemetry(spark, sf_dir))))
+    return check.clean_events(check.check_schema(_lines(spark, sf_dir, defects=False)))
 
 
 @lru_cache(maxsize=4)
 def _checked_folder(spark: SparkSession, sf_dir: str) -> str:
     """Checked lines with defects, written as a run does before it looks at the result."""
     folder = scratch_folder(spark)
-    lines = adapter.json_lines(adapter.telemetry(spark, sf_dir), defects=True)
-    check.check_schema(lines).write.parquet(folder)
+    check.check_schema(_lines(spark, sf_dir, defects=True)).write.parquet(folder)
     return folder
 
 
@@ -222,6 +233,13 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def forget_written_tables() -> None:
+    """Make the next query write its intermediate tables anew."""
+    _lines_folder.cache_clear()
+    _checked_folder.cache_clear()
+    _loaded.cache_clear()
+
+
 def queries() -> dict[str, Query]:
     def prepared(query: Query) -> Query:
         return lambda spark, sf_dir: adapter.comparable(query(configure(spark), sf_dir))
