@@ -1,0 +1,67 @@
+"""What the plans must and must not contain."""
+
+from pathlib import Path
+
+import pytest
+from helpers import event, raw_events
+
+from voltlog.operators import check, merge, transform
+from voltlog.plans import adapter
+from voltlog.schemas import ENRICHED
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def enriched(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("enriched") / "t")
+    clean, _ = check.check_records(raw_events(spark, [event()]))
+    transform.enrich(clean).write.parquet(folder)
+    return spark.read.schema(ENRICHED).parquet(folder)
+
+
+def test_no_python_in_any_plan(spark, enriched):
+    checked = check.check_schema(raw_events(spark, [event()]))
+    frames = [check.problems(checked), *transform.build_tables(check.clean_events(checked)).values(),
+              merge.upsert(enriched, enriched, ["event_id"])]
+    for df in frames:
+        text = plan(df)
+        assert "Python" not in text and "ArrowEval" not in text
+        assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_a_filter_does_not_copy_the_checks(spark):
+    checked = check.check_schema(raw_events(spark, [event()]))
+    assert plan(check.clean_events(checked)).count("try_parse_json") <= plan(checked).count("try_parse_json")
+
+
+def test_aggregates_combine_before_one_shuffle(enriched):
+    for df in (transform.hourly_metrics(enriched), transform.daily_metrics(enriched),
+               check.repeated_ids(enriched)):
+        text = plan(df)
+        assert text.count("Exchange hashpartitioning") == 1
+        assert "SortAggregate" not in text
+        assert text.count("HashAggregate") == 2 and "partial_count" in text
+
+
+def test_scans_read_only_what_they_need(enriched):
+    text = plan(transform.battery_health(enriched))
+    schema = text.split("ReadSchema: ")[1].split("\n")[0]
+    assert "latitude" not in schema and "event_id" not in schema and "battery_soc" in schema
+    alerts = plan(transform.alerts(enriched))
+    assert "EqualTo(event_type,alert)" in alerts.split("PushedFilters: ")[1].split("]")[0]
+
+
+def test_trip_filter_runs_before_the_shuffle(enriched):
+    text = plan(transform.trip_metrics(enriched))
+    assert "EqualTo(is_moving,true)" in text or "is_moving" in text.split("PushedFilters: ")[1].split("]")[0]
+
+
+@pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test data")
+def test_daily_figures_share_one_shuffle(spark):
+    daily = transform.daily_metrics(transform.enrich(adapter.telemetry(spark, SF_DIR)))
+    assert plan(daily).count("Exchange hashpartitioning") == 1

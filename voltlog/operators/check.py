@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -232,32 +232,37 @@ def row_problems(checked: DataFrame) -> DataFrame:
 
 
 def repeated_ids(rows: DataFrame) -> DataFrame:
-    """``event_id``, its first position and how often it occurs, for ids that occur twice or more.
+    """``event_id`` and number of ``occurrences``, for ids that occur twice or more.
 
-    A plain aggregation: rows of one id are combined before the shuffle, however many they are.
+    Nothing but ids crosses the shuffle, and the copies of one id only as a count per task.
     """
-    return (
-        rows.groupBy("event_id")
-        .agg(F.min(F.struct(*POSITION)).alias("first_position"), F.count(F.lit(1)).alias("occurrences"))
-        .where("occurrences > 1")
-    )
+    return rows.groupBy("event_id").agg(F.count(F.lit(1)).alias("occurrences")).where("occurrences > 1")
 
 
 def later_duplicates(rows: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """Every occurrence of an id after its first one, in listing order.
 
-    The most frequent ids are matched by a broadcast of at most ``HOT_IDS`` rows, so that
-    their copies stay where they are; the other ids are joined by shuffle. ``repeated`` is
-    the result of ``repeated_ids`` if it has been written already.
+    The copies of the most frequent ids stay where they are: their first positions are an
+    aggregate of at most ``HOT_IDS`` rows, which is broadcast. Only rows of the other
+    repeated ids are brought together by id. ``repeated`` is the result of ``repeated_ids``
+    if it has been written already.
     """
     rows = rows.select(*POSITION, "event_id")
     repeated = repeated_ids(rows) if repeated is None else repeated
-    hot = F.broadcast(repeated.orderBy(F.desc("occurrences"), "event_id").limit(HOT_IDS))
-    rest = repeated.join(hot.select("event_id"), "event_id", "left_anti")
-    hot_rows = rows.join(hot, "event_id")
-    other_rows = rows.join(hot.select("event_id"), "event_id", "left_anti").join(rest, "event_id")
-    later = F.struct(*POSITION) > F.col("first_position")
-    return hot_rows.unionByName(other_rows).where(later).select(*POSITION, "event_id")
+    hot = F.broadcast(
+        repeated.orderBy(F.desc("occurrences"), "event_id").limit(HOT_IDS).select("event_id")
+    )
+    position = F.struct(*POSITION)
+    hot_rows = rows.join(hot, "event_id", "left_semi")
+    first = hot_rows.groupBy("event_id").agg(F.min(position).alias("first_position"))
+    hot_later = hot_rows.join(F.broadcast(first), "event_id").where(position > F.col("first_position"))
+
+    rest = repeated.join(hot, "event_id", "left_anti").select("event_id")
+    rest_rows = rows.join(hot, "event_id", "left_anti").join(rest, "event_id", "left_semi")
+    occurrence = F.row_number().over(Window.partitionBy("event_id").orderBy(*POSITION))
+    rest_later = rest_rows.withColumn("occurrence", occurrence).where("occurrence > 1")
+    columns = [*POSITION, "event_id"]
+    return hot_later.select(*columns).unionByName(rest_later.select(*columns))
 
 
 def duplicate_problems(checked: DataFrame, repeated: DataFrame | None = None) -> DataFrame:

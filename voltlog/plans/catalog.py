@@ -99,9 +99,7 @@ def _gate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return check.repeated_ids(check.valid_rows(_checked(spark, sf_dir))).select(
-        "event_id", F.col("first_position.row_id").alias("first_row"), "occurrences"
-    )
+    return check.repeated_ids(check.valid_rows(_checked(spark, sf_dir)))
 
 
 def _json_lines_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -404,8 +402,7 @@ FROM battery JOIN moving USING (vin, event_date) LEFT JOIN trips USING (vin, eve
   (SELECT count(*) FROM valid WHERE speed_mph > 0 AND odometer_miles = 0) AS no_odometer,
   (SELECT count(*) FROM valid WHERE event_type = 'alert' AND alert_code IS NULL) AS no_alert_code
 FROM lines""",
-        "repeated_ids": f"""{_LINES} SELECT event_id, min(n) AS first_row, count(*) AS occurrences
-FROM valid GROUP BY event_id HAVING count(*) > 1""",
+        "repeated_ids": f"""{_LINES} SELECT event_id, count(*) AS occurrences FROM valid GROUP BY event_id HAVING count(*) > 1""",
         "new_files": f"""WITH {_TELEM}, {adapter.SPLIT_SQL}, files AS ({_vehicle_files_sql('telem')}),
 ledger AS ({_vehicle_files_sql('first_batch')})
 SELECT * FROM files WHERE NOT EXISTS
