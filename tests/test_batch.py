@@ -188,7 +188,6 @@ def test_large_files_are_fingerprinted_by_line(site, spark, monkeypatch):
         return with_etags(spark, site.source, list_files(spark, site.source)).first()["etag"]
 
     whole = etag()
-    monkeypatch.setitem(site.__dict__, "unused", None)
     with_small_splits = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "1"}
     before = {k: spark.conf.get(k) for k in with_small_splits}
     try:
@@ -206,3 +205,20 @@ def test_large_files_are_fingerprinted_by_line(site, spark, monkeypatch):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_many_problems_and_many_bad_files(site, monkeypatch):
+    from voltlog.plans import batch
+
+    monkeypatch.setattr(batch, "FEW_FILES", 0)
+    bad = [event(event_id=f"evt_bad_{i:04d}", latitude=91 + i) for i in range(50)]
+    for i in range(5):
+        site.put(f"bad{i}.jsonl", bad[i * 10:i * 10 + 10] + [event(event_id=f"evt_fine_{i}")])
+    site.put("good.jsonl", sample_batch())
+    with pytest.raises(BatchRejected, match="and 30 more") as error:
+        site.run()
+    assert str(error.value).splitlines()[1].startswith("evt_bad_0000: field 'latitude' is wrong")
+    assert site.house.staged("problems").count() == 50
+    result = site.run(quarantine_bad_files=True)
+    assert (result.files, result.quarantined, result.events) == (1, 5, 6)
+    assert site.counts() == [6, 3, 2, 2, 1]

@@ -153,3 +153,11 @@ def test_duplicates_with_a_hot_id(spark, monkeypatch, hot_ids):
             expected.add((key, block, row))
         seen.add(name)
     assert got == expected
+
+
+def test_very_long_line(spark):
+    members = ",".join(f'"speed_mph": {i % 90}' for i in range(50_000))
+    lines = [GOOD[:-1] + "," + members + "}", GOOD[:-1] + "," + members + ', "note": 1}']
+    rows = sorted(check.check_schema(raw_lines(spark, lines)).collect(), key=lambda r: r["row_id"])
+    assert [r["error_field"] for r in rows] == [None, "note"]
+    assert rows[0]["speed_mph"] == float(49_999 % 90)

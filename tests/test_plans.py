@@ -65,3 +65,14 @@ def test_trip_filter_runs_before_the_shuffle(enriched):
 def test_daily_figures_share_one_shuffle(spark):
     daily = transform.daily_metrics(transform.enrich(adapter.telemetry(spark, SF_DIR)))
     assert plan(daily).count("Exchange hashpartitioning") == 1
+
+
+def test_joins_with_aggregates_come_after_them(enriched):
+    keys = ["vin", "event_hour"]
+    hourly = transform.hourly_metrics(enriched)
+    touched = merge.touched_keys(enriched, enriched, keys)
+    for df in (merge.upsert(hourly, transform.hourly_metrics(enriched), keys),
+               merge.recompute(transform.hourly_metrics, enriched, touched, keys)):
+        text = plan(df)
+        assert "LeftSemi" not in text and "LeftAnti" not in text
+        assert 0 < text.index("Join") < text.index("partial_avg")

@@ -1,4 +1,4 @@
-"""Upsert by key as anti join plus union, and the guards on its source."""
+"""Upsert by key as join plus union, and the guards on its source."""
 
 from __future__ import annotations
 
@@ -15,8 +15,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
     With ``replaced``, its keys leave the target instead of those of the source.
     """
-    gone = (source if replaced is None else replaced).select(*keys)
-    return target.join(gone, list(keys), "left_anti").unionByName(source)
+    gone = (source if replaced is None else replaced).select(*keys, F.lit(True).alias("is_gone"))
+    # Not written as anti join: where the target is an aggregate, the optimizer would move that
+    # below it, and compare every single row of a large group instead of one per group.
+    kept = target.join(gone, list(keys), "left").where(F.col("is_gone").isNull())
+    return kept.select(*target.columns).unionByName(source)
 
 
 def key_violations(source: DataFrame, keys: Sequence[str], required: Sequence[str] = ()) -> DataFrame:
@@ -35,9 +38,10 @@ def touched_keys(source: DataFrame, replaced: DataFrame, keys: Sequence[str]) ->
 
 
 def recompute(aggregate, enriched: DataFrame, touched: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Fresh aggregate rows for the touched keys, from all events.
+    """Fresh aggregate rows for the touched keys, which are distinct, from all events.
 
     Aggregates before it joins, so a group with very many events crosses the shuffle as one
-    row per task.
+    row per task. A semi join would be moved below the aggregation.
     """
-    return aggregate(enriched).join(touched, list(keys), "left_semi")
+    fresh = aggregate(enriched)
+    return fresh.join(touched, list(keys)).select(*fresh.columns)
