@@ -56,36 +56,23 @@ def check_schema(raw: DataFrame) -> DataFrame:
 
     Lines that hold known fields of natural type within the limits, which is nearly all of
     them, are read directly. All others, wrong or only unusually written, go through
-    ``_examine``, which alone knows every rule.
+    ``_examine_sql``, which alone knows every rule.
     """
     # The partition number is never negative. Naming it keeps the optimizer from copying the
     # expressions below into every filter that a caller puts on the result.
     once = F.spark_partition_id() >= 0
     direct = F.from_json("value", _UNREAD)
     read = raw.select(*POSITION, "value", F.when(once & F.col("value").rlike(_plain_line()), direct).alias("read"))
-    typed = read.select(
-        *POSITION,
-        "value",
-        *[
-            (F.when(F.col(f"read.{f.name}").rlike(coerce.PLAIN_INSTANT),
-                    F.col(f"read.{f.name}").try_cast("timestamp"))
-             if f.kind == "instant" else F.col(f"read.{f.name}")).alias(f.name)
-            for f in FIELDS
-        ],
-    )
-    odd = (F.spark_partition_id() >= 0) & ~_is_plain()
+    typed = read.selectExpr(*POSITION, "value", *map(_read_sql, FIELDS))
+    odd = once & ~_is_plain()
     examined = typed.select("*", F.when(odd, F.expr(_examine_sql())).alias("examined"))
-    error = F.col("examined.error")
-    return examined.select(
+    return examined.selectExpr(
         *POSITION,
-        F.coalesce(F.col("examined.broken"), F.lit(False)).alias("broken"),
-        F.when(error.isNotNull(), F.col("examined.raw_id")).alias("raw_id"),
-        error["name"].alias("error_field"),
-        error["error"].alias("error_text"),
-        *[
-            F.when(F.col("examined").isNull(), F.col(f.name)).otherwise(_examined_value(f)).alias(f.name)
-            for f in FIELDS
-        ],
+        "coalesce(examined.broken, false) AS broken",
+        "CASE WHEN examined.error IS NOT NULL THEN examined.raw_id END AS raw_id",
+        "examined.error.name AS error_field",
+        "examined.error.error AS error_text",
+        *[f"CASE WHEN examined IS NULL THEN {f.name} ELSE {_examined_sql(f)} END AS {f.name}" for f in FIELDS],
     )
 
 
@@ -93,8 +80,15 @@ def _of_kind(kind: str) -> list[Field]:
     return [f for f in FIELDS if f.kind == kind]
 
 
-def _examined_value(f: Field) -> Column:
-    return F.col(f"examined.{f.kind}")[_of_kind(f.kind).index(f)]["typed"]
+def _read_sql(f: Field) -> str:
+    if f.kind != "instant":
+        return f"read.{f.name} AS {f.name}"
+    plain = f"read.{f.name} RLIKE {coerce.quoted(coerce.PLAIN_INSTANT)}"
+    return f"CASE WHEN {plain} THEN try_cast(read.{f.name} AS timestamp) END AS {f.name}"
+
+
+def _examined_sql(f: Field) -> str:
+    return f"examined.{f.kind}[{_of_kind(f.kind).index(f)}].typed"
 
 
 def _plain_line() -> str:
@@ -116,17 +110,17 @@ def _plain_line() -> str:
 
 def _is_plain() -> Column:
     """All required fields were read directly and are within the limits."""
-    rules = [F.col("vin").rlike(coerce.PLAIN_VIN), F.col("event_type").isin(*EVENT_TYPES)]
+    words = ", ".join(map(coerce.quoted, EVENT_TYPES))
+    rules = [f"vin RLIKE {coerce.quoted(coerce.PLAIN_VIN)}", f"event_type IN ({words})"]
     for f in FIELDS:
-        column = F.col(f.name)
         if f.required:
-            rules.append(column.isNotNull())
-        measure = F.char_length(column) if f.kind in ("text", "vin") else column
+            rules.append(f"{f.name} IS NOT NULL")
+        measure = f"char_length({f.name})" if f.kind in ("text", "vin") else f.name
         if f.low is not None:
-            rules.append(measure >= f.low)
+            rules.append(f"{measure} >= {f.low}")
         if f.high is not None:
-            rules.append(measure <= f.high)
-    return F.coalesce(reduce(lambda a, b: a & b, rules), F.lit(False))
+            rules.append(f"{measure} <= {f.high}")
+    return F.expr(f"coalesce({' AND '.join(rules)}, false)")
 
 
 def _examine_sql() -> str:
