@@ -1,4 +1,4 @@
-"""Checks of a batch: the reference cases, strict JSON, reporting order, hot duplicates."""
+"""Checks of a batch: the known cases, strict JSON, reporting order, hot duplicates."""
 
 import json
 
