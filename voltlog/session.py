@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -41,10 +40,9 @@ def local_session(cpus: int | str = 8, app_name: str = "voltlog", memory: str =
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A fresh folder below the shared one named in ``spark.checkpoint.dir``."""
+    """A fresh folder below the shared one named in ``spark.checkpoint.dir``, or in the warehouse if unset."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="voltlog-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+        spark.sparkContext.setCheckpointDir(shared)
     return f"{shared.rstrip('/')}/voltlog-{uuid.uuid4().hex}"
