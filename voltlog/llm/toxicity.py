@@ -10,17 +10,19 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltlog.llm.common import labelled_texts, stored
 
 WORD = re.compile(r"[^\W\d_]+")
+#: Besides words, their beginnings of these lengths have log-odds, written with a hyphen.
+PREFIXES = (8, 7, 6, 5)
 SEGMENT = "start int, end int, score double, expected double"
 
 
@@ -40,7 +42,7 @@ class Model:
     weights: tuple[float, ...]
 
 
-def segments(scores: list[tuple[int, float]], words: int, drift: float) -> list[tuple[int, int, float]]:
+def segments(scores: list[tuple[int, float]], drift: float) -> list[tuple[int, int, float]]:
     """All maximal scoring segments as (first word, behind the last, score), in order.
 
     ``scores`` are places and scores of the known words; all others score ``drift`` (negative).
@@ -68,12 +70,33 @@ def segments(scores: list[tuple[int, float]], words: int, drift: float) -> list[
     return [(int(a), int(b), behind - before) for a, b, before, behind in open_]
 
 
-def found_in(text: str, model: Model) -> tuple[int, list[tuple[int, int, float]]]:
+class WordOdds(dict):
+    """Score of a word: that of the word itself if known, else of its longest known beginning, else 0.
+
+    Words already met are kept, up to a bound; further ones are looked up each time.
+    """
+
+    def __init__(self, odds: dict[str, float]):
+        super().__init__()
+        self.odds = odds
+
+    def __missing__(self, word: str) -> float:
+        score = self.odds.get(word, 0.0)
+        for n in PREFIXES:
+            if score:
+                break
+            if len(word) > n:
+                score = self.odds.get(f"{word[:n]}-", 0.0)
+        if len(self) < 500_000:
+            self[word] = score
+        return score
+
+
+def found_in(text: str, model: Model, odds: WordOdds) -> tuple[int, list[tuple[int, int, float]]]:
     """Number of words of the text, and its maximal segments."""
     words = WORD.findall(text.lower())
-    odds = model.odds
-    hits = [(i, odds[w]) for i, w in enumerate(words) if w in odds]
-    return len(words), segments(hits, len(words), model.drift) if hits else []
+    hits = [(i, score) for i, w in enumerate(words) if (score := odds[w])]
+    return len(words), segments(hits, model.drift)
 
 
 def evidence(words: int, parts: list[tuple[int, int, float]], model: Model) -> tuple[float, float, float]:
@@ -89,33 +112,56 @@ def probability(x: tuple[float, float, float], weights: tuple[float, ...]) -> fl
     return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def _log_odds(sample: DataFrame, prior: float, most_words: int, least_z: float) -> dict[str, float]:
-    """Words whose use differs clearly between the classes, with their log-odds."""
-    words = sample.select(
-        "label", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word")
+def _longer_than(n: int) -> Callable[[Column], Column]:
+    return lambda word: F.length(word) > n
+
+
+def _beginning(n: int) -> Callable[[Column], Column]:
+    return lambda word: F.concat(F.left(word, F.lit(n)), F.lit("-"))
+
+
+def _token_counts(sample: DataFrame) -> DataFrame:
+    """Per token, how many texts of either half hold it (``all0``, ``all1``), and how many of label 1.
+
+    A token counts once per text, so a text that repeats one word does not make it typical.
+    """
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))
+    begun = [F.transform(F.filter("words", _longer_than(n)), _beginning(n)) for n in PREFIXES]
+    tokens = sample.select("half", "label", words.alias("words")).select(
+        "half", "label", F.explode(F.array_distinct(F.concat("words", *begun))).alias("token")
+    )
+    return tokens.groupBy("token").agg(
+        *[F.count_if(F.col("half") == h).cast("double").alias(f"all{h}") for h in (0, 1)],
+        *[F.count_if((F.col("half") == h) & (F.col("label") == 1)).cast("double").alias(f"ones{h}") for h in (0, 1)],
     )
-    counts = stored(
-        words.groupBy("word").agg(
-            F.sum("label").cast("double").alias("ones"), F.count(F.lit(1)).cast("double").alias("all")
-        ).where(F.col("all") >= 5)
+
+
+def _log_odds(
+    counts: DataFrame, halves: tuple[int, ...], prior: float, most_words: int, least_z: float
+) -> dict[str, float]:
+    """Words and beginnings of words that clearly differ between the classes, with their log-odds."""
+    counts = counts.select(
+        "token",
+        sum(F.col(f"all{h}") for h in halves).alias("all"),
+        sum(F.col(f"ones{h}") for h in halves).alias("ones"),
     )
-    sums = words.agg(F.sum("label").alias("ones"), F.count(F.lit(1)).alias("all")).first()
+    sums = counts.agg(F.sum("ones").alias("ones"), F.sum("all").alias("all")).first()
     n, n1 = float(sums["all"] or 0), float(sums["ones"] or 0)
     n0 = n - n1
     if n1 == 0 or n0 == 0:
         return {}
-    own = F.col("all") / n * prior
+    own = F.col("all") / n * prior + 0.5
     y1, y0 = F.col("ones") + own, F.col("all") - F.col("ones") + own
     delta = F.log(y1 / (F.lit(n1 + prior) - y1)) - F.log(y0 / (F.lit(n0 + prior) - y0))
     z = delta / F.sqrt(1 / y1 + 1 / y0)
     best = (
-        counts.select("word", delta.alias("delta"), z.alias("z"))
+        counts.where(F.col("all") >= 4).select("token", delta.alias("delta"), z.alias("z"))
         .where((F.abs("z") >= least_z) & F.col("delta").isNotNull())
-        .orderBy(F.desc(F.abs("z")), "word")
+        .orderBy(F.desc(F.abs("z")), "token")
         .limit(most_words)
         .collect()
     )
-    return {r["word"]: max(-2.0, min(8.0, r["delta"])) for r in best}
+    return {r["token"]: max(-2.0, min(8.0, r["delta"])) for r in best}
 
 
 def _extreme_value_law(tops: np.ndarray, words: np.ndarray) -> tuple[float, float]:
@@ -151,30 +197,33 @@ def fit(
     sample_rows: int = 30_000,
     prior: float = 500.0,
     most_words: int = 20_000,
-    least_z: float = 4.0,
+    least_z: float = 3.2,
     drift: float = -0.15,
 ) -> Model:
     """The model, from at most ``sample_rows`` labelled rows that are not held out.
 
     ``most_words`` bounds the table of log-odds, ``least_z`` is how many standard deviations a
-    word's log-odds must differ from 0. Half of the sample, by hash, gives the log-odds; the other
-    half the extreme-value law and the weights, so that words learned by heart don't count.
-    Without labels of both kinds every text gets one half of the share of label 1, or 0.
+    word's log-odds must differ from 0. The extreme-value law and the weights are learned from texts
+    scored with the log-odds of the other half of the sample, so that words learned by heart don't
+    count; the model's own log-odds use both halves. Without labels of both kinds every text gets
+    half the share of label 1, or 0.
     """
-    sample = stored(labelled_texts(docs, labels, target, sample_rows))
-    half = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(2)) == 0
-    odds = _log_odds(sample.where(half), prior, most_words, least_z)
+    half = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(2)).cast("int")
+    sample = stored(labelled_texts(docs, labels, target, sample_rows).withColumn("half", half))
+    counts = stored(_token_counts(sample))
+    first, second, odds = (_log_odds(counts, h, prior, most_words, least_z) for h in ((0,), (1,), (0, 1)))
     model = Model(odds, drift, 1.0, 0.05, (-8.0, 1.0, 1.0))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        other = WordOdds(second), WordOdds(first)
         for batch in batches:
             rows = []
-            for text, label in zip(batch["text"], batch["label"], strict=True):
-                words, parts = found_in(text, model)
+            for text, label, h in zip(batch["text"], batch["label"], batch["half"], strict=True):
+                words, parts = found_in(text, model, other[h])
                 rows.append((label, words, [float(s) for _, _, s in parts]))
             yield pd.DataFrame(rows, columns=["label", "words", "scores"])
 
-    rows = sample.where(~half).mapInPandas(measure, "label int, words int, scores array<double>").collect()
+    rows = sample.mapInPandas(measure, "label int, words int, scores array<double>").collect()
     label = np.array([r["label"] for r in rows], dtype=float)
     if not odds or len(set(label)) < 2:
         share = float(label.mean()) / 2 if len(label) else 0.0
@@ -199,10 +248,11 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     @F.pandas_udf(f"score double, passages array<struct<{SEGMENT.replace(' ', ':').replace(',:', ',')}>>")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        odds = WordOdds(model.odds)
         for batch in batches:
             out = []
             for body in batch:
-                words, parts = found_in(body, model)
+                words, parts = found_in(body, model, odds)
                 expected = [model.size * max(words, 1) * math.exp(-model.rate * s) for _, _, s in parts]
                 out.append(
                     (
