@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlog.llm import licenses, packing, quality, shards, toxicity, url_filter
+from voltlog.llm import decontaminate, licenses, neighbours, packing, quality, shards, toxicity, url_filter
 from voltlog.llm.common import held_out, read, utf8
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,12 @@ def op3_first_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items found in documents; documents without any have no row."""
+    out = decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "item_id", "start", "matched", F.col("score").alias("overlap"))
+
+
 def op5_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
@@ -102,6 +108,11 @@ def op7_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_small_world_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.search(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
