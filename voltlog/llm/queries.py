@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlog.llm import decontaminate, licenses, neighbours, packing, quality, shards, toxicity, url_filter
+from voltlog.llm import decontaminate, licenses, neighbours, packing, pii, quality, shards, toxicity, url_filter
 from voltlog.llm.common import held_out, read, utf8
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +113,23 @@ def op9_small_world_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op10_personal_data_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pii.scan(docs, pii.fit(docs))
+    counts = [
+        F.size(F.filter("base", _is_kind(i))).cast("long").alias(f"n_{kind}") for i, kind in enumerate(pii.STRICT)
+    ]
+    return out.select(
+        "doc_id", *counts,
+        F.sha2(pii.written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.written(F.col("spans")).alias("spans"),
+    )
+
+
+def _is_kind(i: int) -> Callable[[Column], Column]:
+    return lambda span: span["kind"] == i
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
