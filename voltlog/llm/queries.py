@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlog.llm import decontaminate, licenses, neighbours, packing, pii, quality, shards, toxicity, url_filter
+from voltlog.llm import decontaminate, jaccard, licenses, neighbours, packing, pii, quality, shards, toxicity, url_filter
 from voltlog.llm.common import held_out, read, utf8
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,6 +108,11 @@ def op7_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_signature_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard.join(read(spark, sf_dir, "documents").select("doc_id", "text"), k=4, percent=85)
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "class_id")
+
+
 def op9_small_world_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return neighbours.search(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
