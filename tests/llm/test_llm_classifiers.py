@@ -1,0 +1,119 @@
+"""Toxicity and quality: training, scoring, odd rows, segments against a plain search."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from voltlog.llm import quality, toxicity
+from voltlog.llm.common import held_out
+
+SF = "/root/testdata/sf0.01"
+DOCS = "doc_id long, text string"
+LABELS = "doc_id long, quality int, toxic int"
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    """Texts of a made-up language; some hold one of three words, or end every word with a hash."""
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefghijklm") for _ in range(5)) for _ in range(300)]
+    docs, labels = [], []
+    for i in range(600):
+        text = [rng.choice(words) for _ in range(60)]
+        toxic, bad = i % 4 == 0, i % 5 == 0
+        if toxic:
+            for _ in range(4):
+                text[rng.randrange(60)] = rng.choice(["vilezz", "foulzz", "nastyzz"])
+        body = " ".join(w + "#" * bad for w in text)
+        docs.append((i, body))
+        labels.append((i, int(not bad), int(toxic)))
+    return spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+
+
+def accuracy(scored, labels, target, limit):
+    both = scored.join(labels, "doc_id").where(held_out(F.col("doc_id")))
+    row = both.agg(F.avg(((F.col("score") >= limit).cast("int") == F.col(target)).cast("int")), F.count("*")).first()
+    assert row[1] > 50
+    return row[0]
+
+
+def odd(spark):
+    rows = [(1, None, 9.0), (None, "", 1.0), (2, "a", 0.0), (2, "a", 0.0), (3, "vilezz " * 50_000, None)]
+    return spark.createDataFrame(rows, f"{DOCS}, score double")
+
+
+def test_toxicity_finds_held_out_texts_and_handles_odd_rows(spark, labelled):
+    docs, labels = labelled
+    model = toxicity.fit(docs, labels)
+    assert accuracy(toxicity.score(docs, model), labels, "toxic", 0.3) > 0.97
+    rows = toxicity.score(odd(spark), model).collect()
+    assert len(rows) == 5 and all(0 <= r.score <= 1 for r in rows)
+    by_text = {r.text: r for r in rows}
+    assert by_text["vilezz " * 50_000].score > 0.9 and not by_text["a"].passages
+    assert toxicity.score(odd(spark).limit(0), model).collect() == []
+
+
+def test_quality_finds_held_out_texts_and_handles_odd_rows(spark, labelled):
+    docs, labels = labelled
+    model = quality.fit(docs, labels)
+    assert accuracy(quality.score(docs, model), labels, "quality", 0.7) > 0.97
+    rows = quality.score(odd(spark), model).collect()
+    assert len(rows) == 5 and all(0 <= r.score <= 1 for r in rows)
+    assert len({r.score for r in rows if not r.text}) == 1
+    assert quality.score(odd(spark).limit(0), model).collect() == []
+
+
+@pytest.mark.parametrize("target, module", [("toxic", toxicity), ("quality", quality)])
+def test_without_labels_every_text_scores_alike(spark, labelled, target, module):
+    docs, labels = labelled
+    none = module.fit(docs, labels.limit(0))
+    one = module.fit(docs, labels.where(f"{target} = 1"))
+    for model in (none, one):
+        assert len({r.score for r in module.score(docs.limit(5), model).collect()}) == 1
+
+
+def test_labels_of_held_out_rows_change_nothing(spark, labelled):
+    docs, labels = labelled
+    flipped = labels.withColumn("toxic", F.when(held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    assert toxicity.fit(docs, labels).odds == toxicity.fit(docs, flipped).odds
+
+
+def test_segments_against_all_pairs():
+    """Maximal segments: split at the best one, again and again."""
+
+    def plain(values, offset=0):
+        best = max(
+            ((round(sum(values[a:b]), 9), a - b, a, b) for a in range(len(values)) for b in range(a + 1, len(values) + 1)),
+            key=lambda x: (x[0], x[1], -x[2]), default=(0, 0, 0, 0),
+        )
+        if best[0] <= 0:
+            return []
+        _, _, a, b = best
+        return plain(values[:a], offset) + [(a + offset, b + offset)] + plain(values[b:], offset + b)
+
+    rng = random.Random(3)
+    for _ in range(200):
+        n = rng.randrange(1, 14)
+        known = [(i, rng.choice([0.9, 1.7, 2.3, -1.1])) for i in range(n) if rng.random() < 0.5]
+        values = [-0.37] * n
+        for i, s in known:
+            values[i] = s
+        got = [(a, b) for a, b, _ in toxicity.segments(known, -0.37)]
+        assert got == plain(values)
+
+
+def test_lookup_tables_learn_an_interaction():
+    rng = np.random.default_rng(1)
+    x = rng.random((4000, len(quality.FEATURES)))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
+    model = quality.train(x, y)
+    assert (0, 1) in [tuple(sorted(p[:2])) for p in model.pairs]
+    assert (((model.score(x) > 0.5) == y).mean()) > 0.85
+
+
+def test_features_of_odd_texts():
+    assert quality.features("") == [0.0] * len(quality.FEATURES)
+    for text in (" ", "\n\n", "a", "é" * 10_000, "x " * 100_000):
+        assert np.isfinite(quality.features(text)).all()

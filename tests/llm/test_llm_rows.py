@@ -1,0 +1,160 @@
+"""Row-wise operators: URL verdicts, licenses, personal data, against plain Python."""
+
+import random
+import re
+
+import brute
+import pytest
+from pyspark.sql import functions as F
+
+from voltlog.llm import licenses, pii, queries, url_filter
+
+RULES = queries.URL_RULES
+
+
+def verdict_of(url):
+    found = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+    host = brute.ascii_lower(found[1]) if found else ""
+    path = found[2] if found else ""
+    fits = [
+        (len(rule), rule, kind)
+        for kind, rule in RULES
+        for domain, _, start in [rule.partition("/")]
+        if (host == domain or host.endswith("." + domain)) and path.startswith("/" + start)
+    ]
+    return host, path, *(max(fits)[1:] if fits else (None, None))
+
+
+URLS = [
+    None, "", "no scheme", "http://", "HTTP://A.COM", "http://a.com/", "http://example.com/en/1", "x://example.com/en",
+    "http://www.EXAMPLE.com/en/?q", "http://a.www.example.com/en/#x", "http://notexample.com/en/1", "http://com/x",
+    "http://a.net/es/1", "http://a.net/fr/", "http://net/de/", "http://é.net/es/É?x://b.com/", "a://b://c.com/",
+    "http://casino-x.org/1", "http://a.org/" + "x" * 20_000, "http://a.net/es/1", "http://\nb.net/fr/\n",
+]
+
+
+def test_url_rules_and_odd_rows(spark):
+    rows = [(i, u, "old", 5.0, 1, "label") for i, u in enumerate(URLS * 20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, rule string, entropy double, Host int, label string")
+    got = {r.page_id: r for r in url_filter.judge(pages, RULES).collect()}
+    assert len(got) == len(rows)
+    for i, url, *_ in rows:
+        host, path, rule, kind = verdict_of(url)
+        assert (got[i].host, got[i].path, got[i].rule) == (host, path, rule)
+        assert got[i].verdict in ("allow", "block") and (kind is None or got[i].verdict == kind)
+        assert got[i].entropy == 5.0 and got[i].label == "label"
+        assert got[i].score == got[i % len(URLS)].score
+    assert url_filter.judge(pages.limit(0), RULES).collect() == []
+
+
+def test_url_trees_learn_given_labels(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(400):
+        bad = i % 2
+        host = "".join(rng.choice("abcdef") for _ in range(6)) + ("-" + "9" * rng.randrange(3, 8) if bad else "")
+        rows.append((i, f"http://{host}.org/{rng.randrange(99)}", bad if i < 300 else None, bad))
+    pages = spark.createDataFrame(rows, "page_id long, url string, known int, truth int")
+    got = url_filter.judge(pages, RULES, label="known").where("known is null").collect()
+    assert sum((r.verdict == "block") == bool(r.truth) for r in got) >= 97
+
+
+LICENSES = [
+    None, "", "   ", "CC BY", "cc-by cc by CC  by", "Licensed under CC BY-NC 4.0.", "all rights reserved",
+    "ALL\nRIGHTS\tRESERVED! All rights. Reserved", "the GNU General Public License, version 3.", "xcc by", "cc bye",
+    "MIT License.", "Licensed under the Apache License, Version 2.0.", "cc by cc by cc by", "é cc by é",
+    "word " * 30_000 + "general public license", "İcc by K", "\x00cc\x7fby",
+]
+
+
+def test_license_places_and_odd_rows(spark):
+    rows = [(i % (len(LICENSES) + 3), t, 1) for i, t in enumerate(LICENSES * 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score int")
+    for r in licenses.scan(docs).collect():
+        words, places, labels = brute.license_places(r.text)
+        assert (r.n_words, sorted(p for b in r.base for p in b)) == (words, places)
+        assert ",".join(r.base_labels) == labels and set(r.base_labels) <= set(r.labels)
+        assert 0 <= r.score <= 1 and bool(r.score) == bool(r.labels)
+    assert licenses.scan(docs.limit(0)).collect() == []
+
+
+def test_license_rules(spark):
+    texts = {
+        "Licensed under the Apache License, Version 2.0.": "apache",
+        "SPDX-License-Identifier: MIT": "spdx",
+        "GNU Lesser General Public License version 2.1 or later": "gpl,lgpl",
+        "Redistribution and use in source and binary forms, with or without modification": "permission",
+        "mit dem Auto": "",
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.text: ",".join(r.labels) for r in licenses.scan(docs).collect()}
+    assert got == texts
+    one = licenses.scan(docs.where("doc_id = 0")).first().detections
+    assert [(d.start, d.end, d.label) for d in one] == [(0, 8, "apache")]
+
+
+def test_every_license_rule_is_reached():
+    """No rule can match a text that the first look or its keyword would pass over."""
+    assert len(licenses.rules()) > 200
+    for rule in licenses.rules():
+        re.compile(rule.pattern)
+        assert any(c in rule.pattern for c in licenses.COVER), rule
+        assert rule.keyword.strip() in rule.pattern.replace("[sc]", "s"), rule
+
+
+ODD_PII = [
+    None, "", "4111111111111111 4111-1111-1111-1111 1.2.3.45.6.7.8 a@b.c_x@d.e +1 (017) 555-7713.", "9" * 5000,
+    "a" * 5000 + "@", "+" + "1 " * 2000, "1." * 2000, "é😀 a@b.co 😀 1.2.3.4", "a@b", "@@@", "x@y.z@w.v", "256.1.1.1",
+    "1.1.1.1.1", "01.002.0003.255", "+12345 6789 0", "+1" + "2" * 15, "0" * 16, "4111 1111 1111 1111 4111",
+    "token = \"04dbebab91ab85687d33eeaaf9ac699e1188f962\"", "user@host.example.com, 10.0.0.1; +49 (30) 123456-78",
+]
+
+
+@pytest.fixture(scope="module")
+def personal(spark):
+    rng = random.Random(5)
+    letters = "0123456789" * 3 + " -.+()@ab_%/AZé\n,x="
+    texts = ODD_PII + ["".join(rng.choice(letters) for _ in range(rng.choice([5, 20, 60, 200]))) for _ in range(1500)]
+    docs = spark.createDataFrame([(i, t, "kept") for i, t in enumerate(texts + texts[:20])], "doc_id long, text string, spans string")
+    return docs, pii.fit(docs)
+
+
+def test_personal_data_base(spark, personal):
+    docs, model = personal
+    rows = pii.scan(docs, model).select("*", pii.written(F.col("base")).alias("written")).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert [(s.start, s.kind, s.end) for s in r.base] == brute.personal(r.text)
+        assert r.written == brute.personal_text(r.text)
+        assert set(r.base) <= set(r.spans)
+        assert [(s.start, s.kind) for s in r.spans] == sorted((s.start, s.kind) for s in r.spans)
+    assert pii.scan(docs.limit(0), model).collect() == []
+
+
+def test_redaction_takes_out_every_span_and_nothing_else(spark, personal):
+    docs, model = personal
+    spans = {r.doc_id: r.spans for r in pii.scan(docs, model).collect()}
+    for r in pii.redact(docs, model).join(docs.select("doc_id", F.col("text").alias("was")), "doc_id").collect():
+        want, at = "", 0
+        for s in spans[r.doc_id]:
+            if s.start >= at:
+                want += r.was[at : s.start] + f"[{pii.KINDS[s.kind].upper()}]"
+            at = max(at, s.end)
+        assert r.text == (None if r.was is None else want + r.was[at:])
+        assert r.spans == "kept"
+
+
+def test_secrets_are_found_without_a_strict_format(spark):
+    rng = random.Random(8)
+    token = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    rows = [(i, f"some words token = \"{token()}\" and more words, call 12 or 7.5 {'longishword' * 2}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii.scan(docs, pii.fit(docs)).collect()
+    assert sum(any(s.end - s.start == 40 for s in r.spans) for r in found) >= 190
+    assert all("longish" not in r.text[s.start : s.end] for r in found for s in r.spans)
+
+
+def test_running_sums(spark):
+    rows = [([1, 2, 3],), ([],), (list(range(1000)),)]
+    for r in spark.createDataFrame(rows, "x array<int>").select("x", pii.running(F.col("x")).alias("s")).collect():
+        assert r.s == [sum(r.x[:i]) for i in range(len(r.x))]

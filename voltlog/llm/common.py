@@ -38,6 +38,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def others(df: DataFrame, new: tuple[str, ...]) -> list[str]:
+    """The columns that an operator passes on: all but those whose names it gives to its own."""
+    return [c for c in df.columns if c.lower() not in new]
+
+
 def utf8(text: Column) -> Column:
     return F.coalesce(text, F.lit("")).cast("binary")
 

@@ -15,7 +15,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltlog.llm.common import ascii_lower, let
+from voltlog.llm.common import ascii_lower, let, others
 
 #: Everything but ASCII letters and digits and characters beyond ASCII.
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -55,7 +55,7 @@ FAMILIES = (
     ("fdl", "free documentation", "(?:gnu )?free documentation licen[sc]e"),
     ("gpl", "general public", "(?:gnu )?general public licen[sc]e"),
     ("isc", "isc li", "isc licen[sc]e"),
-    ("lgpl", "lesser", "(?:gnu )?(?:lesser|library) general public licen[sc]e"),
+    ("lgpl", "general public", "(?:gnu )?(?:lesser|library) general public licen[sc]e"),
     ("lppl", "latex", "latex project public licen[sc]e"),
     ("mit", "mit ", "mit(?: x11)? licen[sc]e"),
     ("mpl", "mozilla", "mozilla public licen[sc]e"),
@@ -98,7 +98,7 @@ SINGLE = (
     ("reserved", "reserved", "all rights reserved", 50, 70),
     ("reserved", "reserved", "(?:some|no) rights reserved", 45, 60),
     ("permission", "permission", "permission is hereby granted(?: free of charge)?", 65, 90),
-    ("permission", "permission", "redistribution and use in source and binary forms(?: with or without modification)?", 65, 95),
+    ("permission", "redistribut", "redistribution and use in source and binary forms(?: with or without modification)?", 65, 95),
     ("warranty", "warrant", "(?:provided )?as is without warrant(?:y|ies)(?: of any kind)?", 55, 80),
     ("proprietary", "proprietary", "proprietary and confidential", 60, 85),
     ("proprietary", "confidential", "confidential and proprietary", 60, 85),
@@ -221,8 +221,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     Null and empty texts have no words and no detections. Repeated rows are scanned alike; no rows
     give no rows. Existing columns with the names of the new ones are replaced.
     """
-    new = ("n_words", "base", "base_labels", "detections", "labels", "score")
-    kept = [c for c in docs.columns if c not in new]
+    kept = others(docs, ("n_words", "base", "base_labels", "detections", "labels", "score"))
     all_rules = rules()
     plain = F.trim(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), NOT_WORD, " "))
     rows = docs.select(*kept, plain.alias("_plain"))

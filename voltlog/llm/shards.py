@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltlog.llm.common import stored
+from voltlog.llm.common import others, stored
 
 SCALE_BITS, HASH_BITS = 30, 32
 BINS = 4096
@@ -170,12 +170,12 @@ def shard(
 
     Missing weights count 0, missing dimensions as the lowest value; missing group keys are one
     group. A group heavier than a share is never split: its shard has that group and little else.
-    Repeated rows get a slot each. No rows give no rows. Columns whose names begin with an
-    underscore and a letter used here must not occur.
+    Repeated rows get a slot each. No rows give no rows. Columns ``shard`` and ``slot`` are replaced.
     """
     names = list(dimensions)
+    kept = others(rows, ("shard", "slot"))
     keyed = rows.select(
-        "*",
+        F.struct(*kept).alias("_row"),
         F.coalesce(weight.cast("long"), F.lit(0)).alias("_weight"),
         group.alias("_group"),
         *[d.cast("double").alias(f"_d{i}") for i, d in enumerate(dimensions.values())],
@@ -186,8 +186,8 @@ def shard(
         shards = max(1, -(-total // target_bytes))
     tree = grow(groups, len(names), shards)
     placed = groups.select(F.col("_group").alias("_of"), tree.place().cast("int").alias("shard"))
-    dealt = keyed.join(placed, keyed["_group"].eqNullSafe(placed["_of"])).select(*rows.columns, "shard")
-    return number(dealt)
+    dealt = keyed.join(placed, keyed["_group"].eqNullSafe(placed["_of"])).select("_row", "shard")
+    return number(dealt).select("_row.*", "shard", "slot")
 
 
 def number(rows: DataFrame) -> DataFrame:
@@ -205,7 +205,7 @@ def number(rows: DataFrame) -> DataFrame:
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_begin"),
     )
     within = Window.partitionBy("_part", "shard").orderBy("_at")
-    numbered = fixed.withColumn("_row", F.row_number().over(within))
+    numbered = fixed.withColumn("_nth", F.row_number().over(within))
     return numbered.join(
         begins, (numbered["shard"] == begins["_s"]) & (numbered["_part"] == begins["_p"])
-    ).select(*rows.columns, (F.col("_begin") + F.col("_row") - 1).alias("slot"))
+    ).select(*rows.columns, (F.col("_begin") + F.col("_nth") - 1).alias("slot"))

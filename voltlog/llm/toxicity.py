@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltlog.llm.common import labelled_texts, stored
+from voltlog.llm.common import labelled_texts, others, stored
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Besides words, their beginnings of these lengths have log-odds, written with a hyphen.
@@ -266,7 +266,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 )
             yield pd.DataFrame(out, columns=["score", "passages"])
 
-    kept = [c for c in docs.columns if c not in ("score", "passages")]
+    kept = others(docs, ("score", "passages"))
     return docs.select(*kept, judge(F.coalesce(F.col(text), F.lit(""))).alias("_judged")).select(
         *kept, "_judged.score", "_judged.passages"
     )

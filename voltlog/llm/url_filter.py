@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltlog.llm import trees
-from voltlog.llm.common import ascii_lower, bounded_sample, stored
+from voltlog.llm.common import ascii_lower, bounded_sample, others, stored
 
 # Words that mark a host as unwanted when they are one of its parts.
 LISTED_WORDS = (
@@ -121,7 +121,7 @@ def with_features(rows: DataFrame) -> DataFrame:
 def judge(
     pages: DataFrame,
     rules: Sequence[tuple[str, str]],
-    label: Column | None = None,
+    label: str | None = None,
     url: str = "url",
     sample_rows: int = 20_000,
     limit: float = 0.5,
@@ -129,36 +129,38 @@ def judge(
     """``pages`` with host, path, rule, score and verdict (``allow`` or ``block``).
 
     A row gets the verdict of the longest rule that fits; without one, ``block`` if the trees
-    give at least ``limit``. ``label`` says which urls are known as unwanted (1) or not (0, null:
-    unknown); by default a listed word in the host. At most ``sample_rows`` rows of each label
+    give at least ``limit``. The column ``label`` says which urls are known as unwanted (1) or not
+    (0, null: unknown); by default a listed word in the host. At most ``sample_rows`` rows of each label
     train the trees; the statistics of host endings cover all rows.
 
     A url that is null, empty or has no ``://`` has an empty host and path and gets the verdict
     of the trees on those. Repeated rows are judged alike; no rows give no rows. Existing columns
     with the names of the new ones are replaced.
     """
-    new = ("host", "path", "rule", "score", "verdict")
-    kept = [c for c in pages.columns if c not in new]
+    kept = others(pages, ("host", "path", "rule", "score", "verdict"))
     source = pages.select(
-        *kept,
+        F.struct(*kept).alias("_row"),
         F.coalesce(F.col(url), F.lit("")).alias("_url"),
         host_of(F.col(url)).alias("_host"),
         path_of(F.col(url)).alias("_path"),
     )
-    named = listed(F.col("_host")) if label is None else label.cast("int")
-    known = source.select("_url", "_host", "_path", named.alias("label"))
+    source = source.select(
+        "_row", "_url", "_host", "_path",
+        (listed(F.col("_host")) if label is None else F.col(f"_row.{label}").cast("int")).alias("label"),
+    )
+    known = source.drop("_row")
     featured = with_features(known)
     each = [
         bounded_sample(featured.where(F.col("label") == k), F.col("_url"), sample_rows).select(*FEATURES, "label")
         for k in (0, 1)
     ]
     score = trees.fit(stored(each[0].unionByName(each[1])), FEATURES, "label")
-    rows = with_features(source.withColumn("label", named))
+    rows = with_features(source)
     rows = rows.withColumn("score", score([F.col(f) for f in FEATURES]))
     rule, verdict = rule_verdict(F.col("_host"), F.col("_path"), rules)
     by_score = F.when(F.col("score") >= limit, F.lit("block")).otherwise(F.lit("allow"))
     return rows.select(
-        *kept,
+        "_row.*",
         F.col("_host").alias("host"),
         F.col("_path").alias("path"),
         rule.alias("rule"),
