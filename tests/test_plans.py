@@ -4,6 +4,7 @@ from pathlib import Path
 
 import pytest
 from helpers import event, raw_events
+from pyspark.sql import functions as F
 
 from voltlog.operators import check, merge, transform
 from voltlog.plans import adapter
@@ -67,12 +68,20 @@ def test_daily_figures_share_one_shuffle(spark):
     assert plan(daily).count("Exchange hashpartitioning") == 1
 
 
-def test_joins_with_aggregates_come_after_them(enriched):
+def test_an_upsert_joins_after_its_aggregates(enriched):
     keys = ["vin", "event_hour"]
     hourly = transform.hourly_metrics(enriched)
-    touched = merge.touched_keys(enriched, enriched, keys)
-    for df in (merge.upsert(hourly, transform.hourly_metrics(enriched), keys),
-               merge.recompute(transform.hourly_metrics, enriched, touched, keys)):
-        text = plan(df)
-        assert "LeftSemi" not in text and "LeftAnti" not in text
-        assert 0 < text.index("Join") < text.index("partial_avg")
+    text = plan(merge.upsert(hourly, transform.hourly_metrics(enriched), keys))
+    assert "LeftAnti" not in text and 0 < text.index("Join") < text.index("partial_avg")
+
+
+def test_a_recompute_joins_before_it_aggregates(spark, enriched):
+    keys = ["vin", "event_hour"]
+    text = plan(merge.recompute(transform.hourly_metrics, enriched, enriched.select(*keys), keys))
+    assert 0 < text.index("partial_avg") < text.index("LeftSemi")
+
+
+def test_duplicates_need_two_scans_and_no_window(enriched):
+    positions = [F.lit("f").alias("object_key"), F.lit(0).alias("block_start"), F.unix_micros("event_ts").alias("row_id")]
+    text = plan(check.later_duplicates(enriched.select("event_id", *positions)))
+    assert text.count("FileScan") <= 2 and "Window" not in text

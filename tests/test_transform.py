@@ -1,4 +1,4 @@
-"""The five tables of the six-event sample, and the edges of the derived columns."""
+"""The five tables of the seven-event sample, and the edges of the derived columns."""
 
 import datetime as dt
 
@@ -9,8 +9,8 @@ from voltlog.functions import derive
 from voltlog.operators import check, transform
 from voltlog.schemas import TABLES
 
-T = lambda h, m=0: dt.datetime(2026, 6, 6, h, m)
-DAY = dt.date(2026, 6, 6)
+T = lambda h, m=0: dt.datetime(2031, 2, 11, h, m)
+DAY = dt.date(2031, 2, 11)
 
 
 def tables_of(spark, events):
@@ -32,28 +32,29 @@ def test_sample(spark):
         assert df.columns == list(TABLES[name].schema.names)
         assert [f.dataType for f in df.schema] == [f.dataType for f in TABLES[name].schema]
     enriched = tables["telemetry_enriched"].orderBy("event_id").collect()
-    assert [r["battery_band"] for r in enriched] == ["high", "high", "high", "high", "normal", "low"]
-    assert [r["is_moving"] for r in enriched] == [False, True, True, False, True, True]
+    assert [r["battery_band"] for r in enriched] == ["normal", "critical", "low", "low", "high", "high", "high"]
+    assert [r["is_moving"] for r in enriched] == [True, False, True, True, False, True, True]
     near(
         tables["vehicle_hourly_metrics"].orderBy("vin", "event_hour").collect(),
         [
-            (VEHICLE_A, T(8), 3, 25.3, 41.7, 81.7, 80.9, 31.1, 2, 0, 12852.1),
-            (VEHICLE_A, T(9), 1, 0.0, 0.0, 80.5, 80.5, 30.0, 0, 1, 12856.3),
-            (VEHICLE_B, T(8), 2, 38.75, 65.1, 52.05, 49.9, 36.8, 2, 0, 44242.8),
+            (VEHICLE_A, T(13), 2, 11.25, 22.5, 39.5, 15.0, 21.5, 1, 1, 512.0),
+            (VEHICLE_A, T(14), 2, 58.5, 61.5, 46.0, 44.0, 26.5, 2, 0, 548.75),
+            (VEHICLE_B, T(13), 1, 0.5, 0.5, 96.0, 96.0, 9.5, 0, 0, 77.25),
+            (VEHICLE_B, T(15), 2, 15.0, 18.0, 88.5, 87.0, 12.5, 2, 0, 85.0),
         ],
     )
     near(
         tables["trip_metrics"].orderBy("vin").collect(),
         [
-            (VEHICLE_A, DAY, T(8, 10), T(8, 25), 12844.9, 12852.1, 37.95, 41.7, 1, 7.2),
-            (VEHICLE_B, DAY, T(8, 0), T(8, 30), 44210.0, 44242.8, 38.75, 65.1, 1, 32.8),
+            (VEHICLE_A, DAY, T(13, 5), T(14, 50), 505.5, 548.75, 46.5, 61.5, 2, 43.25),
+            (VEHICLE_B, DAY, T(15, 0), T(15, 30), 80.75, 85.0, 15.0, 18.0, 1, 4.25),
         ],
     )
     near(
         tables["battery_health"].orderBy("vin").collect(),
-        [(VEHICLE_A, DAY, 81.4, 80.5, 29.7, 31.1, 1), (VEHICLE_B, DAY, 52.05, 49.9, 35.1, 36.8, 0)],
+        [(VEHICLE_A, DAY, 42.75, 15.0, 22.5, 26.5, 1), (VEHICLE_B, DAY, 91.0, 87.0, 11.0, 12.5, 0)],
     )
-    assert [r["event_id"] for r in tables["alerts"].collect()] == ["evt_00000003"]
+    assert [r["event_id"] for r in tables["alerts"].collect()] == ["unit_000004"]
 
 
 def test_derived_edges(spark):
@@ -64,12 +65,12 @@ def test_derived_edges(spark):
     events = [
         event(event_id="evt_speed_1", speed_mph=1.0, charging_state="CHARGING"),
         event(event_id="evt_speed_2", speed_mph=1.01, charging_state=" charging"),
-        event(event_id="evt_zone_01", event_ts="2026-06-06T01:10:00.250+05:30"),
+        event(event_id="evt_zone_01", event_ts="2031-02-11T01:10:00.250+05:30"),
     ]
     rows = {r["event_id"]: r for r in tables_of(spark, events)["telemetry_enriched"].collect()}
     assert [rows[k]["is_moving"] for k in sorted(rows)] == [False, True, True]
     assert [rows[k]["is_charging"] for k in sorted(rows)] == [True, False, False]
     moved = rows["evt_zone_01"]
-    assert moved["event_date"] == dt.date(2026, 6, 5)
-    assert moved["event_hour"] == dt.datetime(2026, 6, 5, 19)
-    assert moved["event_ts"] == dt.datetime(2026, 6, 5, 19, 40, 0, 250000)
+    assert moved["event_date"] == dt.date(2031, 2, 10)
+    assert moved["event_hour"] == dt.datetime(2031, 2, 10, 19)
+    assert moved["event_ts"] == dt.datetime(2031, 2, 10, 19, 40, 0, 250000)

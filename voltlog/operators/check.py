@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,10 +20,6 @@ NO_ALERT_CODE = "alert event has no alert_code"
 SCHEMA_PROBLEM = "%s: field '%s' is wrong: %s"
 # --- end of fixed values ------------------------------------------------------
 
-# More ids than this are never broadcast; any id left over holds less than 1/1000 of the rows.
-HOT_IDS = 1_000
-
-
 # How a value of each kind looks in a line that needs no second look: the natural JSON type,
 # and printable ASCII without escapes. Quantifiers are possessive, so a match is one pass.
 _TEXT_TOKEN = r'"[ !#-\[\]-~]*+"'
@@ -233,45 +229,35 @@ def repeated_ids(rows: DataFrame) -> DataFrame:
     return rows.groupBy("event_id").agg(F.count(F.lit(1)).alias("occurrences")).where("occurrences > 1")
 
 
-def later_duplicates(rows: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
-    """Every occurrence of an id after its first one, in listing order.
+def later_duplicates(rows: DataFrame) -> DataFrame:
+    """Every occurrence of an id after its first one, in listing order, with the file of the first.
 
-    The copies of the most frequent ids stay where they are: their first positions are an
-    aggregate of at most ``HOT_IDS`` rows, which is broadcast. Only rows of the other
-    repeated ids are brought together by id. ``repeated`` is the result of ``repeated_ids``
-    if it has been written already.
+    The first positions are one aggregate, to which an id brings one row per task however often it
+    occurs; the rows then meet their first position in an inner join, which Spark can split where
+    an id has very many.
     """
     rows = rows.select(*POSITION, "event_id")
-    repeated = repeated_ids(rows) if repeated is None else repeated
-    hot = F.broadcast(
-        repeated.orderBy(F.desc("occurrences"), "event_id").limit(HOT_IDS).select("event_id")
-    )
     position = F.struct(*POSITION)
-    hot_rows = rows.join(hot, "event_id", "left_semi")
-    first = hot_rows.groupBy("event_id").agg(F.min(position).alias("first_position"))
-    hot_later = hot_rows.join(F.broadcast(first), "event_id").where(position > F.col("first_position"))
-
-    rest = repeated.join(hot, "event_id", "left_anti").select("event_id")
-    rest_rows = rows.join(hot, "event_id", "left_anti").join(rest, "event_id", "left_semi")
-    occurrence = F.row_number().over(Window.partitionBy("event_id").orderBy(*POSITION))
-    rest_later = rest_rows.withColumn("occurrence", occurrence).where("occurrence > 1")
-    columns = [*POSITION, "event_id"]
-    return hot_later.select(*columns).unionByName(rest_later.select(*columns))
+    first = rows.groupBy("event_id").agg(
+        F.min(position).alias("first_position"), F.count(F.lit(1)).alias("occurrences")
+    ).where("occurrences > 1")
+    later = rows.join(first, "event_id").where(position > F.col("first_position"))
+    return later.select(*POSITION, "event_id", F.col("first_position.object_key").alias("first_key"))
 
 
-def duplicate_problems(checked: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
-    return later_duplicates(valid_rows(checked), repeated).select(
+def duplicate_problems(checked: DataFrame) -> DataFrame:
+    return later_duplicates(valid_rows(checked)).select(
         *POSITION,
         F.lit(1).alias("rule_no"),
         F.concat(F.col("event_id"), F.lit(": " + DUPLICATE)).alias("problem"),
     )
 
 
-def problems(checked: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+def problems(checked: DataFrame) -> DataFrame:
     """All problems of a batch; sort by position and ``rule_no`` for reporting order."""
     return (
         schema_problems(checked)
-        .unionByName(duplicate_problems(checked, repeated))
+        .unionByName(duplicate_problems(checked))
         .unionByName(row_problems(checked))
     )
 

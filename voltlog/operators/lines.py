@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltlog.functions.coerce import is_blank
+from voltlog.session import scratch_folder
 
 
 def drop_blank(raw: DataFrame) -> DataFrame:
@@ -30,11 +31,11 @@ def members_sql(line: str) -> str:
                  THEN try_variant_get(parsed, '$[0]', 'map<string,variant>') END)[0] END"""
 
 
-def number_lines(raw: DataFrame, max_blocks: int) -> DataFrame:
+def number_lines(raw: DataFrame) -> DataFrame:
     """Add ``line_no``, counted from 1 over all lines of a file, blank ones included.
 
-    Needs every line of the files in ``raw``. ``max_blocks`` is the caller's upper bound for
-    the number of splits; the table of split offsets is broadcast only if that is small.
+    Needs every line of the files in ``raw``. The table of split offsets is written first: then
+    Spark knows its size when it plans the join with the lines.
     """
     blocks = raw.groupBy("object_key", "block_start").agg(
         F.min("row_id").alias("first_id"), F.count(F.lit(1)).alias("line_count")
@@ -48,8 +49,9 @@ def number_lines(raw: DataFrame, max_blocks: int) -> DataFrame:
         "first_id",
         F.coalesce(F.sum("line_count").over(before), F.lit(0)).alias("lines_before"),
     )
-    if max_blocks <= 200_000:
-        offsets = F.broadcast(offsets)
+    folder = scratch_folder(raw.sparkSession)
+    offsets.write.parquet(folder)
+    offsets = raw.sparkSession.read.schema(offsets.schema).parquet(folder)
     return raw.join(offsets, ["object_key", "block_start"]).select(
         *raw.columns,
         (F.col("lines_before") + F.col("row_id") - F.col("first_id") + 1).alias("line_no"),

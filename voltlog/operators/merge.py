@@ -40,8 +40,8 @@ def touched_keys(source: DataFrame, replaced: DataFrame, keys: Sequence[str]) ->
 def recompute(aggregate, enriched: DataFrame, touched: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Fresh aggregate rows for the touched keys, which are distinct, from all events.
 
-    Aggregates before it joins, so a group with very many events crosses the shuffle as one
-    row per task. A semi join would be moved below the aggregation.
+    The keys are joined before the aggregation, so events of other groups are not added up. Pass
+    ``touched`` as a written table: where it is small Spark sends it to the events, where it is not
+    it can split groups with very many events in the join.
     """
-    fresh = aggregate(enriched)
-    return fresh.join(touched, list(keys)).select(*fresh.columns)
+    return aggregate(enriched.join(touched, list(keys), "left_semi").select(*enriched.columns))

@@ -17,7 +17,7 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def loaded_files(ledger: DataFrame) -> DataFrame:
-    return ledger.select("object_key", "processed_at").orderBy("processed_at", "object_key")
+    return ledger.select("object_key", "etag", "processed_at").orderBy("processed_at", "object_key")
 
 
 def events_by_time(enriched: DataFrame) -> DataFrame:

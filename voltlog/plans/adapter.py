@@ -11,10 +11,22 @@ from pyspark.sql import functions as F
 from voltlog.functions.derive import iso_utc
 from voltlog.schemas import EVENT, FIELD_NAMES
 
+def padded(number: str, digits: int) -> str:
+    """SQL text of a number with leading zeros; unlike a plain ``lpad`` it never cuts digits off."""
+    text = f"cast({number} AS string)"
+    return f"lpad({text}, cast(greatest({digits}, length({text})) AS int), '0')"
+
+
+def event_id_sql(number: str) -> str:
+    return f"'evt_' || {padded(number, 8)}"
+
+
+# Four letters and twelve digits; the contract leaves room for a thirteenth and refuses more.
+VIN_START = "VLTX"
 TELEMETRY_SQL = """
 SELECT
-  'evt_' || lpad(cast(event_id AS string), 8, '0')               AS event_id,
-  '5YJ3E1EA7KF' || lpad(cast(user_id AS string), 6, '0')         AS vin,
+  {event_id}                                                     AS event_id,
+  {vin}                                                          AS vin,
   ts                                                             AS event_ts,
   ts + INTERVAL '10' SECOND                                      AS ingest_ts,
   CASE event_type WHEN 'error' THEN 'alert'
@@ -35,7 +47,7 @@ SELECT
        THEN 'CODE_' || cast(event_id % 5 AS string) END          AS alert_code,
   '2026.14.3'                                                    AS software_version
 FROM events
-"""
+""".format(event_id=event_id_sql("event_id"), vin=f"'{VIN_START}' || {padded('user_id', 12)}")
 
 # First batch: events before this time. Second batch: the others, and corrections of
 # first-batch events of one kind, which move to the next day with a lower charge.
@@ -102,12 +114,6 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a table that is too small to be split; larger ones stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def json_lines(events: DataFrame, defects: bool = False) -> DataFrame:
     """Raw lines of the events, all as one file in order of the event number.
 
@@ -135,9 +141,9 @@ def json_lines(events: DataFrame, defects: bool = False) -> DataFrame:
         "event_type": at(4, F.lit("alert"), "event_type"),
         "alert_code": at(4, F.lit(None).cast("string"), "alert_code"),
         "event_id": at(
-            5, F.concat(F.lit("evt_"), F.lpad((number - 5).cast("string"), 8, "0")), "event_id"
+            5, F.expr(event_id_sql("(cast(substr(event_id, 5) AS bigint) - 5)")), "event_id"
         ),
-        "vin": at(6, F.concat(F.lit("5YJ3E1 A7KF"), F.substring("vin", -6, 6)), "vin"),
+        "vin": at(6, F.concat(F.left("vin", F.lit(2)), F.lit(" "), F.substring("vin", 4, 20)), "vin"),
         "event_ts": F.when(place == 7, clock(F.col("event_ts")))
         .when(place == 12, shown_in_india)
         .otherwise(fields["event_ts"]),
@@ -154,6 +160,64 @@ def json_lines(events: DataFrame, defects: bool = False) -> DataFrame:
     return _as_raw(events, number, line)
 
 
+# Unusual lines, each as the contract field it is about, a pattern in the plain line, what
+# takes its place, and the error (None: accepted with the plain line's values; "": a broken line).
+_TEXT, _NUMBER = '"%s":"[^"]*"', '"%s":-?[0-9.]+'
+ODD_LINES = (
+    ("event_id", _TEXT, '"%s":"evt_1"', "String should have at least 8 characters"),
+    ("event_id", _TEXT, '"%s":12345678', "Input should be a valid string"),
+    ("vin", _TEXT, '"%s":"VLTX000001"', "String should have at least 11 characters"),
+    ("vin", _TEXT, '"%s":"VLTX00000000000001"', "String should have at most 17 characters"),
+    ("vin", '"%s":"VLTX00', '"%s":"VLTX 0', "Value error, VIN cannot contain spaces"),
+    ("event_ts", '"%s":"([^"]*)Z"', '"%s":"$1"', "Input should have timezone info"),
+    ("ingest_ts", '"%s":"([^"]*)Z"', '"%s":"$1"', "Input should have timezone info"),
+    ("ingest_ts", _TEXT, '"%s":"soon"', "Input should be a valid datetime"),
+    ("event_type", _TEXT, '"%s":"ALERT"', "Input should be 'telemetry', 'charge' or 'alert'"),
+    ("latitude", _NUMBER, '"%s":90.5', "Input should be less than or equal to 90"),
+    ("latitude", _NUMBER, '"%s":-90.5', "Input should be greater than or equal to -90"),
+    ("longitude", _NUMBER, '"%s":180.5', "Input should be less than or equal to 180"),
+    ("longitude", _NUMBER, '"%s":-180.5', "Input should be greater than or equal to -180"),
+    ("speed_mph", _NUMBER, '"%s":180.5', "Input should be less than or equal to 180"),
+    ("speed_mph", _NUMBER, '"%s":-0.5', "Input should be greater than or equal to 0"),
+    ("battery_soc", _NUMBER, '"%s":100.5', "Input should be less than or equal to 100"),
+    ("battery_soc", _NUMBER, '"%s":-0.5', "Input should be greater than or equal to 0"),
+    ("battery_temp_c", _NUMBER, '"%s":90.5', "Input should be less than or equal to 90"),
+    ("battery_temp_c", _NUMBER, '"%s":-40.5', "Input should be greater than or equal to -40"),
+    ("odometer_miles", _NUMBER, '"%s":-0.5', "Input should be greater than or equal to 0"),
+    ("latitude", _NUMBER, '"%s":"north"', "Input should be a valid number, unable to parse string as a number"),
+    ("charging_state", _TEXT, '"%s":true', "Input should be a valid string"),
+    ("gear", _TEXT, '"%s":5', "Input should be a valid string"),
+    ("software_version", _TEXT, '"%s":null', "Input should be a valid string"),
+    ("software_version", ',"%s":"[^"]*"', "", "Field required"),
+    ("alert_code", '"%s":(null|"[^"]*")', '"%s":7', "Input should be a valid string"),
+    ("autopilot_engaged", '"%s":(true|false)', '"%s":"maybe"',
+     "Input should be a valid boolean, unable to interpret input"),
+    ("autopilot_engaged", '"%s":(true|false)', '"%s":null', "Input should be a valid boolean"),
+    ("longitude", '"%s":-?[0-9.]+(.*)"gear":"[^"]*"', '"%s":200$1"gear":5', "Input should be less than or equal to 180"),
+    ("gear", '"%s":"([^"]*)"', '"%s":"$1","extra":1,"more":2', "Extra inputs are not permitted"),
+    ("vin", '"%s":"VLTX', '"%s":"vltx', None),
+    ("vin", '"%s":"', '"%s":" ', None),
+    ("event_ts", '"%s":"([^T]*)T([^Z]*)Z"', '"%s":"$1t$2z"', None),
+    ("battery_soc", '"%s":([0-9.]+)', '"%s":" $1 "', None),
+    ("autopilot_engaged", '"%s":(true|false)', '"%s":"$1"', None),
+    ("alert_code", '"%s":null,', "", None),
+    ("", "[}]$", "} trailing", ""),
+    ("", "[}]$", "", ""),
+    ("", "^(.*)$", "[$1]", ""),
+)
+FIRST_ODD = 20
+
+
+def odd_lines(events: DataFrame) -> DataFrame:
+    """Raw lines as ``json_lines``; of every thousand events, some are written in an odd way, one each."""
+    plain = json_lines(events)
+    patterns = F.array(*[F.lit(pattern.replace("%s", field)) for field, pattern, _, _ in ODD_LINES])
+    others = F.array(*[F.lit(new.replace("%s", field)) for field, _, new, _ in ODD_LINES])
+    case = (F.col("row_id") % 1000 - FIRST_ODD).cast("int")
+    odd = F.regexp_replace("value", F.get(patterns, case), F.get(others, case))
+    return plain.withColumn("value", F.when(case.between(0, len(ODD_LINES) - 1), odd).otherwise(F.col("value")))
+
+
 def _columns(fields: dict[str, Column]) -> list[Column]:
     return [value.alias(name) for name, value in fields.items()]
 

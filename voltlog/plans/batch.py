@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
-from functools import partial
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +14,7 @@ from voltlog.operators.merge import recompute, touched_keys
 from voltlog.schemas import ENRICHED, LEDGER, POSITION, QUARANTINE, TABLES
 from voltlog.session import configure
 from voltlog.sources import files as fs
-from voltlog.sources.tables import CuratedTable, FolderTable, Pending, distinct_days
-
-# Problems quoted in an error message; all of them are in the staged ``problems`` table.
-QUOTED_PROBLEMS = 20
-# Up to this many files are named in a broadcast.
-FEW_FILES = 10_000
+from voltlog.sources.tables import AppendTable, CuratedTable, distinct_days
 
 
 class BatchRejected(ValueError):
@@ -29,11 +23,13 @@ class BatchRejected(ValueError):
 
 @dataclass(frozen=True)
 class RunResult:
+    """``postponed`` files hold ids that another new file brings too; the next run looks at them again."""
+
     status: str
     files: int = 0
     quarantined: int = 0
     events: int = 0
-    groups: list["RunResult"] = field(default_factory=list)
+    postponed: int = 0
 
 
 @dataclass(frozen=True)
@@ -50,12 +46,12 @@ class Warehouse:
         return {name: self.table(name).read() for name in TABLES}
 
     @property
-    def ledger(self) -> FolderTable:
-        return FolderTable(self.spark, f"{self.path}/raw/processed_files", LEDGER)
+    def ledger(self) -> AppendTable:
+        return AppendTable(self.spark, f"{self.path}/raw/processed_files", LEDGER)
 
     @property
-    def quarantine(self) -> FolderTable:
-        return FolderTable(self.spark, f"{self.path}/raw/quarantined_files", QUARANTINE)
+    def quarantine(self) -> AppendTable:
+        return AppendTable(self.spark, f"{self.path}/raw/quarantined_files", QUARANTINE)
 
     def staged(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/staging/{name}")
@@ -74,107 +70,58 @@ def run_batch(
     listing: DataFrame | None = None,
     recompute_aggregates: bool = False,
     quarantine_bad_files: bool = False,
-    max_bytes_per_group: int | None = None,
 ) -> RunResult:
     """Load all files that were not loaded before. Only one run at a time per warehouse.
 
     ``listing`` may bring the candidate files with their etags, such as an inventory of an
-    object store, instead of reading them for a fingerprint. The three options are off by
-    default: aggregates come from the batch alone, one bad file rejects the batch, and all
-    new files form one batch.
+    object store, instead of reading all of them for a fingerprint. The two options are off by
+    default: aggregates come from the batch alone, and one bad file rejects the batch.
     """
     configure(spark)
     house = Warehouse(spark, warehouse_path.rstrip("/"))
     found = house.stage("new_files", _find_new_files(spark, source, house, listing))
-    rows = found.orderBy("object_key").select("object_key", "path", "length").collect()
-    if not rows:
+    files = found.count()
+    if not files:
         return RunResult("skipped")
-    groups = _groups(rows, max_bytes_per_group)
-    if len(groups) == 1:
-        return _load(house, source, found, rows, recompute_aggregates, quarantine_bad_files)
-    results = []
-    for group in groups:
-        in_group = found.where(F.col("object_key").between(group[0].object_key, group[-1].object_key))
-        results.append(
-            _load(house, source, in_group, group, recompute_aggregates, quarantine_bad_files)
-        )
-    return RunResult(
-        "loaded",
-        sum(r.files for r in results),
-        sum(r.quarantined for r in results),
-        sum(r.events for r in results),
-        results,
-    )
+    raw = fs.read_lines(spark, source, found)
+    checked = house.stage("checked_events", _with_derived(check.check_schema(drop_blank(raw))))
+    counts = check.gate_counts(checked).first()
+    if counts["lines"] == 0:
+        raise BatchRejected("the new files have no events; remove the empty files from the source")
+    bad = any(counts[name] for name in counts.asDict() if name != "lines")
+    repeated = not check.repeated_ids(check.valid_rows(checked)).isEmpty()
+    if not bad and not repeated:
+        _load(house, checked, recompute_aggregates)
+        _record(house, found)
+        return RunResult("loaded", files, 0, counts["lines"])
+    if not quarantine_bad_files:
+        _reject(house, source, found, checked, counts["broken"])
+    aside = house.stage("quarantined_files", found.join(_own_problems(checked), "object_key"))
+    good = house.stage("events_of_good_files", _without_files(checked, aside))
+    late = check.later_duplicates(good).select("object_key").distinct()
+    postponed = house.stage("postponed_files", found.join(late, "object_key", "left_semi"))
+    good = _without_files(good, postponed)
+    events = good.count()
+    if events:
+        _load(house, house.stage("events_to_load", good), recompute_aggregates)
+    house.quarantine.append(aside.withColumn("quarantined_at", F.current_timestamp()))
+    _record(house, _without_files(_without_files(found, aside), postponed))
+    gone, waiting = aside.count(), postponed.count()
+    return RunResult("loaded", files - gone - waiting, gone, events, waiting)
 
 
 def _find_new_files(spark, source: fs.Source, house: Warehouse, listing: DataFrame | None) -> DataFrame:
-    ledger = house.ledger.read()
-    rejected = house.quarantine.read()
-    seen = ledger.select("object_key", "etag", "length", "modified_at").unionByName(
-        rejected.select("object_key", "etag", "length", "modified_at")
+    seen = house.ledger.read().select("object_key", "etag").unionByName(
+        house.quarantine.read().select("object_key", "etag")
     )
-    if listing is not None:
-        candidates = listing.select(*fs.NEW_FILES.names)
-    else:
-        unseen = house.stage("unseen_files", fs.unseen(fs.list_files(spark, source), seen))
-        candidates = fs.with_etags(spark, source, unseen)
-    return fs.new_files(candidates, seen).select(*fs.NEW_FILES.names)
-
-
-def _groups(rows: list, max_bytes: int | None) -> list[list]:
-    """Consecutive files in key order, each group within the limit unless one file exceeds it."""
-    groups: list[list] = [[]]
-    size = 0
-    for row in rows:
-        if max_bytes is not None and groups[-1] and size + row.length > max_bytes:
-            groups.append([])
-            size = 0
-        groups[-1].append(row)
-        size += row.length
-    return groups
-
-
-def _load(house: Warehouse, source: fs.Source, found: DataFrame, rows: list,
-          recompute_aggregates: bool, quarantine_bad_files: bool) -> RunResult:
-    spark = house.spark
-    raw = fs.read_lines(spark, source, [r.path for r in rows])
-    checked = check.check_schema(drop_blank(raw))
-    checked = house.stage("checked_events", _with_derived(checked))
+    if listing is None:
+        listing = fs.with_etags(spark, source, house.stage("candidates", fs.list_files(spark, source)))
+    return fs.new_files(listing.select(*fs.NEW_FILES.names), seen).select(*fs.NEW_FILES.names)
 
-    counts = check.gate_counts(checked).first()
-    if counts["lines"] == 0:
-        raise BatchRejected("the new files have no events; remove the empty files from the source")
-    repeated = house.stage("repeated_ids", check.repeated_ids(check.valid_rows(checked)))
-    bad = {name: counts[name] for name in counts.asDict() if name != "lines" and counts[name]}
-    if not repeated.isEmpty():
-        bad["duplicate"] = True
-
-    quarantined = None
-    if bad and quarantine_bad_files:
-        quarantined = _quarantine(house, found, checked, repeated)
-        checked = _without_files(checked, quarantined)
-    elif bad:
-        _reject(house, source, rows, checked, repeated, counts["broken"])
-
-    events = 0
-    loaded = found
-    if quarantined is not None:
-        loaded = found.join(quarantined.select("object_key"), "object_key", "left_anti")
-        events = checked.count()
-    else:
-        events = counts["lines"]
-    pending = _prepare(house, checked.select(*ENRICHED.names), recompute_aggregates) if events else []
-    for version in pending:
-        version.commit()
-    if quarantined is not None:
-        house.quarantine.prepare_append(
-            quarantined.withColumn("quarantined_at", F.current_timestamp())
-        ).commit()
-    # Last write of the run: after any failure above, the same files are new again.
-    entries = loaded.withColumn("processed_at", F.current_timestamp())
-    house.ledger.prepare_append(entries).commit()
-    bad_files = quarantined.count() if quarantined is not None else 0
-    return RunResult("loaded", len(rows) - bad_files, bad_files, events)
+
+def _record(house: Warehouse, files: DataFrame) -> None:
+    """Last write of a run: after any failure before it, the same files are new again."""
+    house.ledger.append(files.withColumn("processed_at", F.current_timestamp()))
 
 
 def _with_derived(checked: DataFrame) -> DataFrame:
@@ -182,113 +129,113 @@ def _with_derived(checked: DataFrame) -> DataFrame:
     return checked.select(*own, *transform.enriched_columns())
 
 
-def _reject(house: Warehouse, source, rows, checked: DataFrame, repeated: DataFrame, broken: int) -> None:
+def _reject(house: Warehouse, source, found: DataFrame, checked: DataFrame, broken: int) -> None:
     if broken:
-        raise BatchRejected(_broken_line(house.spark, source, rows, checked))
-    problems = house.stage("problems", check.problems(checked, repeated))
-    total = problems.count()
-    first = problems.orderBy(*POSITION, "rule_no").limit(QUOTED_PROBLEMS).collect()
-    lines = [r["problem"] for r in first]
-    if total > len(lines):
-        lines.append(f"... and {total - len(lines)} more in the staged problems table")
-    raise BatchRejected("data quality check failed:\n" + "\n".join(lines))
+        raise BatchRejected(_broken_line(house.spark, source, found, checked))
+    problems = house.stage("problems", check.problems(checked))
+    rule = F.when(F.col("rule_no") == 0, F.regexp_extract("problem", ": (field '[^']*' is wrong)", 1)).otherwise(
+        F.regexp_extract("problem", ".*: (.*)$", 1)
+    )
+    kinds = problems.groupBy("rule_no", rule.alias("rule")).count().orderBy("rule_no", "rule").collect()
+    lines = [f"{r['count']} x {r['rule']}" for r in kinds]
+    where = f"all sentences are in {house.path}/staging/problems"
+    raise BatchRejected("\n".join(["data quality check failed:", *lines, where]))
 
 
-def _broken_line(spark, source, rows, checked: DataFrame) -> str:
+def _broken_line(spark, source, found: DataFrame, checked: DataFrame) -> str:
     """Name the first broken line; only its file is read again, for the line number."""
     key = checked.where("broken").agg(F.min("object_key")).first()[0]
-    files = [(r.path, r.length) for r in rows if r.object_key == key]
-    raw = fs.read_lines(spark, source, [path for path, _ in files])
-    numbered = number_lines(raw, fs.max_blocks(spark, files))
+    numbered = number_lines(fs.read_lines(spark, source, found.where(F.col("object_key") == key)))
     broken = drop_blank(numbered).where(f"{members_sql('value')} is null")
     line_no = broken.agg(F.min("line_no")).first()[0]
     return f"{key} line {line_no} is not a valid JSON object"
 
 
-def _quarantine(house: Warehouse, found: DataFrame, checked: DataFrame, repeated: DataFrame) -> DataFrame:
+def _own_problems(checked: DataFrame) -> DataFrame:
+    """Files with problems that stay whatever other files hold, with their number and the first one.
+
+    An id that occurs twice in one file is such a problem; an id that another file brings too is not.
+    """
     broken = checked.where("broken").select(
         *POSITION, F.lit(-1).alias("rule_no"), F.lit("a line is not a valid JSON object").alias("problem")
     )
-    problems = house.stage("problems", check.problems(checked, repeated).unionByName(broken))
+    inside = check.later_duplicates(
+        check.valid_rows(checked).withColumn("event_id", F.struct("object_key", "event_id"))
+    ).select(
+        *POSITION, F.lit(1).alias("rule_no"),
+        F.concat(F.col("event_id.event_id"), F.lit(": " + check.DUPLICATE)).alias("problem"),
+    )
+    every = (
+        check.schema_problems(checked).unionByName(check.row_problems(checked)).unionByName(broken)
+        .unionByName(inside)
+    )
     order = F.struct("block_start", "row_id", "rule_no")
-    per_file = problems.groupBy("object_key").agg(
+    return every.groupBy("object_key").agg(
         F.count(F.lit(1)).alias("problem_count"), F.min_by("problem", order).alias("first_problem")
     )
-    return house.stage("quarantined_files", found.join(per_file, "object_key"))
-
-
-def _without_files(checked: DataFrame, files: DataFrame) -> DataFrame:
-    """Rows of the other files. Rows of one large file never meet in one task."""
-    names = files.select("object_key")
-    if files.count() <= FEW_FILES:
-        return checked.join(F.broadcast(names), "object_key", "left_anti")
-    parts = 64
-    spread = names.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    return (
-        checked.withColumn("part", F.pmod(F.xxhash64("row_id"), F.lit(parts)).cast("int"))
-        .join(spread, ["object_key", "part"], "left_anti")
-        .drop("part")
-    )
+
+
+def _without_files(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows of the other files. ``files`` is a written table, whose size Spark knows."""
+    return rows.join(files.select("object_key"), "object_key", "left_anti").select(*rows.columns)
 
 
 def _together(*steps):
-    """Results of independent steps, whose Spark jobs may share the cluster."""
+    """Independent steps, whose Spark jobs may share the cluster."""
     with ThreadPoolExecutor(len(steps)) as pool:
-        return [job.result() for job in [pool.submit(step) for step in steps]]
+        for job in [pool.submit(step) for step in steps]:
+            job.result()
 
 
-def _prepare(house: Warehouse, enriched: DataFrame, recompute_aggregates: bool) -> list[Pending]:
-    """Write the next version of every table; the caller makes them live.
+def _load(house: Warehouse, checked: DataFrame, recompute_aggregates: bool) -> None:
+    """Upsert the five tables from checked events.
 
     The gate has made sure that event ids are unique, and aggregates are unique by their
     grouping, so the upserts need not check their sources again.
     """
-    events = house.table("telemetry_enriched")
+    enriched = checked.select(*ENRICHED.names)
 
-    def upsert_alerts() -> list[Pending]:
-        staged = house.stage("alerts", transform.alerts(enriched))
-        return [house.table("alerts").prepare_upsert(staged, keys_checked=True)]
+    def put(name: str, rows: DataFrame, replaced: DataFrame | None = None) -> None:
+        staged = house.stage(name, rows)
+        house.table(name).upsert(staged, house.stage, replaced, keys_checked=True)
 
-    if not recompute_aggregates:
-        done = _together(
-            lambda: [events.prepare_upsert(enriched, keys_checked=True)],
-            upsert_alerts,
-            lambda: _prepare_hourly(house, transform.hourly_metrics(enriched)),
-            lambda: _prepare_daily(house, transform.daily_metrics(enriched)),
+    def put_hourly(rows: DataFrame, replaced: DataFrame | None = None) -> None:
+        put("vehicle_hourly_metrics", rows, replaced)
+
+    def put_daily(rows: DataFrame, replaced: DataFrame | None = None) -> None:
+        staged = house.stage("daily_metrics", rows)
+        _together(
+            lambda: put("trip_metrics", transform.trips_of(staged), replaced),
+            lambda: put("battery_health", transform.battery_of(staged), replaced),
         )
-        return [version for versions in done for version in versions]
 
-    # The aggregates come from all events, also those loaded earlier, so the events go first.
-    days = distinct_days(enriched, "event_date")
-    replaced = house.stage(
-        "replaced_events",
-        events.replaced_rows(enriched, days).select("vin", "event_date", "event_hour"),
-    )
-    new_events = events.prepare_upsert(enriched, keys_checked=True)
-    days |= distinct_days(replaced, "event_date")
-    all_events = new_events.read().where(F.col("event_date").isin(sorted(days)))
+    events = house.table("telemetry_enriched")
+    if not recompute_aggregates:
+        _together(
+            lambda: events.upsert(enriched, house.stage, keys_checked=True),
+            lambda: put("alerts", transform.alerts(enriched)),
+            lambda: put_hourly(transform.hourly_metrics(enriched)),
+            lambda: put_daily(transform.daily_metrics(enriched)),
+        )
+        return
+
+    # The aggregates come from all events, also those loaded earlier, so the events go first. What
+    # they replace is noted before: a run that is repeated after a crash would not find it again,
+    # so groups that lost events are kept in a table until the run is complete.
+    lost = house.table("telemetry_enriched").replaced_rows(enriched).select("vin", "event_date", "event_hour")
+    pending = AppendTable(house.spark, f"{house.path}/raw/touched_groups", lost.schema)
+    pending.append(lost)
+    replaced = house.stage("replaced_events", pending.read().distinct())
     hour, day = ("vin", "event_hour"), ("vin", "event_date")
     hours = house.stage("touched_hours", touched_keys(enriched, replaced, hour))
     dates = house.stage("touched_days", touched_keys(enriched, replaced, day))
-    done = _together(
-        upsert_alerts,
-        lambda: _prepare_hourly(
-            house, recompute(transform.hourly_metrics, all_events, hours, hour), hours),
-        lambda: _prepare_daily(
-            house, recompute(transform.daily_metrics, all_events, dates, day), dates),
+    events.upsert(enriched, house.stage, keys_checked=True)
+    all_events = events.read_days(
+        distinct_days(dates, "event_date") | distinct_days(hours, "to_date(event_hour)")
     )
-    return [new_events, *(version for versions in done for version in versions)]
-
-
-def _prepare_hourly(house: Warehouse, hourly: DataFrame, replaced: DataFrame | None = None) -> list[Pending]:
-    staged = house.stage("vehicle_hourly_metrics", hourly)
-    return [house.table("vehicle_hourly_metrics").prepare_upsert(staged, replaced, keys_checked=True)]
-
-
-def _prepare_daily(house: Warehouse, daily: DataFrame, replaced: DataFrame | None = None) -> list[Pending]:
-    staged = house.stage("daily_metrics", daily)
-    sources = {"trip_metrics": transform.trips_of(staged), "battery_health": transform.battery_of(staged)}
-    return _together(*[
-        partial(house.table(name).prepare_upsert, rows, replaced, keys_checked=True)
-        for name, rows in sources.items()
-    ])
+    _together(
+        lambda: put("alerts", transform.alerts(enriched)),
+        lambda: put_hourly(recompute(transform.hourly_metrics, all_events, hours, hour), hours),
+        lambda: put_daily(recompute(transform.daily_metrics, all_events, dates, day), dates),
+    )
+    replaced.limit(0).write.mode("overwrite").parquet(pending.path)

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltlog.operators import check, merge, reports, transform
+from voltlog.operators.lines import members_sql, number_lines
 from voltlog.plans import adapter
 from voltlog.plans.batch import Warehouse, run_batch
 from voltlog.schemas import FIELD_NAMES, TABLES
 from voltlog.session import configure, scratch_folder
 from voltlog.sources.files import Source, new_files
-from voltlog.sources.jsonl import read_clean, write_json_lines
+from voltlog.sources.jsonl import read_clean, to_lines, write_json_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,7 +58,7 @@ def _row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @lru_cache(maxsize=4)
 def _lines_folder(spark: SparkSession, sf_dir: str, defects: bool) -> str:
     folder = scratch_folder(spark)
-    adapter.json_lines(adapter.spread(adapter.telemetry(spark, sf_dir)), defects).write.parquet(folder)
+    adapter.json_lines(adapter.telemetry(spark, sf_dir), defects).write.parquet(folder)
     return folder
 
 
@@ -82,6 +83,37 @@ def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(_checked_folder(spark, sf_dir))
 
 
+@lru_cache(maxsize=4)
+def _odd_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Checked lines of which some are written in an odd way, right or wrong."""
+    folder = scratch_folder(spark)
+    check.check_schema(adapter.odd_lines(adapter.telemetry(spark, sf_dir))).write.parquet(folder)
+    return folder
+
+
+def _odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_odd_folder(spark, sf_dir))
+
+
+def _odd_line_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return check.clean_events(_odd(spark, sf_dir))
+
+
+def _odd_line_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return check.schema_problems(_odd(spark, sf_dir)).select("row_id", "problem")
+
+
+def _problems_by_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bad = _odd(spark, sf_dir).where("error_field IS NOT NULL")
+    return bad.groupBy("error_field").agg(F.count(F.lit(1)).alias("problems"))
+
+
+def _broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are no JSON object, with their numbers in the file."""
+    raw = adapter.odd_lines(adapter.telemetry(spark, sf_dir))
+    return number_lines(raw).where(f"{members_sql('value')} IS NULL").select("object_key", "row_id", "line_no")
+
+
 def _sentences(build) -> Query:
     return lambda spark, sf_dir: build(_checked(spark, sf_dir)).select("row_id", "rule_no", "problem")
 
@@ -146,12 +178,19 @@ def _upserted(name: str) -> Query:
     return query
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """As a run stages its tables: later steps read them instead of working them out again."""
+    folder = scratch_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def _recomputed(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        first, second = _enriched_batches(spark, sf_dir)
+        first, second = map(_written, _enriched_batches(spark, sf_dir))
         build, keys = BUILDERS[name], TABLES[name].keys
         replaced = first.join(second.select("event_id"), "event_id", "left_semi")
-        touched = merge.touched_keys(second, replaced, keys)
+        touched = _written(merge.touched_keys(second, replaced, keys))
         events = merge.upsert(first, second, TABLES["telemetry_enriched"].keys)
         fresh = merge.recompute(build, events, touched, keys)
         return merge.upsert(build(first), fresh, keys, replaced=touched)
@@ -174,7 +213,9 @@ def _loaded(spark: SparkSession, sf_dir: str, recompute: bool) -> str:
     root = scratch_folder(spark)
     source = Source(f"{root}/source", suffix=".txt")
     for no, batch in enumerate(adapter.batches(spark, sf_dir), start=1):
-        write_json_lines(batch, f"{source.folder}/batch={no}")
+        day = F.to_date(F.get_json_object("value", "$.event_ts"))
+        lines = to_lines(batch).withColumn("day", day)
+        lines.write.partitionBy("day").text(f"{source.folder}/batch={no}")
         run_batch(spark, source, f"{root}/warehouse", recompute_aggregates=recompute)
     return f"{root}/warehouse"
 
@@ -190,13 +231,36 @@ def _loaded_table(name: str, recompute: bool = False) -> Query:
     return _from_warehouse(lambda house: house.table(name).read(), recompute)
 
 
-def _ledger_totals(house: Warehouse) -> DataFrame:
-    """Files and bytes in the ledger, with the number of entries that occur twice."""
-    entries = house.ledger.read().groupBy("object_key", "etag").agg(F.count(F.lit(1)).alias("n"))
-    return entries.agg(
-        F.count_if(F.col("object_key").startswith("telemetry/batch=")).alias("files"),
-        F.count_if(F.col("n") > 1).alias("repeated"),
-    ).select((F.col("files") > 0).alias("has_files"), "repeated")
+def _folders(files: DataFrame) -> DataFrame:
+    """Folders of recorded files, with the number of keys that are recorded more than once."""
+    entries = files.groupBy("object_key", "etag").agg(F.count(F.lit(1)).alias("n"))
+    folder = F.regexp_extract("object_key", "^(.*)/[^/]*$", 1)
+    return entries.groupBy(folder.alias("folder")).agg(F.count_if(F.col("n") > 1).alias("repeated"))
+
+
+@lru_cache(maxsize=4)
+def _quarantined(spark: SparkSession, sf_dir: str) -> str:
+    """A warehouse after a run over a hundred files, some with odd lines, that sets bad files aside."""
+    root = scratch_folder(spark)
+    source = Source(f"{root}/source", suffix=".txt")
+    lines = adapter.odd_lines(adapter.telemetry(spark, sf_dir))
+    file = (F.col("row_id") % 100).alias("file")
+    lines.select("value", file).repartition("file").write.partitionBy("file").text(source.folder)
+    run_batch(spark, source, f"{root}/warehouse", quarantine_bad_files=True)
+    return f"{root}/warehouse"
+
+
+def _quarantined_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = Warehouse(spark, _quarantined(spark, sf_dir)).quarantine.read()
+    return files.select(F.regexp_extract("object_key", "^(.*)/[^/]*$", 1).alias("folder"), "problem_count")
+
+
+def _files_beside_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _folders(Warehouse(spark, _quarantined(spark, sf_dir)).ledger.read())
+
+
+def _events_beside_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Warehouse(spark, _quarantined(spark, sf_dir)).table("telemetry_enriched").read()
 
 
 QUERIES: dict[str, Query] = {
@@ -225,7 +289,14 @@ QUERIES: dict[str, Query] = {
     "key_violations": _key_violations,
     **{f"loaded_{name}": _loaded_table(name) for name in TABLES},
     "loaded_row_counts": _from_warehouse(lambda house: reports.row_counts(house.tables())),
-    "loaded_ledger": _from_warehouse(_ledger_totals),
+    "loaded_files": _from_warehouse(lambda house: _folders(reports.loaded_files(house.ledger.read()))),
+    "odd_line_events": _odd_line_events,
+    "odd_line_problems": _odd_line_problems,
+    "problems_by_field": _problems_by_field,
+    "broken_lines": _broken_lines,
+    "quarantined_files": _quarantined_files,
+    "files_beside_quarantine": _files_beside_quarantine,
+    "events_beside_quarantine": _events_beside_quarantine,
     **{f"loaded_recomputed_{name}": _loaded_table(name, recompute=True)
        for name in ("vehicle_hourly_metrics", "trip_metrics", "battery_health")},
 }
@@ -235,7 +306,9 @@ def forget_written_tables() -> None:
     """Make the next query write its intermediate tables anew."""
     _lines_folder.cache_clear()
     _checked_folder.cache_clear()
+    _odd_folder.cache_clear()
     _loaded.cache_clear()
+    _quarantined.cache_clear()
 
 
 def queries() -> dict[str, Query]:
@@ -311,7 +384,7 @@ _LINES = f"""WITH {_TELEM}, numbered AS (
   FROM telem
 ), lines AS (
   SELECT n, place,
-    CASE place WHEN 5 THEN 'evt_' || lpad(cast(n - 5 AS string), 8, '0') ELSE event_id END AS event_id,
+    CASE place WHEN 5 THEN {adapter.event_id_sql('(n - 5)')} ELSE event_id END AS event_id,
     vin, event_ts,
     CASE place WHEN 2 THEN event_ts - INTERVAL '10' SECOND ELSE ingest_ts END AS ingest_ts,
     CASE place WHEN 4 THEN 'alert' ELSE event_type END AS event_type,
@@ -351,6 +424,22 @@ _RULES = {
 }
 
 
+def _odd_sql() -> str:
+    """Numbers of odd lines with the field and the error; no error: accepted, empty: broken."""
+    text = lambda t: "NULL" if t is None else "'" + t.replace("'", "''") + "'"
+    # an unknown field is reported by its own name
+    named = [("extra" if e == "Extra inputs are not permitted" else f, e) for f, _, _, e in adapter.ODD_LINES]
+    values = ", ".join(f"({i + adapter.FIRST_ODD}, {text(f)}, {text(e)})" for i, (f, e) in enumerate(named))
+    return f"""WITH {_TELEM}, odd(place, field, error) AS (VALUES {values}),
+numbered AS (SELECT *, cast(substr(event_id, 5) AS bigint) AS n FROM telem),
+lines AS (SELECT numbered.*, field, error FROM numbered LEFT JOIN odd ON n % 1000 = place)"""
+
+
+_SHOWN_ID = f"""CASE n % 1000 WHEN {adapter.FIRST_ODD} THEN 'evt_1' WHEN {adapter.FIRST_ODD + 1} THEN '12345678'
+  ELSE event_id END"""
+_BAD_BUCKETS = "SELECT DISTINCT n % 100 FROM lines WHERE error IS NOT NULL"
+
+
 def _vehicle_files_sql(source: str) -> str:
     return f"""SELECT 'telemetry/' || vin || '/events.jsonl' AS object_key,
   md5(cast(count(*) AS string) || '-' || cast(sum(cast(substr(event_id, 5) AS bigint)) AS string)) AS etag
@@ -412,7 +501,24 @@ SELECT event_id, count(*) AS row_count, cast(0 AS bigint) AS missing_count
 FROM (SELECT * FROM first_batch UNION ALL SELECT * FROM second_batch) both_batches
 GROUP BY event_id HAVING count(*) > 1""",
         "loaded_row_counts": _merged_counts_sql(),
-        "loaded_ledger": "SELECT count(*) > 0 AS has_files, cast(0 AS bigint) AS repeated FROM events",
+        "loaded_files": f"""{_BATCHES}, days AS (
+  SELECT DISTINCT 1 AS batch, event_date FROM e1 UNION ALL SELECT DISTINCT 2 AS batch, event_date FROM e2)
+SELECT 'telemetry/batch=' || cast(batch AS string) || '/day=' || cast(event_date AS string) AS folder,
+  cast(0 AS bigint) AS repeated FROM days""",
+        "odd_line_events": f"{_odd_sql()} SELECT {columns} FROM lines WHERE error IS NULL",
+        "odd_line_problems": f"""{_odd_sql()} SELECT n AS row_id, {_SHOWN_ID} || ': field ' || chr(39) || field
+  || chr(39) || ' is wrong: ' || error AS problem FROM lines WHERE error <> ''""",
+        "problems_by_field": f"""{_odd_sql()} SELECT field AS error_field, count(*) AS problems
+FROM lines WHERE error <> '' GROUP BY field""",
+        "broken_lines": f"""{_odd_sql()} SELECT 'telemetry/events.jsonl' AS object_key, n AS row_id,
+  n - (SELECT min(n) FROM lines) + 1 AS line_no FROM lines WHERE error = ''""",
+        "quarantined_files": f"""{_odd_sql()} SELECT 'telemetry/file=' || cast(n % 100 AS string) AS folder,
+  count(*) AS problem_count FROM lines WHERE error IS NOT NULL GROUP BY n % 100""",
+        "files_beside_quarantine": f"""{_odd_sql()}
+SELECT DISTINCT 'telemetry/file=' || cast(n % 100 AS string) AS folder, cast(0 AS bigint) AS repeated
+FROM lines WHERE n % 100 NOT IN ({_BAD_BUCKETS})""",
+        "events_beside_quarantine": f"""{_odd_sql()}, kept AS (
+  SELECT {columns} FROM lines WHERE n % 100 NOT IN ({_BAD_BUCKETS})) {_enriched_sql('kept')}""",
     }
     sql |= {name: f"{_LINES} {rule}" for name, rule in _RULES.items()}
     for name in TABLES:

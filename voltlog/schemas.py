@@ -69,6 +69,7 @@ def _struct(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, _BY_NAME[kind]) for name, kind in pairs])
 
 
+# --- fixed values: columns of the curated tables and of the ledger -------------
 ENRICHED = T.StructType(
     EVENT.fields
     + _struct(
@@ -91,15 +92,11 @@ BATTERY = _struct(
     "vin string, event_date date, avg_battery_soc double, min_battery_soc double, "
     "avg_battery_temp_c double, max_battery_temp_c double, charge_events bigint"
 )
-# length and modified_at let a later run skip re-reading content it already hashed.
-LEDGER = _struct(
-    "bucket_name string, object_key string, etag string, processed_at timestamp, "
-    "length bigint, modified_at timestamp"
-)
-LEDGER_COLUMNS = ("bucket_name", "object_key", "etag", "processed_at")
+LEDGER = _struct("bucket_name string, object_key string, etag string, processed_at timestamp")
+# --- end of fixed values ------------------------------------------------------
 QUARANTINE = _struct(
     "bucket_name string, object_key string, etag string, problem_count bigint, "
-    "first_problem string, quarantined_at timestamp, length bigint, modified_at timestamp"
+    "first_problem string, quarantined_at timestamp"
 )
 
 

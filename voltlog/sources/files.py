@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,21 +11,21 @@ from pyspark.sql import types as T
 from voltlog.operators.lines import number_lines
 from voltlog.sources import hadoop
 
-# Larger files are fingerprinted line by line instead of as one byte array.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
-
 LISTING = T.StructType(
     [
         T.StructField("bucket_name", T.StringType()),
         T.StructField("object_key", T.StringType()),
         T.StructField("path", T.StringType()),
         T.StructField("length", T.LongType()),
-        T.StructField("modified_at", T.TimestampType()),
     ]
 )
 NEW_FILES = T.StructType([*LISTING.fields, T.StructField("etag", T.StringType())])
 
 
+class UnreadableFiles(ValueError):
+    """Candidate files that Spark's readers pass over because of their names."""
+
+
 @dataclass(frozen=True)
 class Source:
     """A bucket or folder and the prefix below it that holds the raw files."""
@@ -41,15 +40,17 @@ class Source:
 
 
 def list_files(spark: SparkSession, source: Source) -> DataFrame:
-    """All candidate files with size and change time; no content is read.
+    """All candidate files with their size; no content is read.
 
-    The listing is Spark's own, so folder names such as ``hour=08`` mean nothing, and names
-    that start with a dot or underscore are not seen. As always with it, the driver holds
-    the names of all files; ``run_batch`` takes an inventory table instead where that is
-    too much.
+    The listing is Spark's own, so folder names such as ``hour=08`` mean nothing. It passes over
+    names that start with a dot or underscore; if there are candidates among those, that is an
+    error which names them, so that a part is never taken for the whole. Where a listing is too much for
+    the driver, ``run_batch`` takes an inventory table instead.
     """
     if not hadoop.exists(spark, source.folder):
         return spark.createDataFrame([], LISTING)
+    if hidden := hadoop.hidden_files(spark, source.folder, source.suffix):
+        raise UnreadableFiles("these names start with a dot or underscore, rename them: " + ", ".join(hidden))
     scan = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -62,7 +63,6 @@ def list_files(spark: SparkSession, source: Source) -> DataFrame:
         _key_of(spark, source, F.col("path")).alias("object_key"),
         "path",
         "length",
-        F.col("modificationTime").alias("modified_at"),
     )
     return listed.unionByName(_empty_files(spark, source, scan, listed))
 
@@ -76,7 +76,6 @@ def _empty_files(spark: SparkSession, source: Source, scan: DataFrame, listed: D
         _key_of(spark, source, path).alias("object_key"),
         path.alias("path"),
         F.lit(0).cast("bigint").alias("length"),
-        F.timestamp_micros(F.lit(0)).alias("modified_at"),
     ).join(listed.select("object_key"), "object_key", "left_anti").select(*LISTING.names)
 
 
@@ -93,91 +92,65 @@ def candidate_report(spark: SparkSession, source: Source) -> DataFrame:
     return files
 
 
-def unseen(listing: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Files that were never recorded with the same size and change time.
-
-    Only a shortcut: whatever is left is compared by content in ``new_files``.
-    """
-    return listing.join(ledger, ["object_key", "length", "modified_at"], "left_anti")
-
-
 def new_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """Files whose key and fingerprint are not in the ledger; the bucket does not count."""
     return files.join(ledger, ["object_key", "etag"], "left_anti")
 
 
 def with_etags(spark: SparkSession, source: Source, candidates: DataFrame) -> DataFrame:
-    """Add a fingerprint of the content.
+    """Add a fingerprint of the content, made the same way for files of every size.
 
-    The driver handles the names of files not seen before, as Spark's file index does.
+    It holds the length of the file, the number of its lines, and two sums over hashes of line
+    number and line, where a carriage return is part of the line. It does not depend on how a
+    file is split, and no task holds more than one line. ``candidates`` must be a written table.
     """
-    rows = candidates.select("path", "length").collect()
-    small = [r.path for r in rows if 0 < r.length <= WHOLE_FILE_BYTES]
-    large = [(r.path, r.length) for r in rows if r.length > WHOLE_FILE_BYTES]
-    etags = candidates.where("length = 0").select(
-        "object_key", F.md5(F.lit("").cast("binary")).alias("etag")
-    )
-    if small:
-        etags = etags.unionByName(
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .load(_literal(small))
-            .select(
-                _key_of(spark, source, F.col("path")).alias("object_key"),
-                F.md5("content").alias("etag"),
-            )
-        )
-    if large:
-        etags = etags.unionByName(line_etags(spark, source, large))
-    return candidates.join(etags, "object_key").select(*NEW_FILES.names)
-
-
-def line_etags(spark: SparkSession, source: Source, files: list[tuple[str, int]]) -> DataFrame:
-    """Fingerprints from the numbered lines of files too large for one byte array.
-
-    The result does not depend on how the files are split, and no task holds more than one
-    line. Files that differ only in the kind of line break are told apart by their size.
-    """
-    numbered = number_lines(
-        read_lines(spark, source, [path for path, _ in files]), max_blocks(spark, files)
-    )
+    lines = number_lines(read_lines(spark, source, candidates, separator="\n"))
     line = ["line_no", "value"]
-    return numbered.groupBy("object_key").agg(
+    sums = lines.groupBy("object_key").agg(
         F.concat_ws(
             "-",
-            F.lit("lines"),
             F.count(F.lit(1)),
             F.hex(F.bit_xor(F.xxhash64(*line))),
             F.hex(F.bit_xor(F.xxhash64(*reversed(line)))),
-        ).alias("etag")
+        ).alias("sums")
     )
+    etag = F.concat_ws("-", F.col("length"), F.coalesce("sums", F.lit("empty")))
+    return candidates.join(sums, "object_key", "left").select(*LISTING.names, etag.alias("etag"))
 
 
-def max_blocks(spark: SparkSession, files: Iterable[tuple[str, int]]) -> int:
-    """Upper bound for the number of splits of these files."""
-    smallest = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.openCostInBytes")))
-    largest = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")))
-    return sum(length // max(1, min(smallest, largest)) + 1 for _, length in files)
-
-
-def read_lines(spark: SparkSession, source: Source, paths: list[str]) -> DataFrame:
+def read_lines(
+    spark: SparkSession, source: Source, files: DataFrame, separator: str | None = None
+) -> DataFrame:
     """Every line of the files with its position, blank lines included.
 
     Any later shuffle or filter leaves the positions as they are, so they can serve as
-    order of the records: files by key, lines as in the file.
+    order of the records: files by key, lines as in the file. Only the names of folders come to
+    the driver; of the files in them, those in ``files`` (a written table) are kept by a join.
     """
-    return (
-        spark.read.option("recursiveFileLookup", "true")
-        .text(_literal(paths))
-        .select(
-            _key_of(spark, source, _decoded(F.col("_metadata.file_path"))).alias("object_key"),
-            F.col("_metadata.file_block_start").alias("block_start"),
-            F.monotonically_increasing_id().alias("row_id"),
-            "value",
-        )
+    schema = "object_key string, block_start bigint, row_id bigint, value string"
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
+    folders = _topmost({r[0] for r in files.where("length > 0").select(folder).distinct().collect()})
+    if not folders:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{source.suffix}")
+    if separator:
+        reader = reader.option("lineSep", separator)
+    lines = reader.text(_literal(folders)).select(
+        _key_of(spark, source, _decoded(F.col("_metadata.file_path"))).alias("object_key"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("row_id"),
+        "value",
     )
+    return lines.join(files.select("object_key"), "object_key", "left_semi")
+
+
+def _topmost(folders: set[str]) -> list[str]:
+    """The folders without those that lie inside another one of them."""
+    kept: list[str] = []
+    for folder in sorted(folders, key=lambda f: f + "/"):
+        if not (kept and folder.startswith(kept[-1] + "/")):
+            kept.append(folder)
+    return kept
 
 
 def _decoded(uri: Column) -> Column:

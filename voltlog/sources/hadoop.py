@@ -23,29 +23,30 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def children(spark: SparkSession, path: str) -> list[str]:
-    fs, jpath = _path(spark, path)
-    return sorted(s.getPath().getName() for s in fs.listStatus(jpath)) if fs.exists(jpath) else []
-
-
-def read_text(spark: SparkSession, path: str) -> str:
-    fs, jpath = _path(spark, path)
-    stream = fs.open(jpath)
-    try:
-        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def create_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file that appears whole or not at all; fail if the name is taken."""
-    fs, target = _path(spark, path)
-    folder, name = path.rsplit("/", 1)
-    _, partial = _path(spark, f"{folder}/.{name}.partial")
-    stream = fs.create(partial, True)
-    try:
-        stream.write(bytearray(text.encode("utf-8")))
-    finally:
-        stream.close()
-    if fs.exists(target) or not fs.rename(partial, target):
-        raise FileExistsError(path)
+def _matching(spark: SparkSession, pattern: str) -> list[JavaObject]:
+    fs, jpath = _path(spark, pattern)
+    return list(fs.globStatus(jpath) or [])
+
+
+def hidden_files(spark: SparkSession, folder: str, suffix: str) -> list[str]:
+    """Files with the suffix whose own name, or that of a folder below ``folder``, starts with ``.`` or ``_``.
+
+    Patterns go down level by level, so only hidden names come to Python. Writers' markers, which
+    do not have the suffix, are no candidates.
+    """
+    found: list[str] = []
+    escaped = "".join("\\" + c if c in "{}[]*?\\" else c for c in folder)
+    level = escaped
+    while level and (level == escaped or len(_matching(spark, level))):
+        for status in _matching(spark, f"{level}/[._]*"):
+            path = status.getPath()
+            if status.isDirectory():
+                fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+                inside = fs.listFiles(path, True)
+                while inside.hasNext():
+                    name = inside.next().getPath().toString()
+                    found += [name] if name.endswith(suffix) else []
+            elif path.getName().endswith(suffix):
+                found.append(path.toString())
+        level = f"{level}/[!._]*"
+    return sorted(found)

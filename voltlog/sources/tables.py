@@ -1,15 +1,13 @@
-"""Curated tables: Parquet folders with a numbered list of the folders that are live.
+"""Curated tables: plain Parquet folders, one per day, changed by whole days.
 
-Plain Parquet has no upsert. An upsert writes folders that no reader knows yet and then
-makes them live by creating the next numbered list, so that readers and a crash see the
-old or the new state and nothing in between. A table format with ``MERGE INTO`` can take
-the place of this module.
+A run may only be repeated after a crash, never run twice at the same time: every step can be
+done again with the same result, and the ledger, which says that a file is loaded, is written last.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,162 +18,116 @@ from voltlog.operators.merge import key_violations, upsert
 from voltlog.schemas import TableSpec
 from voltlog.sources import hadoop
 
+Stage = Callable[[str, DataFrame], DataFrame]
+
 
 class KeyViolation(ValueError):
     """The source of an upsert has a key twice, or a required column is empty."""
 
 
 @dataclass(frozen=True)
-class Pending:
-    """A written version that readers do not see before ``commit``."""
-
-    table: "FolderTable"
-    version: int
-    folders: tuple[str, ...]
-
-    def read(self) -> DataFrame:
-        return self.table.read_folders(self.folders)
-
-    def commit(self) -> None:
-        self.table.commit(self)
-
-
-@dataclass(frozen=True)
-class FolderTable:
-    """A versioned table without upsert: rows are only added."""
+class AppendTable:
+    """A table to which rows are only added."""
 
     spark: SparkSession
     path: str
     schema: T.StructType
 
-    def version(self) -> int:
-        names = hadoop.children(self.spark, f"{self.path}/versions")
-        return max((int(n) for n in names if n.isdigit()), default=0)
-
-    def folders(self, version: int | None = None) -> tuple[str, ...]:
-        version = self.version() if version is None else version
-        if version == 0:
-            return ()
-        return tuple(json.loads(hadoop.read_text(self.spark, f"{self.path}/versions/{version:09d}")))
-
     def read(self) -> DataFrame:
-        return self.read_folders(self.folders())
-
-    def read_folders(self, folders: tuple[str, ...]) -> DataFrame:
-        if not folders:
+        if not hadoop.exists(self.spark, self.path):
             return self.spark.createDataFrame([], self.schema)
-        return (
-            self.spark.read.schema(self.stored_schema())
-            .option("basePath", f"{self.path}/data")
-            .parquet(*[f"{self.path}/data/{folder}" for folder in folders])
-            .select(*self.schema.names)
-        )
-
-    def stored_schema(self) -> T.StructType:
-        return self.schema
-
-    def prepare_append(self, rows: DataFrame) -> Pending:
-        version = self.version()
-        folder = f"v={version + 1}"
-        rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/data/{folder}")
-        return Pending(self, version + 1, (*self.folders(version), folder))
+        return self.spark.read.schema(self.schema).parquet(self.path)
 
-    def commit(self, pending: Pending) -> None:
-        if self.version() != pending.version - 1:
-            raise RuntimeError(f"{self.path}: another run has written a version meanwhile")
-        hadoop.create_text(
-            self.spark, f"{self.path}/versions/{pending.version:09d}", json.dumps(pending.folders, indent=0)
-        )
+    def append(self, rows: DataFrame) -> None:
+        rows.select(*self.schema.names).write.mode("append").parquet(self.path)
 
 
 @dataclass(frozen=True)
-class CuratedTable(FolderTable):
-    """A table with upsert by key, kept in one folder per day and version."""
+class CuratedTable:
+    """A table with upsert by key, partitioned by day."""
 
+    spark: SparkSession
+    path: str
     spec: TableSpec
 
     @classmethod
     def open(cls, spark: SparkSession, warehouse: str, spec: TableSpec) -> "CuratedTable":
-        return cls(spark, f"{warehouse.rstrip('/')}/curated/{spec.name}", spec.schema, spec)
+        return cls(spark, f"{warehouse.rstrip('/')}/curated/{spec.name}", spec)
 
-    def stored_schema(self) -> T.StructType:
-        day = self.spec.day_column
-        if day in self.schema.names:
-            return self.schema
-        return T.StructType([*self.schema.fields, T.StructField(day, T.DateType())])
+    def _stored(self) -> DataFrame:
+        """All rows with the day column, which is a folder name and so prunes folders."""
+        day = T.StructField(self.spec.day_column, T.DateType())
+        fields = [f for f in self.spec.schema.fields if f.name != day.name]
+        if not hadoop.exists(self.spark, self.path):
+            return self.spark.createDataFrame([], T.StructType([*fields, day]))
+        return self.spark.read.schema(T.StructType([*fields, day])).parquet(self.path)
+
+    def read(self) -> DataFrame:
+        return self._stored().select(*self.spec.schema.names)
 
     def read_days(self, days: set[dt.date]) -> DataFrame:
-        return self.read_folders(self._of_days(self.folders(), days))
+        return self._of_days(days).select(*self.spec.schema.names)
 
-    def _of_days(self, folders: tuple[str, ...], days: set[dt.date]) -> tuple[str, ...]:
-        names = {f"{self.spec.day_column}={day.isoformat()}" for day in days}
-        return tuple(f for f in folders if f.rsplit("/", 1)[1] in names)
+    def _of_days(self, days: set[dt.date]) -> DataFrame:
+        return self._stored().where(F.col(self.spec.day_column).isin(sorted(days)))
 
-    def replaced_rows(self, source: DataFrame, source_days: set[dt.date]) -> DataFrame:
-        """Rows that an upsert of ``source`` replaces."""
-        return self._candidates(self.folders(), source_days).join(
-            source.select(*self.spec.keys), list(self.spec.keys), "left_semi"
-        )
+    def replaced_rows(self, gone: DataFrame) -> DataFrame:
+        """Stored rows, with the day column, whose key is among those of ``gone``.
 
-    def _candidates(self, folders: tuple[str, ...], source_days: set[dt.date]) -> DataFrame:
-        # An event keeps its id when a correction moves it to another day, so for such keys
-        # every day is looked at, though only in the key column.
+        An event keeps its id when a correction moves it to another day, so for such keys every
+        day is looked at, though only in the columns that are asked for. ``gone`` is a written table, so
+        Spark knows its size and sends it to the stored rows rather than shuffling those.
+        """
+        rows = self._stored()
         if self.spec.day_in_key:
-            folders = self._of_days(folders, source_days)
-        return self.read_folders(folders)
+            rows = self._of_days(distinct_days(gone, self.spec.day))
+        keys = gone.select(*self.spec.keys)
+        return rows.join(keys, list(self.spec.keys), "left_semi")
 
     def check_source(self, source: DataFrame) -> None:
-        bad = key_violations(source, self.spec.keys, self.spec.required).limit(5).collect()
+        bad = key_violations(source, self.spec.keys, self.spec.required).count()
         if bad:
-            raise KeyViolation(f"{self.spec.name}: duplicate or missing keys in the source: {bad}")
+            raise KeyViolation(f"{self.spec.name}: {bad} duplicate or missing keys in the source")
 
-    def prepare_upsert(self, source: DataFrame, replaced: DataFrame | None = None,
-                       keys_checked: bool = False) -> Pending:
-        """Write the next version.
+    def upsert(self, source: DataFrame, stage: Stage, replaced: DataFrame | None = None,
+               keys_checked: bool = False) -> None:
+        """Put the rows of ``source`` in place of those with the same keys.
 
-        Days that lose a row are written anew; days that only gain rows get one more
-        folder; all others stay as they are. ``replaced`` names the keys that leave the
-        table where those are not the keys of the source. ``source`` is read several times
-        and must give the same rows each time, so pass a written table.
+        Rows of days that lose nothing are appended; days that lose a row are written anew through
+        staging, which ``stage`` writes and reads back. ``replaced`` names the keys that leave the
+        table where those are not the keys of the source. Both must be written tables. After a crash in
+        between, the same upsert completes the work.
         """
         if not keys_checked:
             self.check_source(source)
-        spec, version = self.spec, self.version()
-        folders, new = self.folders(version), f"v={version + 1}"
-        source = source.select(*self.schema.names)
-        gone = (source if replaced is None else replaced).select(*spec.keys)
-        changed = self._changed_days(folders, source, gone, replaced)
-        kept = tuple(f for f in folders if f not in self._of_days(folders, changed))
-        rows = upsert(self.read_folders(self._of_days(folders, changed)), source, spec.keys, gone)
-        self._write(rows, f"{self.path}/data/{new}")
-        written = [
-            f"{new}/{name}"
-            for name in hadoop.children(self.spark, f"{self.path}/data/{new}")
-            if name.startswith(f"{spec.day_column}=")
-        ]
-        return Pending(self, version + 1, (*kept, *written))
-
-    def _changed_days(self, folders, source: DataFrame, gone: DataFrame,
-                      replaced: DataFrame | None) -> set[dt.date]:
-        if not folders:
-            return set()
-        keyed = source if replaced is None else replaced
-        days = distinct_days(keyed, self.spec.day) if self.spec.day_in_key else set()
-        hit = self._candidates(folders, days).join(gone, list(self.spec.keys), "left_semi")
-        return distinct_days(hit, self.spec.day)
-
-    def _write(self, rows: DataFrame, path: str) -> None:
+        spec, day = self.spec, self.spec.day_column
+        gone = source if replaced is None else replaced
+        changed = distinct_days(self.replaced_rows(gone), day)
+        dated = source.withColumn(day, F.expr(spec.day))
+        self._write(dated.where(~F.col(day).isin(sorted(changed))), "append")
+        if changed:
+            rows = upsert(
+                self.read_days(changed), source.where(F.expr(spec.day).isin(sorted(changed))), spec.keys,
+                gone.select(*spec.keys),
+            )
+            staged = stage(f"changed_days_of_{spec.name}", rows.withColumn(day, F.expr(spec.day)))
+            # a day that loses its only rows must be written too, as an empty one
+            for lost in sorted(changed - distinct_days(staged, day)):
+                staged.limit(0).drop(day).write.mode("overwrite").parquet(f"{self.path}/{day}={lost}")
+            self._write(staged, "overwrite")
+
+    def _write(self, rows: DataFrame, mode: str) -> None:
         # The rebalance brings the rows of a day together but splits days that are large,
         # so neither many small files nor one very long task comes out.
-        order = [c for c in ("vin", "event_ts", "event_hour") if c in self.schema.names]
+        order = [c for c in ("vin", "event_ts", "event_hour") if c in self.spec.schema.names]
         day = self.spec.day_column
         (
-            rows.withColumn(day, F.expr(self.spec.day))
-            .hint("rebalance", day)
+            rows.hint("rebalance", day)
             .sortWithinPartitions(day, *order)
-            .write.mode("overwrite")
+            .write.mode(mode)
+            .option("partitionOverwriteMode", "dynamic")
             .partitionBy(day)
-            .parquet(path)
+            .parquet(self.path)
         )
 
 
