@@ -121,6 +121,21 @@ def test_last_of_repeated_keys_counts(spark):
     assert [r["error_field"] for r in rows] == [None, "gear", "latitude"]
 
 
+def test_halves_of_surrogate_pairs_are_no_text(spark):
+    plain = event(event_id="unit_half_1")
+    lines = [
+        json.dumps(plain | {"gear": "\ud83d\ude00"}),
+        json.dumps(plain | {"gear": "x\ud800"}),
+        json.dumps(plain | {"gear": "\udc00y", "latitude": 100}),
+        json.dumps(plain | {"gear": "\ud83d\ude00\ude00"}),
+        json.dumps(plain).replace('"N"', r'"\\ud800"'),
+    ]
+    rows = sorted(check.check_schema(raw_lines(spark, lines)).collect(), key=lambda r: r["row_id"])
+    assert [r["error_field"] for r in rows] == [None, "gear", "latitude", "gear", None]
+    assert rows[0]["gear"] == "\U0001f600" and rows[4]["gear"] == r"\ud800"
+    assert rows[1]["error_text"].startswith("Input should be a valid string, unable")
+
+
 def test_blank_lines(spark):
     lines = ["", "  ", "\t", "  ", "\x1c", "x", " {", GOOD]
     kept = drop_blank(raw_lines(spark, lines)).select("row_id").collect()

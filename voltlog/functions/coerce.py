@@ -18,6 +18,7 @@ FALSE_WORDS = ("0", "off", "f", "false", "n", "no")
 
 MISSING = "Field required"
 NOT_TEXT = "Input should be a valid string"
+HALF_PAIR = "Input should be a valid string, unable to parse raw data as a unicode string"
 TOO_SHORT = "String should have at least %d characters"
 TOO_LONG = "String should have at most %d characters"
 VIN_SPACE = "Value error, VIN cannot contain spaces"
@@ -52,8 +53,8 @@ PLAIN_INSTANT = (
     r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?"
     r"(Z|[+-](0[0-9]|1[0-7]):[0-5][0-9])\z"
 )
-# Text that a strip and upper-casing leave as it is.
-PLAIN_VIN = r"^[0-9A-Z]*\z"
+# Text that a strip leaves as it is and that upper-casing keeps as long as it is.
+PLAIN_VIN = r"^[0-9A-Za-z]*\z"
 _DATE = r"([0-9]{4}-[0-9]{2}-[0-9]{2})"
 _CLOCK = r"[Tt _]((?:[01][0-9]|2[0-3]):[0-5][0-9])(?::([0-5][0-9])(?:[.,]([0-9]+))?)?"
 # The real minus sign U+2212 is as good as a hyphen.

@@ -21,8 +21,8 @@ SCHEMA_PROBLEM = "%s: field '%s' is wrong: %s"
 # --- end of fixed values ------------------------------------------------------
 
 # How a value of each kind looks in a line that needs no second look: the natural JSON type,
-# and printable ASCII without escapes. Quantifiers are possessive, so a match is one pass.
-_TEXT_TOKEN = r'"[ !#-\[\]-~]*+"'
+# and text without escapes. Quantifiers are possessive, so a match is one pass.
+_TEXT_TOKEN = r'"[^"\\\x00-\x1f]*+"'
 _PLAIN_TOKEN = {
     "text": _TEXT_TOKEN,
     "vin": _TEXT_TOKEN,
@@ -58,7 +58,8 @@ def check_schema(raw: DataFrame) -> DataFrame:
     # expressions below into every filter that a caller puts on the result.
     once = F.spark_partition_id() >= 0
     direct = F.from_json("value", _UNREAD)
-    read = raw.select(*POSITION, "value", F.when(once & F.col("value").rlike(_plain_line()), direct).alias("read"))
+    plain = once & F.is_valid_utf8("value") & F.col("value").rlike(_plain_line())
+    read = raw.select(*POSITION, "value", F.when(plain, direct).alias("read"))
     typed = read.selectExpr(*POSITION, "value", *map(_read_sql, FIELDS))
     odd = once & ~_is_plain()
     examined = typed.select("*", F.when(odd, F.expr(_examine_sql())).alias("examined"))
@@ -68,7 +69,7 @@ def check_schema(raw: DataFrame) -> DataFrame:
         "CASE WHEN examined.error IS NOT NULL THEN examined.raw_id END AS raw_id",
         "examined.error.name AS error_field",
         "examined.error.error AS error_text",
-        *[f"CASE WHEN examined IS NULL THEN {f.name} ELSE {_examined_sql(f)} END AS {f.name}" for f in FIELDS],
+        *[f"CASE WHEN examined IS NULL THEN {_plain_sql(f)} ELSE {_examined_sql(f)} END AS {f.name}" for f in FIELDS],
     )
 
 
@@ -83,6 +84,10 @@ def _read_sql(f: Field) -> str:
     return f"CASE WHEN {plain} THEN try_cast(read.{f.name} AS timestamp) END AS {f.name}"
 
 
+def _plain_sql(f: Field) -> str:
+    return f"upper({f.name})" if f.kind == "vin" else f.name
+
+
 def _examined_sql(f: Field) -> str:
     return f"examined.{f.kind}[{_of_kind(f.kind).index(f)}].typed"
 
@@ -132,6 +137,10 @@ def _examine_sql() -> str:
         for kind in _RULES
     )
     known = ", ".join(map(coerce.quoted, FIELD_NAMES))
+    halved = f"regexp_extract(value, {coerce.quoted(_half_pair())}, 1)"
+    errors += f""", CASE WHEN {halved} = '' THEN array() ELSE array(named_struct(
+      'place', cast(array_position(array({known}), {halved}) AS int) - 1, 'name', {halved},
+      'error', {coerce.quoted(coerce.HALF_PAIR)})) END"""
     unknown = f"array_except(json_object_keys(value), array({known}))"
     kinds = ", ".join(f"'{kind}', r.{kind}" for kind in _RULES)
     return f"""
@@ -147,6 +156,14 @@ transform(transform(array({members_sql("value")}), members -> named_struct(
   ) END))[0]"""
 
 
+def _half_pair() -> str:
+    """A text field with an escape for one half of a surrogate pair, which is no character."""
+    names = "|".join(f.name for f in _of_kind("text") + _of_kind("vin"))
+    high, low = r"\\u[dD][89abAB][0-9a-fA-F]{2}", r"\\u[dD][c-fC-F][0-9a-fA-F]{2}"
+    other = rf'(?:[^"\\]|\\[^u]|\\u(?![dD][89a-fA-F])[0-9a-fA-F]{{4}}|{high}{low})'
+    return rf'"({names})"\s*+:\s*+"{other}*+(?:{high}|{low})'
+
+
 def _judged(kind: str) -> str:
     typed, error = _RULES[kind]
     fields = ", ".join(
