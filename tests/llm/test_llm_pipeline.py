@@ -121,3 +121,17 @@ def test_held_out_rule(spark):
 
     rows = spark.range(200).select("id", common.held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in rows)
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_queries_against_sql(spark, name):
+    duckdb = pytest.importorskip("duckdb")
+    with duckdb.connect() as checker:
+        for table in ("documents", "benchmark"):
+            checker.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+        result = checker.execute(queries.oracle_sql()[name])
+        columns = [c[0] for c in result.description]
+        want = sorted(result.fetchall())
+    got = queries.queries()[name](spark, SF)
+    assert sorted(got.columns) == sorted(columns)
+    assert sorted(tuple(r) for r in got.select(*columns).collect()) == want

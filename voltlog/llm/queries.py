@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlog.llm import decontaminate, jaccard, licenses, neighbours, packing, pii, quality, shards, toxicity, url_filter
+from voltlog.llm import decontaminate, jaccard, licenses, neighbours, oracles, packing, pii, quality, shards, toxicity, url_filter
 from voltlog.llm.common import held_out, read, utf8
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,4 +140,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Where SQL can express a query; the others are tested against plain Python or held-out labels."""
+    return {"op4_spaced_seed_decontamination": oracles.LEAKS, "op8_signature_tree_join": oracles.JACCARD}
