@@ -24,6 +24,16 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+#: Bytes of rows that go to a Python worker at a time; the default would hold ten thousand rows of any length.
+BATCH_BYTES = "8m"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The rows, after bounding what a Python worker of this session holds of them at a time."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once per row, also when used inside lambdas."""
     return F.transform(F.array(value), body)[0]
@@ -70,6 +80,6 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, target: str, most: int) -
     ).select("doc_id", F.col(target).cast("int").alias("label"))
     usable = usable.groupBy("doc_id").agg(F.max("label").alias("label"))
     sample = bounded_sample(usable, F.col("doc_id"), most)
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
+    return small_batches(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
         F.broadcast(sample), "doc_id"
     )

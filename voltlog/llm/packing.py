@@ -16,10 +16,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voltlog.llm.common import small_batches
+
 #: Punctuation that may be cut off the end of a word of letters without changing its token ids.
 TAIL = b".,!*&$%#|?;:"
-#: Words kept with their ids by a task; further ones are tokenized each time they occur.
-CACHED_WORDS = 1_000_000
+#: Words kept with their ids by a task; when there are as many, it begins anew.
+CACHED_WORDS = 250_000
 
 
 class WordIds(dict):
@@ -46,8 +48,9 @@ class WordIds(dict):
             ids = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
         else:
             ids = array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
-        if len(self) < CACHED_WORDS:
-            self[word] = ids
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        self[word] = ids
         return ids
 
     def of(self, text: bytes) -> bytes:
@@ -110,7 +113,7 @@ def pack(
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     body = F.coalesce(F.col(text), F.lit(""))
-    dealt = docs.select(
+    dealt = small_batches(docs).select(
         F.col(doc_id).alias("_id"), body.cast("binary").alias("_text")
     ).repartition(F.xxhash64("_id", "_text"))
     end = array("I", [end_id]).tobytes()

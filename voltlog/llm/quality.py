@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltlog.llm.common import labelled_texts
+from voltlog.llm.common import labelled_texts, small_batches
 
 FEATURES = (
     "log_words", "word_length", "upper_share", "digit_share", "punctuation_share", "symbol_share",
@@ -204,4 +204,4 @@ def score(docs: DataFrame, model: Model, text: str = "text", to: str = "score")
             x = np.array([features(t) for t in batch], dtype=float).reshape(-1, len(FEATURES))
             yield pd.Series(model.score(x))
 
-    return docs.withColumn(to, judge(F.coalesce(F.col(text), F.lit(""))))
+    return small_batches(docs).withColumn(to, judge(F.coalesce(F.col(text), F.lit(""))))

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltlog.llm.common import labelled_texts, others, stored
+from voltlog.llm.common import labelled_texts, others, small_batches, stored
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Besides words, their beginnings of these lengths have log-odds, written with a hyphen.
@@ -73,7 +73,7 @@ def segments(scores: list[tuple[int, float]], drift: float) -> list[tuple[int, i
 class WordOdds(dict):
     """Score of a word: that of the word itself if known, else of its longest known beginning, else 0.
 
-    Words already met are kept, up to a bound; further ones are looked up each time.
+    Words already met are kept, up to a bound; then that begins anew.
     """
 
     def __init__(self, odds: dict[str, float]):
@@ -87,8 +87,9 @@ class WordOdds(dict):
                 break
             if len(word) > n:
                 score = self.odds.get(f"{word[:n]}-", 0.0)
-        if len(self) < 500_000:
-            self[word] = score
+        if len(self) >= 250_000:
+            self.clear()
+        self[word] = score
         return score
 
 
@@ -267,6 +268,6 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pd.DataFrame(out, columns=["score", "passages"])
 
     kept = others(docs, ("score", "passages"))
-    return docs.select(*kept, judge(F.coalesce(F.col(text), F.lit(""))).alias("_judged")).select(
+    return small_batches(docs).select(*kept, judge(F.coalesce(F.col(text), F.lit(""))).alias("_judged")).select(
         *kept, "_judged.score", "_judged.passages"
     )
