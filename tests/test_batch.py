@@ -240,6 +240,17 @@ def test_failure_before_the_ledger_is_repaired_by_a_rerun(site, monkeypatch):
     assert (site.counts(), site.ledger_size()) == ([7, 4, 2, 2, 1], 1)
 
 
+def test_a_run_leaves_the_session_as_it_was(site, spark):
+    site.put("1.jsonl", sample_batch())
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        site.run()
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert hours_of(site)[0] == (True, 13, 2)
+
+
 def test_listing_from_outside(site, spark):
     site.put("1.jsonl", sample_batch())
     found = site.house.stage("candidates", list_files(spark, site.source))

@@ -12,7 +12,7 @@ from voltlog.operators import check, transform
 from voltlog.operators.lines import drop_blank, members_sql, number_lines
 from voltlog.operators.merge import recompute, touched_keys
 from voltlog.schemas import ENRICHED, LEDGER, POSITION, QUARANTINE, TABLES
-from voltlog.session import configure
+from voltlog.session import configured
 from voltlog.sources import files as fs
 from voltlog.sources.tables import AppendTable, CuratedTable, distinct_days
 
@@ -77,8 +77,14 @@ def run_batch(
     object store, instead of reading all of them for a fingerprint. The two options are off by
     default: aggregates come from the batch alone, and one bad file rejects the batch.
     """
-    configure(spark)
     house = Warehouse(spark, warehouse_path.rstrip("/"))
+    with configured(spark):
+        return _run(house, source, listing, recompute_aggregates, quarantine_bad_files)
+
+
+def _run(house: Warehouse, source: fs.Source, listing: DataFrame | None, recompute_aggregates: bool,
+         quarantine_bad_files: bool) -> RunResult:
+    spark = house.spark
     found = house.stage("new_files", _find_new_files(spark, source, house, listing))
     files = found.count()
     if not files:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -22,6 +24,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def configured(spark: SparkSession) -> Iterator[SparkSession]:
+    """The settings for the time of a block; afterwards the session has its own ones again."""
+    before = {key: spark.conf.get(key, None) for key in RUNTIME_CONF}
+    try:
+        yield configure(spark)
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def local_session(cpus: int | str = 8, app_name: str = "voltlog", memory: str = "8g",
                   shared_folder: str | None = None) -> SparkSession:
     """Session for tests and the benchmark; a cluster brings its own."""
