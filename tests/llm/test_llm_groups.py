@@ -153,9 +153,10 @@ def test_components_of_no_rows(spark):
     assert jaccard.join(spark.createDataFrame([], DOCS)).collect() == []
 
 
-def test_linked_sets_share_a_node():
-    """The pigeonhole bound: sets at the limit always meet, whatever counts as frequent."""
+def test_linked_sets_share_enough_nodes(spark):
+    """The pigeonhole bound: sets at the limit meet as often as required, whatever counts as frequent."""
     rng = np.random.default_rng(2)
+    rows = []
     for percent in (80, 85):
         for _ in range(300):
             n = int(rng.integers(5, 400))
@@ -166,7 +167,17 @@ def test_linked_sets_share_a_node():
             frequent = np.sort(rng.choice(union, int(rng.integers(0, n)), replace=False))
             keys, owner = jaccard.node_keys(np.concatenate([a, b]), np.cumsum([len(a), len(b)]), percent, frequent)
             if len(np.union1d(a, b)) * percent <= 100 * len(np.intersect1d(a, b)) and apart:
-                assert set(keys[owner == 0]) & set(keys[owner == 1])
+                shared = np.array(sorted(set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())), dtype=np.uint64)
+                parts = np.unique(shared & np.uint64(63), return_counts=True)
+                assert len(shared)
+                rows.append((percent, len(a) + len(b), [(int(p), int(c)) for p, c in zip(*parts, strict=True)]))
+    assert len(rows) > 400
+    df = spark.createDataFrame(rows, "percent int, n long, parts array<struct<part:int,shared:int>>")
+    for percent in (80, 85):
+        enough = df.where(f"percent = {percent}").select("n", F.explode("parts").alias("p")).where(
+            F.col("p.shared") < jaccard.least_shared(percent, F.col("p.part"), F.col("n"))
+        )
+        assert enough.count() == 0
 
 
 def test_components_of_links(spark):
