@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from voltlog.llm import quality, toxicity
 from voltlog.llm.common import held_out
 
-SF = "/root/testdata/sf0.01"
 DOCS = "doc_id long, text string"
 LABELS = "doc_id long, quality int, toxic int"
 
