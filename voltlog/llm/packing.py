@@ -21,7 +21,7 @@ from voltlog.llm.common import small_batches
 #: Punctuation that may be cut off the end of a word of letters without changing its token ids.
 TAIL = b".,!*&$%#|?;:"
 #: Words kept with their ids by a task; when there are as many, it begins anew.
-CACHED_WORDS = 250_000
+CACHED_WORDS = 600_000
 
 
 class WordIds(dict):
