@@ -59,7 +59,7 @@ def test_shards_of_odd_rows(spark):
 def test_pieces_rebuild_the_token_ids(spark):
     rng = random.Random(6)
     texts = [None, "", " ", "Don't STOP, won't! é É I\u0307 ﬁ <|endoftext|> x<|ENDOFTEXT|>", "naïve... a,b.c 12,5 #!?", "word " * 9000]
-    letters = "abcdeABC .,!'é\n\t12-"
+    letters = "abcdeABC .,!'éÉßñİſﬁςΣΣ日本क्षдЖ\u0327\u0301\n\t12-"
     texts += ["".join(rng.choice(letters) for _ in range(rng.randrange(3000))) for _ in range(60)] * 2
     docs = spark.createDataFrame([(i % 100, t) for i, t in enumerate(texts)], DOCS)
     path = public_tokenizers.path("word_bpe_49k.json")

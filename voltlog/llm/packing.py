@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -24,12 +25,20 @@ TAIL = b".,!*&$%#|?;:"
 CACHED_WORDS = 600_000
 
 
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it can be seen, else
+    the next one from 256 on."""
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in seen]
+    return [chr(b) if b in seen else chr(256 + hidden.index(b)) for b in range(256)]
+
+
 class WordIds(dict):
     """Token ids of a word (UTF-8, without white space) as little-endian 32-bit numbers.
 
     The tokenizer drops white space before it looks for words, so a text's ids are those of its
-    words in turn. Its own model is asked directly for words of ASCII letters in lower case, which
-    its normalizer leaves as they are.
+    words in turn. Its own model is asked directly for words of letters in lower case, which its
+    normalizer leaves as they are and which are one piece for it.
     """
 
     def __init__(self, path: str):
@@ -38,13 +47,17 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.letters = _byte_letters()
 
     def __missing__(self, word: bytes) -> bytes:
         stem = word.rstrip(TAIL)
         text = stem.decode()
-        if stem and len(stem) < len(word) and text.isalpha():
+        plain = text.isalpha() and text == text.lower() and is_normalized("NFC", text)
+        if plain and len(stem) < len(word):
             ids = self[stem] + self[word[len(stem):]]
-        elif len(stem) == len(word) and text.isascii() and text.isalpha() and text.islower():
+        elif plain:
+            if not text.isascii():
+                text = "".join([self.letters[b] for b in word])
             ids = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
         else:
             ids = array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
