@@ -116,3 +116,12 @@ def test_features_of_odd_texts():
     assert quality.features("") == [0.0] * len(quality.FEATURES)
     for text in (" ", "\n\n", "a", "é" * 10_000, "x " * 100_000):
         assert np.isfinite(quality.features(text)).all()
+
+
+def test_every_block_of_a_long_text_counts_for_compression():
+    rng = random.Random(12)
+    raw = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(40 * 4096))
+    at = quality.FEATURES.index("compression")
+    whole = quality.features(raw)[at]
+    for b in range(0, len(raw), 4096):
+        assert quality.features(raw[:b] + "ab" * 2048 + raw[b + 4096 :])[at] < whole

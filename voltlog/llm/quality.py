@@ -37,7 +37,7 @@ for _c in b"#$%&*+/<=>@[]\\^_`{|}~":
 for _c in b" \t\n\r":
     _CLASS[_c] = 6
 _CLASS[128:] = 7
-#: Bytes of text whose repetition is measured by compression are taken in blocks of this size.
+#: Repetition is measured by compressing the whole text in blocks of this size, each by itself.
 _BLOCK = 4096
 
 
@@ -54,9 +54,7 @@ def features(text: str) -> list[float]:
     seen: dict[bytes, int] = {}
     for w in words:
         seen[w] = seen.get(w, 0) + 1
-    blocks = range(0, size, _BLOCK * max(1, size // (_BLOCK * 4)))
-    packed = sum(len(zlib.compress(raw[b : b + _BLOCK], 1)) for b in blocks)
-    measured = sum(min(_BLOCK, size - b) for b in blocks)
+    packed = sum(len(zlib.compress(raw[b : b + _BLOCK], 1)) for b in range(0, size, _BLOCK))
     upper = sum(1 for w in words if len(w) > 1 and w.isupper())
     odd = sum(1 for w in words if w[-1:] in b"#$%&*|@^~=+")
     return [
@@ -71,7 +69,7 @@ def features(text: str) -> list[float]:
         raw.count(b"|") / count,
         raw.count(b"!") / count,
         sum(1 for w in words if len(w) > 18) / count,
-        packed / max(1, measured),
+        packed / size,
         share[0],
         (raw.count(b"[") + raw.count(b"{") + raw.count(b"<")) / count,
         upper / count,
