@@ -247,6 +247,53 @@ def test_leaks_against_all_alignments(spark, monkeypatch):
     assert decontaminate.find(d.limit(0), b).collect() == [] == decontaminate.find(d, b.limit(0)).collect()
 
 
+def test_masks_meet_every_stretch_that_scores_eight():
+    """All stretches whose sums stay over zero until they reach 8, as states of a walk: last words, sum."""
+    span = max(map(len, decontaminate.MASKS))
+    masks = [[i for i, c in enumerate(m) if c == "1"] for m in decontaminate.MASKS]
+    todo, known = [((1,), 1)], set()
+    while todo:
+        last, total = todo.pop()
+        for same in (1, 0):
+            words, score = (*last, same)[-span:], total + (1 if same else -1)
+            if score <= 0 or (len(words) == span and any(all(words[i] for i in m) for m in masks)):
+                continue
+            assert score < 8, "a stretch without a hit"
+            if (words, score) not in known:
+                known.add((words, score))
+                todo.append((words, score))
+
+
+def test_leaks_against_all_alignments_without_seeds(spark):
+    rng = random.Random(21)
+    items = {i: [f"q{i}x{j}" for j in range(rng.randrange(15, 21))] for i in range(40)}
+    docs = {}
+    for d in range(400):
+        item = items[d % 40]
+        if d < 40:  # eight words in a row and no more
+            at = rng.randrange(len(item) - 7)
+            part = item[at : at + 8]
+        else:
+            part = [f"z{d}x{j}" if rng.random() < 0.25 else w for j, w in enumerate(item)]
+        docs[d] = [f"n{rng.randrange(10**6)}" for _ in range(5)] + part + [f"n{rng.randrange(10**6)}" for _ in range(5)]
+    want = set()
+    for d, w in docs.items():
+        for i, item in items.items():
+            best = 0
+            for shift in range(-len(item) + 1, len(w)):
+                run = 0
+                for j, word in enumerate(item):
+                    run = max(0, run + (1 if 0 <= shift + j < len(w) and w[shift + j] == word else -1))
+                    best = max(best, run)
+            if best >= 8:
+                want.add((d, i, best))
+    found = decontaminate.find(
+        spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], DOCS),
+        spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string"),
+    )
+    assert {(r.doc_id, r.item_id, r.score) for r in found.collect()} == want and len(want) > 150
+
+
 # --- neighbours
 
 
