@@ -323,3 +323,19 @@ def test_neighbours_against_all_products(spark):
     assert neighbours.search(vectors.limit(0), vectors, k=3).collect() == []
     few = vectors.where("vec_id < 3")
     assert len(neighbours.search(few, few, k=20).collect()) == 6
+
+
+def test_neighbours_in_many_shards_with_unequal_norms(spark):
+    """Far more shards than a dozen: the best vectors of a query may lie in any of them."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1500, 16)) * rng.lognormal(sigma=0.8, size=(1500, 1))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = neighbours.search(vectors, vectors.where("vec_id % 20 = 0"), k=20, shard_size=30, query_block=16).collect()
+    by_query = {}
+    for r in got:
+        by_query.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(0, 1500, 20):
+        best = [i for i in np.argsort(-(x @ x[q]), kind="stable") if i != q][:20]
+        hits += len(by_query[q] & set(best))
+    assert hits / (20 * 75) >= 0.99
