@@ -154,6 +154,33 @@ def test_secrets_are_found_without_a_strict_format(spark):
     assert all("longish" not in r.text[s.start : s.end] for r in found for s in r.spans)
 
 
+def test_every_generous_kind_finds_more_than_strict_formats(spark):
+    rng = random.Random(3)
+
+    def card():
+        while True:
+            digits = f"{rng.randrange(50 * 10**10, 10**12)}"
+            if brute.luhn(digits):
+                return digits
+
+    wanted = [
+        ("email", lambda: f"bob{rng.randrange(99)}@mail[.]org"), ("ip", lambda: f"10[.]0[.]{rng.randrange(256)}[.]7"),
+        ("card", card), ("phone", lambda: f"(555) 123-{rng.randrange(1000, 9999)}"),
+    ]
+    rows = []
+    for i in range(600):
+        kind, make = wanted[i % 4]
+        rows.append((i, kind, span := make(), f"order no 7654321 of 2024-01-15, see {span} then +49 30 1234567 end"))
+    docs = spark.createDataFrame(rows, "doc_id long, kind string, span string, text string")
+    found = {k: 0 for k, _ in wanted}
+    for r in pii.scan(docs, pii.fit(docs)).collect():
+        assert [pii.KINDS[s.kind] for s in r.base] == ["phone"]
+        more = [(pii.KINDS[s.kind], r.text[s.start : s.end]) for s in r.spans if s not in r.base]
+        assert not any("7654321" in t or "2024" in t for _, t in more)
+        found[r.kind] += (r.kind, r.span) in more
+    assert all(n >= 145 for n in found.values()), found
+
+
 def test_running_sums(spark):
     rows = [([1, 2, 3],), ([],), (list(range(1000)),)]
     for r in spark.createDataFrame(rows, "x array<int>").select("x", pii.running(F.col("x")).alias("s")).collect():
