@@ -83,3 +83,117 @@ SELECT doc_id, item_id, cast(start AS int) AS start, cast(matched AS int) AS mat
 FROM scored WHERE overlap >= 8
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY overlap DESC, matched DESC, start) = 1
 """
+
+
+def _crc32(data: str) -> str:
+    """CRC-32 of a BLOB, bit by bit."""
+    byte = f"cast('0x' || substr(hex({data}), cast(2 * i + 1 AS int), 2) AS bigint)"
+    bits = f"flatten([[{byte}, 0, 0, 0, 0, 0, 0, 0] FOR i IN range(octet_length({data}))])"
+    step = "lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))"
+    return f"xor(list_reduce(list_prepend(cast(4294967295 AS bigint), {bits}), {step}), 4294967295)"
+
+
+def _encoded(value: str) -> str:
+    return f"coalesce(strlen(cast({value} AS varchar)) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_encoded(v) for v in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _levels(start: str) -> str:
+    """The nodes of all levels of the trees ``start`` (tree, level, pos, digest)."""
+    return f"""{start} UNION ALL
+  SELECT tree, max(level) + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS many FROM nodes_now) WHERE many > 1 GROUP BY tree, pos // 3"""
+
+
+MERKLE = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, coalesce('+' || source, '') AS tree, {_leaf('text')} AS digest,
+    CASE WHEN {_crc32("encode(cast(doc_id AS varchar))")} % 2 = 0
+      THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS got
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos FROM leaves
+), low AS (
+  {_levels("SELECT tree, 0 AS level, pos, digest FROM placed").replace("nodes_now", "low")}
+), subroots AS (
+  SELECT tree, digest, level, row_number() OVER (ORDER BY tree) - 1 AS place
+  FROM (SELECT * FROM low QUALIFY level = max(level) OVER (PARTITION BY tree))
+), high AS (
+  {_levels("SELECT 'all' AS tree, 0 AS level, place AS pos, digest FROM subroots").replace("nodes_now", "high")}
+), top AS (
+  SELECT digest AS root, level AS height FROM high ORDER BY level DESC LIMIT 1
+), steps AS (  -- every node on the way, and its run
+  SELECT p.doc_id, p.tree, p.pos AS leaf_pos, l.level AS step, l.pos,
+    p.pos // cast(power(3, l.level) AS bigint) AS own, l.digest
+  FROM placed p JOIN subroots s USING (tree) JOIN low l ON l.tree = p.tree AND l.level < s.level
+    AND l.pos // 3 = p.pos // cast(power(3, l.level + 1) AS bigint)
+  UNION ALL
+  SELECT p.doc_id, p.tree, p.pos, s.level + h.level, h.pos, s.place // cast(power(3, h.level) AS bigint), h.digest
+  FROM placed p JOIN subroots s USING (tree) CROSS JOIN top JOIN high h ON h.level < top.height
+    AND h.pos // 3 = s.place // cast(power(3, h.level + 1) AS bigint)
+), beside AS (
+  SELECT tree, leaf_pos, step,
+    coalesce(string_agg(digest, '' ORDER BY pos) FILTER (WHERE pos < own), '') AS before,
+    coalesce(string_agg(digest, '' ORDER BY pos) FILTER (WHERE pos > own), '') AS after
+  FROM steps GROUP BY tree, leaf_pos, step
+), proofs AS (
+  SELECT tree, leaf_pos, string_agg(before || after, '' ORDER BY step) AS siblings FROM beside GROUP BY tree, leaf_pos
+), folds AS (
+  SELECT tree, pos AS leaf_pos, 0 AS step, got AS digest FROM placed
+  UNION ALL
+  SELECT f.tree, f.leaf_pos, f.step + 1, sha256(before || f.digest || after)
+  FROM folds f JOIN beside b ON b.tree = f.tree AND b.leaf_pos = f.leaf_pos AND b.step = f.step
+), ends AS (
+  SELECT tree, leaf_pos, arg_max(digest, step) AS folded_root FROM folds GROUP BY tree, leaf_pos
+)
+SELECT p.doc_id, p.digest AS leaf, s.digest AS subroot, root, sha256(coalesce(siblings, '')) AS proof_sha256,
+  folded_root, folded_root = root AS verified
+FROM placed p JOIN subroots s USING (tree) CROSS JOIN top
+JOIN ends e ON e.tree = p.tree AND e.leaf_pos = p.pos
+LEFT JOIN proofs q ON q.tree = p.tree AND q.leaf_pos = p.pos
+"""
+
+SPELLING = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS c FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+    FROM documents
+  ) GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, c, {_crc32("encode(coalesce(cast(doc_id AS varchar), '') || ':' || run)")} AS h FROM runs
+  WHERE length(run) >= 6
+), words AS (
+  SELECT word, sum(c) AS n FROM (
+    SELECT c, CASE WHEN h % 199 = 0
+      THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM hashed
+  ) WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5
+), shorter AS (
+  SELECT word, i, left(word, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, unnest(range(length(word))) AS i FROM words)
+), near AS (
+  SELECT DISTINCT x.word, y.word AS other FROM shorter x JOIN shorter y
+    ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word
+  UNION SELECT s.word, w.word FROM shorter s JOIN words w ON s.rest = w.word
+  UNION SELECT w.word, s.word FROM shorter s JOIN words w ON s.rest = w.word
+), best AS (
+  SELECT p.word, count(*) OVER (PARTITION BY p.word) AS n_near, other, o.n AS n_other
+  FROM near p JOIN words o ON o.word = other
+  QUALIFY row_number() OVER (PARTITION BY p.word ORDER BY o.n DESC, other) = 1
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN n_other >= 5 * w.n THEN other END AS form,
+    CASE WHEN n_other >= 5 * w.n THEN n_other END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word
+), ways AS (
+  SELECT word, word AS root, 0 AS step FROM forms
+  UNION ALL
+  SELECT y.word, f.form, y.step + 1 FROM ways y JOIN forms f ON f.word = y.root WHERE f.form IS NOT NULL
+), ends AS (
+  SELECT word, arg_max(root, step) AS root FROM ways GROUP BY word
+)
+SELECT word, form, root, cast(n AS bigint) AS n, n_near, cast(form_n AS bigint) AS form_n FROM forms JOIN ends USING (word)
+"""

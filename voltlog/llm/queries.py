@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlog.llm import decontaminate, jaccard, licenses, neighbours, oracles, packing, pii, quality, shards, toxicity, url_filter
+from voltlog.llm import (
+    decontaminate, jaccard, licenses, merkle, mixing, neighbours, oracles, packing, pii, quality, shards, spelling,
+    toxicity, url_filter,
+)
 from voltlog.llm.common import held_out, read, utf8
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,6 +134,25 @@ def op10_personal_data_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents; half of them come back without their line breaks."""
+    text, even = F.col("text"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    received = {"text": F.when(even, F.replace(text, F.lit("\n"), F.lit(""))).otherwise(text)}
+    return merkle.manifest(read(spark, sf_dir, "documents"), received=received, with_proofs=False)
+
+
+def op12_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    out = mixing.mix(docs, mixing.size_in_words(F.col("text")))
+    return out.select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size") + F.col("part")).alias("taken"),
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def _is_kind(i: int) -> Callable[[Column], Column]:
     return lambda span: span["kind"] == i
 
@@ -141,4 +163,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """Where SQL can express a query; the others are tested against plain Python or held-out labels."""
-    return {"op4_spaced_seed_decontamination": oracles.LEAKS, "op8_signature_tree_join": oracles.JACCARD}
+    return {
+        "op4_spaced_seed_decontamination": oracles.LEAKS, "op8_signature_tree_join": oracles.JACCARD,
+        "op11_merkle_manifest": oracles.MERKLE, "op13_spelling_variants": oracles.SPELLING,
+    }
