@@ -1,16 +1,24 @@
 """Whole runs over folders of JSON-lines files."""
 
 import datetime as dt
+import hashlib
+import io
 import json
 import os
+from pathlib import Path
 
 import pytest
 from helpers import VEHICLE_A, event, sample_batch
+from pyspark.sql import functions as F
 
 from voltlog.operators import reports, transform
+from voltlog.operators.lines import number_lines
 from voltlog.plans import adapter
 from voltlog.plans.batch import BatchRejected, Warehouse, run_batch
-from voltlog.sources.files import Source, UnreadableFiles, candidate_report, list_files, read_lines, with_etags
+from voltlog.sources import files
+from voltlog.sources.files import Source, candidate_report, list_files, new_files, read_lines, split_lines, with_etags
+from voltlog.sources.listing import walk
+from voltlog.sources.stores import LocalStore, NoStore, S3Store, store_of
 
 
 class Site:
@@ -159,14 +167,139 @@ def test_other_line_breaks_are_other_content_at_every_size(site, spark, count):
     assert len(text) == len(other) and etag() != first
 
 
-@pytest.mark.parametrize("key", ["_part.jsonl", ".hidden/x.jsonl", "a/_b/c/y.jsonl", "day=1/.z.jsonl"])
-def test_hidden_names_are_an_error_that_names_them(site, key):
+def test_hidden_names_are_files_like_others(site):
     site.put("day=1/good.jsonl", sample_batch())
-    site.put(key, [event(event_id="hidden_event")])
+    hidden = ["_part.jsonl", ".hidden/x.jsonl", "a/_b/c/y z%41.jsonl", "day=1/.z.jsonl"]
+    for i, key in enumerate(hidden):
+        site.put(key, [event(event_id=f"hidden_event_{i}"), "", event(event_id=f"hidden_second_{i}")], newline="\r\n")
     site.put("day=1/_SUCCESS", [])
-    with pytest.raises(UnreadableFiles, match=key.replace(".", "[.]")):
+    site.put("_empty.jsonl", [])
+    result = site.run()
+    assert (result.files, result.events) == (6, 15)
+    keys = {r["object_key"] for r in site.house.ledger.read().collect()}
+    assert keys == {f"telemetry/{k}" for k in ["day=1/good.jsonl", "_empty.jsonl", *hidden]}
+    assert site.run().status == "skipped"
+    site.put("_part.jsonl", [event(event_id="hidden_event_9"), "{"])
+    with pytest.raises(BatchRejected, match="telemetry/_part.jsonl line 2 is not a valid JSON object"):
         site.run()
-    assert site.counts()[0] == 0
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 100])
+def test_lines_end_as_in_sparks_reader(spark, tmp_path, size):
+    text = b"\xef\xbb\xbfa\r\n\r\nb\rc\n\n\xff\xfe d\r\r\n e \n\rlast"
+    for ending in (b"", b"\n", b"\r\n", b"\r"):
+        whole = text + ending
+        (tmp_path / "x.txt").write_bytes(whole)
+        read = spark.read.text(str(tmp_path / "x.txt")).selectExpr("cast(value AS binary) AS value").collect()
+        chunks = [whole[i : i + size] for i in range(0, len(whole), size)]
+        assert list(split_lines(chunks)) == [bytes(r["value"]) for r in read]
+    assert list(split_lines([])) == []
+
+
+def files_in_plan(lines):
+    """Names of the files that a scan has in its index."""
+    return {f.rsplit("/", 1)[-1] for f in lines.inputFiles()}
+
+
+def test_one_new_file_among_a_thousand_is_the_only_one_read(site, spark):
+    spark.sparkContext.addPyFile(str(Path(__file__).with_name("etag_stores.py")))
+    site.source = Source(site.source.root, store="etag_stores:EtagStore")
+    for i in range(1000):
+        site.put(f"{i:04d}.jsonl", [event(event_id=f"unit_{i:06d}")])
+    assert site.run().files == 1000
+    site.put("flat_new.jsonl", [event(event_id="unit_new_1"), "", event(event_id="unit_new_2")])
+    seen = site.house.ledger.read().select("object_key", "etag")
+    found = list_files(spark, site.source)
+    new = site.house.stage("new", new_files(found, seen))
+    assert [r["object_key"] for r in new.collect()] == ["telemetry/flat_new.jsonl"]
+    lines = read_lines(spark, site.source, new)
+    assert files_in_plan(lines) == {"flat_new.jsonl"}
+    numbered = number_lines(lines).orderBy("line_no").collect()
+    assert [(r["line_no"], bool(r["value"])) for r in numbered] == [(1, True), (2, False), (3, True)]
+    result = site.run()
+    assert (result.files, result.events) == (1, 2)
+    # the store's own etags are in the ledger, and nothing was read for them
+    assert {len(r["etag"]) for r in site.house.ledger.read().collect()} == {40}
+    assert site.run().status == "skipped"
+
+
+def test_etags_only_for_files_without_one(site, spark):
+    site.put("a.jsonl", [event(event_id="unit_etag_a")])
+    site.put("b.jsonl", [event(event_id="unit_etag_b")])
+    site.put("empty.jsonl", [])
+    found = list_files(spark, site.source)
+    known = F.when(F.col("object_key").endswith("a.jsonl"), F.lit("from the store"))
+    listed = site.house.stage("candidates", found.withColumn("etag", known))
+    etags = {r["object_key"][10:]: r["etag"] for r in with_etags(spark, site.source, listed).collect()}
+    content = (site.folder / "bucket" / "telemetry" / "b.jsonl").read_bytes()
+    own = hashlib.md5(hashlib.md5(content).hexdigest().encode()).hexdigest() + "-1"
+    assert etags == {"a.jsonl": "from the store", "b.jsonl": own, "empty.jsonl": hashlib.md5().hexdigest() + "-0"}
+
+
+def test_large_files_are_hashed_in_parts(site, spark, monkeypatch):
+    monkeypatch.setattr(files, "PART", 1000)
+    lines = [event(event_id=f"unit_{i:06d}") for i in range(40)]
+    site.put("1.jsonl", lines)
+    found = site.house.stage("candidates", list_files(spark, site.source))
+    first = with_etags(spark, site.source, found).first()["etag"]
+    content = (site.folder / "bucket" / "telemetry" / "1.jsonl").read_bytes()
+    parts = [content[i : i + 1000] for i in range(0, len(content), 1000)]
+    whole = "".join(hashlib.md5(p).hexdigest() for p in parts)
+    assert first == f"{hashlib.md5(whole.encode()).hexdigest()}-{len(parts)}"
+    lines[3], lines[30] = lines[30], lines[3]
+    site.put("1.jsonl", lines)
+    assert with_etags(spark, site.source, found).first()["etag"] != first
+
+
+def test_folders_are_listed_by_several_tasks(spark, tmp_path):
+    keys = {f"p{i % 9}/q={i % 5}/{'_' * (i % 2)}f{i}.jsonl" for i in range(200)} | {"top.jsonl", "p1/flat.jsonl", "p2/.x/y.jsonl"}
+    for key in keys:
+        path = tmp_path / "telemetry" / key
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("x" * (len(key) % 4))
+    (tmp_path / "telemetry/p3/other.txt").write_text("no candidate")
+    listed = list_files(spark, Source(str(tmp_path)))
+    assert {r["object_key"] for r in listed.collect()} == {f"telemetry/{k}" for k in keys}
+    assert {r["object_key"]: r["length"] for r in listed.collect()} == {f"telemetry/{k}": len(k) % 4 for k in keys}
+    assert listed.rdd.getNumPartitions() > 20
+    assert list_files(spark, Source(str(tmp_path), prefix="nowhere/")).collect() == []
+
+
+class FakeBucket:
+    """As much of an object store's client as the store uses."""
+
+    def __init__(self, objects):
+        self.objects = objects
+
+    def get_paginator(self, _):
+        return self
+
+    def paginate(self, Bucket, Prefix, Delimiter):
+        below = [k for k in self.objects if k.startswith(Prefix)]
+        subs = sorted({Prefix + k[len(Prefix):].split("/")[0] + "/" for k in below if "/" in k[len(Prefix):]})
+        when = dt.datetime(2031, 2, 11, tzinfo=dt.timezone.utc)
+        own = [k for k in below if "/" not in k[len(Prefix):]]
+        yield {"CommonPrefixes": [{"Prefix": s} for s in subs]}
+        yield {"Contents": [
+            {"Key": k, "Size": len(self.objects[k]), "ETag": f'"etag of {k}"', "LastModified": when} for k in own]}
+
+    def get_object(self, Bucket, Key, Range):
+        start, end = (int(n) for n in Range.removeprefix("bytes=").split("-"))
+        return {"Body": io.BytesIO(self.objects[Key][start : end + 1])}
+
+
+def test_an_object_store_tells_its_etags():
+    store = S3Store(FakeBucket({"t/": b"", "t/a.jsonl": b"abc", "t/_b/c.jsonl": b"defgh", "u/x": b""}))
+    got = sorted(walk(store, "s3a://bucket/t"), key=lambda e: e.path)
+    assert [(e.path, e.length, e.etag) for e in got] == [
+        ("s3a://bucket/t/_b/c.jsonl", 5, "etag of t/_b/c.jsonl"), ("s3a://bucket/t/a.jsonl", 3, "etag of t/a.jsonl")]
+    assert store.read("s3a://bucket/t/_b/c.jsonl", 1, 3) == b"efg"
+
+
+def test_the_store_of_a_path():
+    assert isinstance(store_of("file:/x/y"), LocalStore) and isinstance(store_of("/x"), LocalStore)
+    with pytest.raises(NoStore, match="cannot list nosuch://x/y"):
+        store_of("nosuch://x/y")
 
 
 def test_bad_value_broken_line_and_empty_batch(site):

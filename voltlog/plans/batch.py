@@ -74,7 +74,7 @@ def run_batch(
     """Load all files that were not loaded before. Only one run at a time per warehouse.
 
     ``listing`` may bring the candidate files with their etags, such as an inventory of an
-    object store, instead of reading all of them for a fingerprint. The two options are off by
+    object store, instead of listing the folders. The two options are off by
     default: aggregates come from the batch alone, and one bad file rejects the batch.
     """
     house = Warehouse(spark, warehouse_path.rstrip("/"))
@@ -122,7 +122,7 @@ def _find_new_files(spark, source: fs.Source, house: Warehouse, listing: DataFra
     )
     if listing is None:
         listing = fs.with_etags(spark, source, house.stage("candidates", fs.list_files(spark, source)))
-    return fs.new_files(listing.select(*fs.NEW_FILES.names), seen).select(*fs.NEW_FILES.names)
+    return fs.new_files(listing.select(*fs.LISTING.names), seen).select(*fs.LISTING.names)
 
 
 def _record(house: Warehouse, files: DataFrame) -> None:

@@ -2,85 +2,74 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
+from hashlib import md5
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltlog.operators.lines import number_lines
 from voltlog.sources import hadoop
+from voltlog.sources.listing import files_below
+from voltlog.sources.stores import Store, store_of
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: ``etag`` is that of the store, null where it has none; see ``with_etags``.
 LISTING = T.StructType(
     [
         T.StructField("bucket_name", T.StringType()),
         T.StructField("object_key", T.StringType()),
         T.StructField("path", T.StringType()),
         T.StructField("length", T.LongType()),
+        T.StructField("etag", T.StringType()),
     ]
 )
-NEW_FILES = T.StructType([*LISTING.fields, T.StructField("etag", T.StringType())])
-
-
-class UnreadableFiles(ValueError):
-    """Candidate files that Spark's readers pass over because of their names."""
+LINES = "object_key string, block_start bigint, row_id bigint, value string"
+#: Bytes of a file that are hashed as one part.
+PART = 64 << 20
+#: Bytes read from a store at a time.
+CHUNK = 1 << 20
+#: Files that one scan is given by name.
+FILES_OF_A_SCAN = 10_000
 
 
 @dataclass(frozen=True)
 class Source:
-    """A bucket or folder and the prefix below it that holds the raw files."""
+    """A bucket or folder and the prefix below it that holds the raw files.
+
+    ``store`` may name a class (``module:Class``, see ``stores``) that lists and reads the files.
+    """
 
     root: str
     prefix: str = "telemetry/"
     suffix: str = ".jsonl"
+    store: str = ""
 
     @property
     def folder(self) -> str:
-        return f"{self.root.rstrip('/')}/{self.prefix.rstrip('/')}"
+        return f"{self.root.rstrip('/')}/{self.prefix.rstrip('/')}".rstrip("/")
 
 
 def list_files(spark: SparkSession, source: Source) -> DataFrame:
-    """All candidate files with their size; no content is read.
+    """All candidate files with size and the store's etag, also empty ones and hidden names.
 
-    The listing is Spark's own, so folder names such as ``hour=08`` mean nothing. It passes over
-    names that start with a dot or underscore; if there are candidates among those, that is an
-    error which names them, so that a part is never taken for the whole. Where a listing is too much for
-    the driver, ``run_batch`` takes an inventory table instead.
+    Tasks list the folders; no content is read, and no name comes to the driver. Folder names such as
+    ``hour=08`` mean nothing. Where a store cannot be listed, ``run_batch`` takes an inventory table instead.
     """
-    if not hadoop.exists(spark, source.folder):
-        return spark.createDataFrame([], LISTING)
-    if hidden := hadoop.hidden_files(spark, source.folder, source.suffix):
-        raise UnreadableFiles("these names start with a dot or underscore, rename them: " + ", ".join(hidden))
-    scan = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", f"*{source.suffix}")
-        .load(source.folder)
-    )
-    # One scan task per file would be a waste for reading three numbers.
-    listed = scan.coalesce(spark.sparkContext.defaultParallelism * 4).select(
-        F.lit(source.root).alias("bucket_name"),
-        _key_of(spark, source, F.col("path")).alias("object_key"),
-        "path",
-        "length",
+    root = hadoop.qualified(spark, source.root).rstrip("/")
+    found = files_below(spark, hadoop.qualified(spark, source.folder), source.suffix, source.store)
+    return found.select(
+        F.lit(source.root).alias("bucket_name"), _key_of(root, F.col("path")).alias("object_key"), "path", "length", "etag"
     )
-    return listed.unionByName(_empty_files(spark, source, scan, listed))
-
-
-def _empty_files(spark: SparkSession, source: Source, scan: DataFrame, listed: DataFrame) -> DataFrame:
-    """Files without content, which a scan passes over: those the file index has beyond it."""
-    names = spark.createDataFrame([(uri,) for uri in scan.inputFiles()], "uri string")
-    path = _decoded(F.col("uri"))
-    return names.select(
-        F.lit(source.root).alias("bucket_name"),
-        _key_of(spark, source, path).alias("object_key"),
-        path.alias("path"),
-        F.lit(0).cast("bigint").alias("length"),
-    ).join(listed.select("object_key"), "object_key", "left_anti").select(*LISTING.names)
 
 
-def _key_of(spark: SparkSession, source: Source, path: Column) -> Column:
-    root = hadoop.qualified(spark, source.root).rstrip("/")
+def _key_of(root: str, path: Column) -> Column:
     return F.substr(path, F.lit(len(root) + 2))
 
 
@@ -98,59 +87,142 @@ def new_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def with_etags(spark: SparkSession, source: Source, candidates: DataFrame) -> DataFrame:
-    """Add a fingerprint of the content, made the same way for files of every size.
+    """The files with an etag each: the store's, or a hash of the content where the store has none.
 
-    It holds the length of the file, the number of its lines, and two sums over hashes of line
-    number and line, where a carriage return is part of the line. It does not depend on how a
-    file is split, and no task holds more than one line. ``candidates`` must be a written table.
+    That hash is made as object stores do it for uploads in parts: the hash of the hashes of all parts of
+    ``PART`` bytes, and their number. Parts are dealt out to tasks, so a file of any size is hashed side by side.
+    ``candidates`` must be a written table.
     """
-    lines = number_lines(read_lines(spark, source, candidates, separator="\n"))
-    line = ["line_no", "value"]
-    sums = lines.groupBy("object_key").agg(
-        F.concat_ws(
-            "-",
-            F.count(F.lit(1)),
-            F.hex(F.bit_xor(F.xxhash64(*line))),
-            F.hex(F.bit_xor(F.xxhash64(*reversed(line)))),
-        ).alias("sums")
+    without = candidates.where("etag IS NULL")
+    parts_of = F.ceil(F.col("length") / PART)
+    many = without.agg(F.sum(parts_of)).first()[0] or 0
+    if not many:
+        return _named(candidates, F.coalesce("etag", F.lit(_empty())))
+    tasks = min(int(many), max(4 * spark.sparkContext.defaultParallelism, int(many) // 8))
+    parts = without.where("length > 0").select(
+        "object_key", "path", F.explode(F.sequence(F.lit(0), parts_of - 1)).alias("part")
+    ).repartition(tasks, "object_key", "part")
+    named = source.store
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stores: dict[str, Store] = {}
+        for batch in batches:
+            made = []
+            for path, part in zip(batch["path"].to_pylist(), batch["part"].to_pylist(), strict=True):
+                digest = md5(usedforsecurity=False)
+                for chunk in _chunks(_store(stores, path, named), path, part * PART, PART):
+                    digest.update(chunk)
+                made.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [batch["object_key"], batch["part"], pa.array(made, pa.string())], names=["object_key", "part", "digest"]
+            )
+
+    hashed = parts.mapInArrow(digests, "object_key string, part bigint, digest string")
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("part", "digest"))), lambda p: p["digest"])
+    own = hashed.groupBy("object_key").agg(
+        F.concat(F.md5(F.concat_ws("", in_order).cast("binary")), F.lit("-"), F.count(F.lit(1)).cast("string")).alias("own")
     )
-    etag = F.concat_ws("-", F.col("length"), F.coalesce("sums", F.lit("empty")))
-    return candidates.join(sums, "object_key", "left").select(*LISTING.names, etag.alias("etag"))
+    return _named(candidates.join(own, "object_key", "left"), F.coalesce("etag", "own", F.lit(_empty())))
+
+
+def _empty() -> str:
+    return md5(usedforsecurity=False).hexdigest() + "-0"
 
 
-def read_lines(
-    spark: SparkSession, source: Source, files: DataFrame, separator: str | None = None
-) -> DataFrame:
-    """Every line of the files with its position, blank lines included.
+def _named(files: DataFrame, etag: Column) -> DataFrame:
+    return files.select(*[c for c in LISTING.names if c != "etag"], etag.alias("etag"))
 
-    Any later shuffle or filter leaves the positions as they are, so they can serve as
-    order of the records: files by key, lines as in the file. Only the names of folders come to
-    the driver; of the files in them, those in ``files`` (a written table) are kept by a join.
+
+def _store(stores: dict[str, Store], path: str, named: str) -> Store:
+    """A task's client for the store of a path; made once for all paths of a bucket."""
+    bucket = "/".join(path.split("/", 3)[:3])
+    if bucket not in stores:
+        stores[bucket] = store_of(path, named)
+    return stores[bucket]
+
+
+def _chunks(store: Store, path: str, start: int, length: int) -> Iterator[bytes]:
+    end = start + length
+    while start < end and (chunk := store.read(path, start, min(CHUNK, end - start))):
+        yield chunk
+        start += len(chunk)
+
+
+def read_lines(spark: SparkSession, source: Source, files: DataFrame) -> DataFrame:
+    """Every line of the files with its position, blank lines included; no other file is opened.
+
+    Any later shuffle or filter leaves the positions as they are, so they can serve as order of the
+    records: files by key, lines as in the file. Names of the files to read come to the driver, as Spark's own
+    file index holds them; a scan gets a bounded number of them. Files with hidden names, which Spark's
+    readers pass over, are read by tasks from the store. ``files`` is a written table.
     """
-    schema = "object_key string, block_start bigint, row_id bigint, value string"
-    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
-    folders = _topmost({r[0] for r in files.where("length > 0").select(folder).distinct().collect()})
-    if not folders:
-        return spark.createDataFrame([], schema)
-    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{source.suffix}")
-    if separator:
-        reader = reader.option("lineSep", separator)
-    lines = reader.text(_literal(folders)).select(
-        _key_of(spark, source, _decoded(F.col("_metadata.file_path"))).alias("object_key"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("row_id"),
-        "value",
+    root = hadoop.qualified(spark, source.root).rstrip("/")
+    full = files.where("length > 0").select("path", _is_hidden(F.col("object_key")).alias("hidden"))
+    paths, hidden = [], False
+    for row in full.toLocalIterator():
+        hidden |= row["hidden"]
+        paths += [] if row["hidden"] else [row["path"]]
+    scans = [
+        spark.read.text(_literal(paths[i : i + FILES_OF_A_SCAN])).select(
+            _key_of(root, _decoded(F.col("_metadata.file_path"))).alias("object_key"),
+            F.col("_metadata.file_block_start").alias("block_start"),
+            F.monotonically_increasing_id().alias("row_id"),
+            "value",
+        )
+        for i in range(0, len(paths), FILES_OF_A_SCAN)
+    ]
+    if hidden:
+        scans.append(_lines_of_hidden(files.where(F.col("length") > 0).where(_is_hidden(F.col("object_key"))), source.store))
+    return reduce(DataFrame.unionByName, scans) if scans else spark.createDataFrame([], LINES)
+
+
+def _is_hidden(key: Column) -> Column:
+    """Whether Spark's readers pass over a file because of its name, or that of a folder it lies in."""
+    return key.rlike("(^|/)[._]")
+
+
+def _lines_of_hidden(files: DataFrame, named: str) -> DataFrame:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stores: dict[str, Store] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                held, size = [], 0
+                for line in split_lines(_chunks(_store(stores, row["path"], named), row["path"], 0, row["length"])):
+                    held.append(line)
+                    size += len(line)
+                    if size > 8 * CHUNK or len(held) == 10_000:
+                        yield _of_file(row["object_key"], held)
+                        held, size = [], 0
+                yield _of_file(row["object_key"], held)
+
+    tasks = files.sparkSession.sparkContext.defaultParallelism
+    lines = files.repartition(tasks, "path").select("object_key", "path", "length").mapInArrow(
+        read, "object_key string, value binary"
+    )
+    return lines.select(
+        "object_key", F.lit(0).cast("bigint").alias("block_start"),
+        F.monotonically_increasing_id().alias("row_id"), F.col("value").cast("string").alias("value"),
+    )
+
+
+def _of_file(key: str, lines: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([key] * len(lines), pa.string()), pa.array(lines, pa.binary())], names=["object_key", "value"]
     )
-    return lines.join(files.select("object_key"), "object_key", "left_semi")
 
 
-def _topmost(folders: set[str]) -> list[str]:
-    """The folders without those that lie inside another one of them."""
-    kept: list[str] = []
-    for folder in sorted(folders, key=lambda f: f + "/"):
-        if not (kept and folder.startswith(kept[-1] + "/")):
-            kept.append(folder)
-    return kept
+def split_lines(chunks: Iterable[bytes]) -> Iterator[bytes]:
+    """Lines as Spark's reader has them: any of the three line ends, no byte-order mark at the start."""
+    rest, begun = b"", False
+    for chunk in chunks:
+        rest += chunk
+        if not begun and len(rest) >= 3:
+            rest, begun = rest.removeprefix(b"\xef\xbb\xbf"), True
+        *lines, rest = rest.splitlines(keepends=True) or [b""]
+        # the last one may go on in the next chunk, also between the two characters of a line end
+        yield from (line.rstrip(b"\r\n") for line in lines)
+    if rest:
+        yield rest.rstrip(b"\r\n")
 
 
 def _decoded(uri: Column) -> Column:

@@ -21,32 +21,3 @@ def qualified(spark: SparkSession, path: str) -> str:
 def exists(spark: SparkSession, path: str) -> bool:
     fs, jpath = _path(spark, path)
     return fs.exists(jpath)
-
-
-def _matching(spark: SparkSession, pattern: str) -> list[JavaObject]:
-    fs, jpath = _path(spark, pattern)
-    return list(fs.globStatus(jpath) or [])
-
-
-def hidden_files(spark: SparkSession, folder: str, suffix: str) -> list[str]:
-    """Files with the suffix whose own name, or that of a folder below ``folder``, starts with ``.`` or ``_``.
-
-    Patterns go down level by level, so only hidden names come to Python. Writers' markers, which
-    do not have the suffix, are no candidates.
-    """
-    found: list[str] = []
-    escaped = "".join("\\" + c if c in "{}[]*?\\" else c for c in folder)
-    level = escaped
-    while level and (level == escaped or len(_matching(spark, level))):
-        for status in _matching(spark, f"{level}/[._]*"):
-            path = status.getPath()
-            if status.isDirectory():
-                fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-                inside = fs.listFiles(path, True)
-                while inside.hasNext():
-                    name = inside.next().getPath().toString()
-                    found += [name] if name.endswith(suffix) else []
-            elif path.getName().endswith(suffix):
-                found.append(path.toString())
-        level = f"{level}/[!._]*"
-    return sorted(found)
