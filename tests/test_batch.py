@@ -8,17 +8,18 @@ import os
 from pathlib import Path
 
 import pytest
-from helpers import VEHICLE_A, event, sample_batch
+from helpers import DAY, VEHICLE_A, event, sample_batch
 from pyspark.sql import functions as F
 
 from voltlog.operators import reports, transform
 from voltlog.operators.lines import number_lines
 from voltlog.plans import adapter
 from voltlog.plans.batch import BatchRejected, Warehouse, run_batch
-from voltlog.sources import files
+from voltlog.sources import files, hadoop
 from voltlog.sources.files import Source, candidate_report, list_files, new_files, read_lines, split_lines, with_etags
 from voltlog.sources.listing import walk
 from voltlog.sources.stores import LocalStore, NoStore, S3Store, store_of
+from voltlog.sources.tables import CuratedTable
 
 
 class Site:
@@ -350,7 +351,7 @@ def test_recompute(site, monkeypatch):
     site.run(recompute_aggregates=True)
     site.put("2.jsonl", later_events())
     # The first try dies after the events were changed; the second one must still find the old hour.
-    monkeypatch.setattr(transform, "hourly_metrics", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+    monkeypatch.setattr(transform, "hourly_of", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
     with pytest.raises(RuntimeError, match="lost"):
         site.run(recompute_aggregates=True)
     monkeypatch.undo()
@@ -361,6 +362,97 @@ def test_recompute(site, monkeypatch):
     assert site.counts()[0] == 8
 
 
+def all_metrics(site):
+    """The aggregates as stored, and as all stored events give them."""
+    enriched = site.house.table("telemetry_enriched").read()
+    fresh = {
+        "vehicle_hourly_metrics": transform.hourly_metrics(enriched), "trip_metrics": transform.trip_metrics(enriched),
+        "battery_health": transform.battery_health(enriched),
+    }
+    rounded = lambda rows: sorted(
+        tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in rows.collect())
+    return [rounded(site.house.table(n).read()) for n in fresh], [rounded(f) for f in fresh.values()]
+
+
+def test_added_events_are_merged_without_reading_old_ones(site, spark, monkeypatch):
+    site.put("1.jsonl", sample_batch())
+    site.run(recompute_aggregates=True)
+    added = [event(event_id="unit_added_1", event_ts=f"{DAY}T13:59:00Z", ingest_ts=f"{DAY}T13:59:01Z", speed_mph=80.0,
+                   battery_soc=10.0, odometer_miles=600.0, autopilot_engaged=True)]
+    site.put("2.jsonl", added)
+    read = []
+    stored = CuratedTable._of_days
+
+    def seen(table, days):
+        read.append((table.spec.name, sorted(map(str, days))))
+        return stored(table, days)
+
+    monkeypatch.setattr(CuratedTable, "_of_days", seen)
+    assert site.run(recompute_aggregates=True).events == 1
+    assert [days for name, days in read if name in ("telemetry_enriched", "alerts")] and all(
+        days == [] for name, days in read if name in ("telemetry_enriched", "alerts"))
+    monkeypatch.undo()
+    kept, fresh = all_metrics(site)
+    assert kept == fresh
+    assert hours_of(site)[0] == (True, 13, 3)
+
+
+def test_states_stay_right_over_mixed_runs_and_crashes(site, monkeypatch):
+    site.put("1.jsonl", sample_batch())
+    site.run()  # no states yet
+    site.put("2.jsonl", [event(event_id="unit_second_1", event_ts=f"{DAY}T13:20:00Z", ingest_ts=f"{DAY}T13:20:01Z")])
+    site.run(recompute_aggregates=True)
+    kept, fresh = all_metrics(site)
+    assert kept == fresh
+    site.put("3.jsonl", [event(event_id="unit_third_1", event_ts=f"{DAY}T13:25:00Z", ingest_ts=f"{DAY}T13:25:01Z")])
+    site.run()  # goes past the states, and replaces the hour by its own events
+    site.put("4.jsonl", [event(event_id="unit_fourth_1", event_ts=f"{DAY}T13:30:00Z", ingest_ts=f"{DAY}T13:30:01Z")])
+    table = type(site.house.ledger)
+    append = table.append
+    monkeypatch.setattr(table, "append", lambda t, rows: append(t, rows) if "processed" not in t.path else 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        site.run(recompute_aggregates=True)
+    monkeypatch.undo()
+    kept, fresh = all_metrics(site)
+    assert kept == fresh
+    assert site.run(recompute_aggregates=True).events == 1  # the same events once more, not counted twice
+    kept, fresh = all_metrics(site)
+    assert kept == fresh and site.counts()[0] == 10
+
+
+def test_replaced_events_are_looked_for_in_few_folders(site, spark):
+    """Thirty days of events and a batch of ten ids: the bytes opened go with the batch."""
+    base = dt.datetime(2031, 3, 1, 8)
+    for part in range(3):
+        site.put(f"{part}.jsonl", [
+            event(event_id=f"history_{d:02d}_{i:04d}", event_ts=f"{base + dt.timedelta(days=d, seconds=i):%Y-%m-%dT%H:%M:%S}Z",
+                  ingest_ts="2031-05-01T00:00:00Z") for d in range(part * 10, part * 10 + 10) for i in range(200)])
+    site.run()
+    events = site.house.table("telemetry_enriched")
+    batch = site.house.stage("batch", events.read().where("event_id like 'history_03_000%'").withColumn(
+        "event_date", F.lit("2031-06-01").cast("date")))
+    everything = site.house.stage("everything", events.read())
+    size = lambda df: sum(os.path.getsize(f.removeprefix("file://").removeprefix("file:")) for f in df.inputFiles())
+    assert batch.count() == 10
+    few, many = events.index.entries_of(batch), events.index.entries_of(everything)
+    assert 0 < size(few) < 0.08 * size(many)
+    found = events.replaced_rows(batch)
+    assert {str(r["event_date"]) for r in found.collect()} == {"2031-03-04"} and found.count() == 10
+    assert all("event_date=2031-03-04" in f for f in found.inputFiles() if "/curated/" in f)
+    # a moved event is found at its new day, and the index may be written anew at any time
+    site.put("move.jsonl", [event(event_id="history_03_0001", event_ts="2031-04-20T08:00:00Z", ingest_ts="2031-05-01T00:00:00Z")])
+    assert site.run().events == 1
+    events.index.compact()
+    site.put("move.jsonl", [event(event_id="history_03_0001", event_ts="2031-04-22T08:00:00Z", ingest_ts="2031-05-01T00:00:00Z")])
+    assert site.run().events == 1
+    rows = [r for r in site.rows("telemetry_enriched", ["event_id"]) if r["event_id"] == "history_03_0001"]
+    assert [str(r["event_date"]) for r in rows] == ["2031-04-22"] and site.counts()[0] == 6000
+    # a table that was filled without an index gets one
+    hadoop.delete(spark, events.index.path)
+    site.put("move.jsonl", [event(event_id="history_03_0001", event_ts="2031-04-23T08:00:00Z", ingest_ts="2031-05-01T00:00:00Z")])
+    assert site.run().events == 1 and site.counts()[0] == 6000
+
+
 def test_failure_before_the_ledger_is_repaired_by_a_rerun(site, monkeypatch):
     site.put("1.jsonl", sample_batch())
     table = type(site.house.ledger)

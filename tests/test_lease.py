@@ -1,0 +1,103 @@
+"""One run at a time."""
+
+import threading
+import time
+
+import pytest
+from helpers import sample_batch
+from test_batch import Site
+
+from voltlog.plans import batch
+from voltlog.sources import hadoop, lease
+from voltlog.sources.lease import Lease, LeaseHeld, LeaseLost, NoLease, leased
+
+
+@pytest.fixture
+def folder(tmp_path):
+    return str(tmp_path / "house" / "leases")
+
+
+def test_one_of_two_gets_the_lease_and_gives_it_back(spark, folder):
+    with leased(spark, folder, 60) as first:
+        with pytest.raises(LeaseHeld, match=first.owner):
+            Lease(spark, folder).take()
+        first.check()
+    for _ in range(15):
+        with leased(spark, folder, 60):
+            pass
+    assert len(hadoop.names_in(spark, folder)) < 12
+    with pytest.raises(ZeroDivisionError), leased(spark, folder, 60):
+        1 / 0
+    Lease(spark, folder).take()
+
+
+def test_a_lease_that_ran_out_is_taken_over_and_missed_by_its_owner(spark, folder):
+    dead = Lease(spark, folder, seconds=0.2)
+    dead.take()
+    with pytest.raises(LeaseHeld):
+        Lease(spark, folder).take()
+    time.sleep(0.3)
+    heir = Lease(spark, folder)
+    heir.take()
+    for step in (dead.check, dead.renew):
+        with pytest.raises(LeaseLost):
+            step()
+    dead.give_back()  # does not end the heir's lease
+    with pytest.raises(LeaseHeld, match=heir.owner):
+        Lease(spark, folder).take()
+
+
+def test_a_lease_is_renewed_while_its_owner_is_at_work(spark, folder):
+    with leased(spark, folder, 0.9):
+        time.sleep(1.5)
+        with pytest.raises(LeaseHeld):
+            Lease(spark, folder).take()
+
+
+def test_of_many_at_once_one_wins(spark, folder):
+    got, barrier = [], threading.Barrier(8)
+
+    def attempt():
+        mine = Lease(spark, folder)
+        barrier.wait()
+        try:
+            mine.take()
+            got.append(mine)
+        except LeaseHeld:
+            pass
+
+    threads = [threading.Thread(target=attempt) for _ in range(8)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert len(got) == 1
+
+
+def test_stores_without_exclusive_creation_are_refused(spark, folder, monkeypatch):
+    monkeypatch.setattr(lease, "EXCLUSIVE", ("hdfs",))
+    with pytest.raises(NoLease, match="file"):
+        Lease(spark, folder).take()
+    with leased(spark, folder, None) as none:
+        assert none is None
+
+
+def test_runs_take_turns(spark, tmp_path, monkeypatch):
+    site = Site(spark, tmp_path)
+    site.put("1.jsonl", sample_batch())
+    leases = f"{site.house.path}/leases"
+    with leased(spark, leases, 60), pytest.raises(LeaseHeld):
+        site.run()
+    assert site.ledger_size() == 0
+
+    def taken_away(*_):
+        hadoop.create_exclusively(spark, f"{leases}/{2:012d}", "")
+
+    monkeypatch.setattr(batch, "_load", taken_away)
+    with pytest.raises(LeaseLost):
+        site.run()
+    assert site.ledger_size() == 0
+    monkeypatch.undo()
+    with pytest.raises(LeaseHeld, match="just begun"):
+        site.run()
+    assert site.run(lease_seconds=None).events == 7

@@ -34,7 +34,7 @@ def stage(spark, tmp_path):
 
 
 def files(table):
-    return {r[0] for r in table._stored().select(F.input_file_name()).distinct().collect()}
+    return {r[0] for r in table.read().select(F.input_file_name()).distinct().collect()}
 
 
 def test_upsert_touches_only_the_days_it_must(spark, tmp_path, stage):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,12 +26,17 @@ def enrich(events: DataFrame) -> DataFrame:
     return events.select(*enriched_columns())
 
 
-def hourly_metrics(enriched: DataFrame) -> DataFrame:
+# --- aggregates as states, which can be merged: sums and counts in place of means ---------------
+
+
+def hourly_states(enriched: DataFrame) -> DataFrame:
     return enriched.groupBy("vin", "event_hour").agg(
         F.count("event_id").alias("events"),
-        F.avg("speed_mph").alias("avg_speed_mph"),
+        F.sum("speed_mph").alias("speed_sum"),
+        F.count("speed_mph").alias("speed_count"),
         F.max("speed_mph").alias("max_speed_mph"),
-        F.avg("battery_soc").alias("avg_battery_soc"),
+        F.sum("battery_soc").alias("soc_sum"),
+        F.count("battery_soc").alias("soc_count"),
         F.min("battery_soc").alias("min_battery_soc"),
         F.max("battery_temp_c").alias("max_battery_temp_c"),
         F.count_if("is_moving").alias("moving_events"),
@@ -38,29 +45,70 @@ def hourly_metrics(enriched: DataFrame) -> DataFrame:
     )
 
 
-def daily_metrics(enriched: DataFrame) -> DataFrame:
+def hourly_of(states: DataFrame) -> DataFrame:
+    return states.select(
+        "vin", "event_hour", "events", (F.col("speed_sum") / F.col("speed_count")).alias("avg_speed_mph"),
+        "max_speed_mph", (F.col("soc_sum") / F.col("soc_count")).alias("avg_battery_soc"), "min_battery_soc",
+        "max_battery_temp_c", "moving_events", "charging_events", "latest_odometer_miles",
+    )
+
+
+def hourly_metrics(enriched: DataFrame) -> DataFrame:
+    return hourly_of(hourly_states(enriched))
+
+
+def daily_states(enriched: DataFrame) -> DataFrame:
     """Trips and battery health share their key, so one shuffle serves both."""
     moving = lambda name: F.when(F.col("is_moving"), F.col(name))
-    daily = enriched.groupBy("vin", "event_date").agg(
+    return enriched.groupBy("vin", "event_date").agg(
         F.count_if("is_moving").alias("moving_events"),
         F.min(moving("event_ts")).alias("first_event_ts"),
         F.max(moving("event_ts")).alias("last_event_ts"),
         F.min(moving("odometer_miles")).alias("start_odometer_miles"),
         F.max(moving("odometer_miles")).alias("end_odometer_miles"),
-        F.avg(moving("speed_mph")).alias("avg_speed_mph"),
+        F.sum(moving("speed_mph")).alias("speed_sum"),
+        F.count(moving("speed_mph")).alias("speed_count"),
         F.max(moving("speed_mph")).alias("max_speed_mph"),
         F.count_if(F.col("is_moving") & F.col("autopilot_engaged")).alias("autopilot_events"),
-        F.avg("battery_soc").alias("avg_battery_soc"),
+        F.sum("battery_soc").alias("soc_sum"),
+        F.count("battery_soc").alias("soc_count"),
         F.min("battery_soc").alias("min_battery_soc"),
-        F.avg("battery_temp_c").alias("avg_battery_temp_c"),
+        F.sum("battery_temp_c").alias("temp_sum"),
+        F.count("battery_temp_c").alias("temp_count"),
         F.max("battery_temp_c").alias("max_battery_temp_c"),
         F.count_if("is_charging").alias("charge_events"),
     )
-    return daily.withColumn(
-        "distance_miles", F.col("end_odometer_miles") - F.col("start_odometer_miles")
+
+
+def daily_of(states: DataFrame) -> DataFrame:
+    mean = lambda name: F.col(f"{name}_sum") / F.col(f"{name}_count")
+    return states.select(
+        "vin", "event_date", "moving_events", "first_event_ts", "last_event_ts", "start_odometer_miles",
+        "end_odometer_miles", mean("speed").alias("avg_speed_mph"), "max_speed_mph", "autopilot_events",
+        mean("soc").alias("avg_battery_soc"), "min_battery_soc", mean("temp").alias("avg_battery_temp_c"),
+        "max_battery_temp_c", "charge_events",
+        (F.col("end_odometer_miles") - F.col("start_odometer_miles")).alias("distance_miles"),
     )
 
 
+def daily_metrics(enriched: DataFrame) -> DataFrame:
+    return daily_of(daily_states(enriched))
+
+
+def merged_states(states: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One state per key out of several: extremes of extremes, sums of all other columns."""
+
+    def merge(name: str) -> Column:
+        if name.startswith(("min_", "first_", "start_")):
+            return F.min(name)
+        if name.startswith(("max_", "last_", "latest_", "end_")):
+            return F.max(name)
+        return F.sum(name)
+
+    rest = [c for c in states.columns if c not in keys]
+    return states.groupBy(*keys).agg(*[merge(c).alias(c) for c in rest]).select(*states.columns)
+
+
 def trips_of(daily: DataFrame) -> DataFrame:
     return daily.where("moving_events > 0").select(
         "vin", "event_date", "first_event_ts", "last_event_ts", "start_odometer_miles",

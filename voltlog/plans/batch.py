@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltlog.operators import check, transform
 from voltlog.operators.lines import drop_blank, members_sql, number_lines
 from voltlog.operators.merge import recompute, touched_keys
-from voltlog.schemas import ENRICHED, LEDGER, POSITION, QUARANTINE, TABLES
+from voltlog.schemas import ENRICHED, LEDGER, POSITION, QUARANTINE, STATES, TABLES
 from voltlog.session import configured
 from voltlog.sources import files as fs
+from voltlog.sources.lease import Lease, leased
+from voltlog.sources.published import publish
 from voltlog.sources.tables import AppendTable, CuratedTable, distinct_days
 
 
@@ -53,6 +57,19 @@ class Warehouse:
     def quarantine(self) -> AppendTable:
         return AppendTable(self.spark, f"{self.path}/raw/quarantined_files", QUARANTINE)
 
+    def states(self, name: str) -> CuratedTable:
+        """What the aggregates are kept as; runs that recompute them add new events to it."""
+        return CuratedTable.open(self.spark, self.path, STATES[name], "states")
+
+    @property
+    def touched_groups(self) -> AppendTable:
+        """Groups whose states are no longer right and must be built from their events."""
+        groups = T.StructType([f for f in ENRICHED.fields if f.name in ("vin", "event_date", "event_hour")])
+        return AppendTable(self.spark, f"{self.path}/raw/touched_groups", groups)
+
+    def publish(self, database: str) -> None:
+        publish(self.spark, self.path, database, self.ledger.path)
+
     def staged(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/staging/{name}")
 
@@ -70,20 +87,30 @@ def run_batch(
     listing: DataFrame | None = None,
     recompute_aggregates: bool = False,
     quarantine_bad_files: bool = False,
+    lease_seconds: float | None = 900.0,
+    database: str | None = None,
 ) -> RunResult:
-    """Load all files that were not loaded before. Only one run at a time per warehouse.
+    """Load all files that were not loaded before.
+
+    A run has the warehouse to itself by a lease (see ``sources.lease``): a second one is refused while the first
+    goes on, and may begin ``lease_seconds`` after the first died. None does without, for stores that
+    cannot give one; then only one run at a time may be started. With ``database``, the tables are found by name
+    in Spark's catalog after the run.
 
     ``listing`` may bring the candidate files with their etags, such as an inventory of an
     object store, instead of listing the folders. The two options are off by
     default: aggregates come from the batch alone, and one bad file rejects the batch.
     """
     house = Warehouse(spark, warehouse_path.rstrip("/"))
-    with configured(spark):
-        return _run(house, source, listing, recompute_aggregates, quarantine_bad_files)
+    with configured(spark), leased(spark, f"{house.path}/leases", lease_seconds) as lease:
+        result = _run(house, source, listing, recompute_aggregates, quarantine_bad_files, lease)
+        if database:
+            house.publish(database)
+        return result
 
 
 def _run(house: Warehouse, source: fs.Source, listing: DataFrame | None, recompute_aggregates: bool,
-         quarantine_bad_files: bool) -> RunResult:
+         quarantine_bad_files: bool, lease: Lease | None) -> RunResult:
     spark = house.spark
     found = house.stage("new_files", _find_new_files(spark, source, house, listing))
     files = found.count()
@@ -98,7 +125,7 @@ def _run(house: Warehouse, source: fs.Source, listing: DataFrame | None, recompu
     repeated = not check.repeated_ids(check.valid_rows(checked)).isEmpty()
     if not bad and not repeated:
         _load(house, checked, recompute_aggregates)
-        _record(house, found)
+        _record(house, found, lease)
         return RunResult("loaded", files, 0, counts["lines"])
     if not quarantine_bad_files:
         _reject(house, source, found, checked, counts["broken"])
@@ -111,7 +138,7 @@ def _run(house: Warehouse, source: fs.Source, listing: DataFrame | None, recompu
     if events:
         _load(house, house.stage("events_to_load", good), recompute_aggregates)
     house.quarantine.append(aside.withColumn("quarantined_at", F.current_timestamp()))
-    _record(house, _without_files(_without_files(found, aside), postponed))
+    _record(house, _without_files(_without_files(found, aside), postponed), lease)
     gone, waiting = aside.count(), postponed.count()
     return RunResult("loaded", files - gone - waiting, gone, events, waiting)
 
@@ -125,8 +152,10 @@ def _find_new_files(spark, source: fs.Source, house: Warehouse, listing: DataFra
     return fs.new_files(listing.select(*fs.LISTING.names), seen).select(*fs.LISTING.names)
 
 
-def _record(house: Warehouse, files: DataFrame) -> None:
+def _record(house: Warehouse, files: DataFrame, lease: Lease | None) -> None:
     """Last write of a run: after any failure before it, the same files are new again."""
+    if lease:
+        lease.check()
     house.ledger.append(files.withColumn("processed_at", F.current_timestamp()))
 
 
@@ -200,6 +229,8 @@ def _load(house: Warehouse, checked: DataFrame, recompute_aggregates: bool) -> N
     grouping, so the upserts need not check their sources again.
     """
     enriched = checked.select(*ENRICHED.names)
+    for name in TABLES:
+        house.table(name).prepare_index()
 
     def put(name: str, rows: DataFrame, replaced: DataFrame | None = None) -> None:
         staged = house.stage(name, rows)
@@ -217,6 +248,10 @@ def _load(house: Warehouse, checked: DataFrame, recompute_aggregates: bool) -> N
 
     events = house.table("telemetry_enriched")
     if not recompute_aggregates:
+        if house.states("hourly_states").exists:
+            # these events go past the states: the next run that uses them looks at their groups anew
+            changed = enriched.unionByName(events.replaced_rows(enriched).select(*ENRICHED.names))
+            house.touched_groups.append(changed.select(*house.touched_groups.schema.names).distinct())
         _together(
             lambda: events.upsert(enriched, house.stage, keys_checked=True),
             lambda: put("alerts", transform.alerts(enriched)),
@@ -228,20 +263,37 @@ def _load(house: Warehouse, checked: DataFrame, recompute_aggregates: bool) -> N
     # The aggregates come from all events, also those loaded earlier, so the events go first. What
     # they replace is noted before: a run that is repeated after a crash would not find it again,
     # so groups that lost events are kept in a table until the run is complete.
-    lost = house.table("telemetry_enriched").replaced_rows(enriched).select("vin", "event_date", "event_hour")
-    pending = AppendTable(house.spark, f"{house.path}/raw/touched_groups", lost.schema)
-    pending.append(lost)
-    replaced = house.stage("replaced_events", pending.read().distinct())
-    hour, day = ("vin", "event_hour"), ("vin", "event_date")
-    hours = house.stage("touched_hours", touched_keys(enriched, replaced, hour))
-    dates = house.stage("touched_days", touched_keys(enriched, replaced, day))
+    pending = house.touched_groups
+    if not house.states("hourly_states").exists:
+        pending.append(events.read().select(*pending.schema.names).distinct())
+    pending.append(events.replaced_rows(enriched).select(*pending.schema.names).distinct())
+    lost = house.stage("replaced_events", pending.read().distinct())
     events.upsert(enriched, house.stage, keys_checked=True)
-    all_events = events.read_days(
-        distinct_days(dates, "event_date") | distinct_days(hours, "to_date(event_hour)")
-    )
-    _together(
-        lambda: put("alerts", transform.alerts(enriched)),
-        lambda: put_hourly(recompute(transform.hourly_metrics, all_events, hours, hour), hours),
-        lambda: put_daily(recompute(transform.daily_metrics, all_events, dates, day), dates),
-    )
-    replaced.limit(0).write.mode("overwrite").parquet(pending.path)
+
+    def refresh(name: str, build: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+        """The states of the groups that the batch changes, and the keys of those groups."""
+        table = house.states(name)
+        keys = table.spec.keys
+        lost_keys = house.stage(f"lost_{name}", lost.select(*keys).distinct())
+        touched = house.stage(f"touched_{name}", touched_keys(enriched, lost_keys, keys))
+        # A group that lost an event is built from all its events; to any other one, the new events are added.
+        anew = recompute(build, events.read_days(distinct_days(lost_keys, table.spec.day)), lost_keys, keys)
+        added = build(enriched.join(lost_keys, list(keys), "left_anti").select(*enriched.columns))
+        before = table.read_days(distinct_days(enriched, table.spec.day)).join(
+            touched.join(lost_keys, list(keys), "left_anti"), list(keys), "left_semi"
+        )
+        merged = transform.merged_states(before.unionByName(added), keys)
+        fresh = house.stage(name, anew.unionByName(merged))
+        table.upsert(fresh, house.stage, touched, keys_checked=True)
+        return fresh, touched
+
+    def refresh_hourly() -> None:
+        states, touched = refresh("hourly_states", transform.hourly_states)
+        put_hourly(transform.hourly_of(states), touched)
+
+    def refresh_daily() -> None:
+        states, touched = refresh("daily_states", transform.daily_states)
+        put_daily(transform.daily_of(states), touched)
+
+    _together(lambda: put("alerts", transform.alerts(enriched)), refresh_hourly, refresh_daily)
+    lost.limit(0).write.mode("overwrite").parquet(pending.path)

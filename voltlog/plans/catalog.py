@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -11,10 +12,10 @@ from pyspark.sql import functions as F
 from voltlog.operators import check, merge, reports, transform
 from voltlog.operators.lines import members_sql, number_lines
 from voltlog.plans import adapter
-from voltlog.plans.batch import Warehouse, run_batch
+from voltlog.plans.batch import BatchRejected, Warehouse, run_batch
 from voltlog.schemas import FIELD_NAMES, TABLES
 from voltlog.session import configure, scratch_folder
-from voltlog.sources.files import Source, new_files
+from voltlog.sources.files import Source, candidate_report, new_files
 from voltlog.sources.jsonl import read_clean, to_lines, write_json_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,9 +162,30 @@ def _new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return new_files(_vehicle_files(events), ledger)
 
 
+def _candidate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of candidate files of a folder per day, by folder; hidden names count like others."""
+    root = scratch_folder(spark)
+    source = Source(f"{root}/source", suffix=".txt")
+    day = F.concat(F.when(F.dayofmonth("event_ts") % 2 == 0, "_").otherwise(""), F.to_date("event_ts").cast("string"))
+    adapter.telemetry(spark, sf_dir).select(F.col("event_id").alias("value"), day.alias("day")).write.partitionBy(
+        "day"
+    ).text(source.folder)
+    folder = F.regexp_extract("object_key", "^(.*)/[^/]*$", 1).alias("folder")
+    return candidate_report(spark, source).groupBy(folder).agg(F.sum("length").alias("bytes"))
+
+
 # --- upserts ---------------------------------------------------------------------
 
 
+def _missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that would stop a load: those without a required column."""
+    number = F.substring("event_id", 5, 20).cast("bigint")
+    events = adapter.telemetry(spark, sf_dir).withColumn("vin", F.when(number % 50 != 7, F.col("vin")))
+    events = events.withColumn("ingest_ts", F.when(number % 50 != 9, F.col("ingest_ts")))
+    spec = TABLES["telemetry_enriched"]
+    return merge.key_violations(events, spec.keys, spec.required)
+
+
 def _enriched_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     first, second = adapter.batches(spark, sf_dir)
     return transform.enrich(first), transform.enrich(second)
@@ -227,6 +249,44 @@ def _from_warehouse(read, recompute: bool = False) -> Query:
     return query
 
 
+def _catalog_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the five tables, and folders in the ledger, read by their names in the catalog."""
+    house = Warehouse(spark, _loaded(spark, sf_dir, False))
+    database = "voltlog_" + hashlib.md5(house.path.encode()).hexdigest()[:12]
+    house.publish(database)
+    counts = " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {database}.{name}" for name in TABLES)
+    return spark.sql(f"""{counts} UNION ALL SELECT 'processed_files',
+  count(DISTINCT regexp_extract(object_key, '^(.*)/[^/]*$', 1)) FROM {database}.processed_files""")
+
+
+def _run_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a series of runs does: loads, skips what it has loaded, refuses a bad batch and one without events."""
+    root = scratch_folder(spark)
+    source = Source(f"{root}/source", suffix=".txt")
+    house = Warehouse(spark, f"{root}/warehouse")
+    day = F.to_date(F.get_json_object("value", "$.event_ts"))
+    bad = adapter.json_lines(adapter.telemetry(spark, sf_dir), defects=True).select("value")
+    lines = [to_lines(batch) for batch in adapter.batches(spark, sf_dir)]
+    blank = lines[0].limit(1).select(F.lit("  ").alias("value"), F.lit("blank").alias("day"))
+    steps = [None, lines[0], None, lines[1], bad, blank]
+    rows = []
+    for no, put in enumerate(steps):
+        if put is not None:
+            put = put if "day" in put.columns else put.withColumn("day", F.coalesce(day.cast("string"), F.lit("none")))
+            put.repartition("day").write.partitionBy("day").mode("overwrite").text(f"{source.folder}/step={min(no, 4)}")
+        try:
+            result = run_batch(spark, source, house.path)
+            outcome = (result.status, result.files, result.events)
+        except BatchRejected as error:
+            outcome = ("no events" if "no events" in str(error) else "rejected", 0, 0)
+        tables = (house.table("telemetry_enriched").read().count(), house.ledger.read().count())
+        late = house.ledger.read().where(F.abs(F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("processed_at")) > 3600)
+        rows.append((no, *outcome, *tables, late.count()))
+    return spark.createDataFrame(
+        rows, "step bigint, status string, files bigint, events bigint, stored bigint, recorded bigint, wrong_times bigint"
+    )
+
+
 def _loaded_table(name: str, recompute: bool = False) -> Query:
     return _from_warehouse(lambda house: house.table(name).read(), recompute)
 
@@ -283,6 +343,10 @@ QUERIES: dict[str, Query] = {
     "gate_counts": _gate_counts,
     "repeated_ids": _repeated_ids,
     "new_files": _new_files,
+    "candidate_files": _candidate_files,
+    "missing_keys": _missing_keys,
+    "run_outcomes": _run_outcomes,
+    "catalog_row_counts": _catalog_row_counts,
     **{f"upsert_{name}": _upserted(name) for name in TABLES},
     **{f"recompute_{name}": _recomputed(name)
        for name in ("vehicle_hourly_metrics", "trip_metrics", "battery_health")},
@@ -459,6 +523,23 @@ def _merged_counts_sql() -> str:
     return _counts_sql(f"{_BATCHES}, {tables} ", {name: f"SELECT * FROM {name}" for name in TABLES})
 
 
+def _run_outcomes_sql() -> str:
+    """The series of runs; files are days, as each day of a batch is one file."""
+    days, rows = "(SELECT count(DISTINCT event_date) FROM {})", "(SELECT count(*) FROM {})"
+    d1, d2, r1, r2, both = (days.format("e1"), days.format("e2"), rows.format("e1"), rows.format("e2"), rows.format("merged"))
+    steps = [
+        ("skipped", 0, 0, 0, 0), ("loaded", d1, r1, r1, d1), ("skipped", 0, 0, r1, d1),
+        ("loaded", d2, r2, both, f"{d1} + {d2}"), ("rejected", 0, 0, both, f"{d1} + {d2}"),
+        ("no events", 0, 0, both, f"{d1} + {d2}"),
+    ]
+    return f"{_BATCHES} " + " UNION ALL ".join(
+        f"SELECT cast({no} AS bigint) AS step, '{status}' AS status, cast({files} AS bigint) AS files, "
+        f"cast({events} AS bigint) AS events, cast({stored} AS bigint) AS stored, cast({recorded} AS bigint) AS recorded, "
+        "cast(0 AS bigint) AS wrong_times"
+        for no, (status, files, events, stored, recorded) in enumerate(steps)
+    )
+
+
 def _strip_prefix(sql: str) -> str:
     return "WITH" + sql.removeprefix(_BATCHES).removeprefix(",")
 
@@ -500,6 +581,14 @@ SELECT * FROM files WHERE NOT EXISTS
 SELECT event_id, count(*) AS row_count, cast(0 AS bigint) AS missing_count
 FROM (SELECT * FROM first_batch UNION ALL SELECT * FROM second_batch) both_batches
 GROUP BY event_id HAVING count(*) > 1""",
+        "candidate_files": f"""WITH {_TELEM} SELECT 'telemetry/day=' ||
+  CASE WHEN day(event_ts) % 2 = 0 THEN '_' ELSE '' END || cast(cast(event_ts AS date) AS string) AS folder,
+  cast(sum(length(event_id) + 1) AS bigint) AS bytes FROM telem GROUP BY folder""",
+        "missing_keys": f"""WITH {_TELEM} SELECT event_id, cast(1 AS bigint) AS row_count, cast(1 AS bigint) AS missing_count
+FROM telem WHERE cast(substr(event_id, 5) AS bigint) % 50 IN (7, 9)""",
+        "run_outcomes": _run_outcomes_sql(),
+        "catalog_row_counts": f"""{_merged_counts_sql()} UNION ALL
+SELECT 'processed_files' AS table_name, (SELECT count(DISTINCT event_date) FROM e1) + (SELECT count(DISTINCT event_date) FROM e2)""",
         "loaded_row_counts": _merged_counts_sql(),
         "loaded_files": f"""{_BATCHES}, days AS (
   SELECT DISTINCT 1 AS batch, event_date FROM e1 UNION ALL SELECT DISTINCT 2 AS batch, event_date FROM e2)

@@ -133,5 +133,27 @@ TABLES = {
     )
 }
 
+# What aggregates are kept as, to which later events can be added.
+HOURLY_STATES = _struct(
+    "vin string, event_hour timestamp, events bigint, speed_sum double, speed_count bigint, max_speed_mph double, "
+    "soc_sum double, soc_count bigint, min_battery_soc double, max_battery_temp_c double, moving_events bigint, "
+    "charging_events bigint, latest_odometer_miles double"
+)
+DAILY_STATES = _struct(
+    "vin string, event_date date, moving_events bigint, first_event_ts timestamp, last_event_ts timestamp, "
+    "start_odometer_miles double, end_odometer_miles double, speed_sum double, speed_count bigint, "
+    "max_speed_mph double, autopilot_events bigint, soc_sum double, soc_count bigint, min_battery_soc double, "
+    "temp_sum double, temp_count bigint, max_battery_temp_c double, charge_events bigint"
+)
+STATES = {
+    t.name: t
+    for t in (
+        TableSpec("hourly_states", HOURLY_STATES, ("vin", "event_hour"), "hour_date", "to_date(event_hour)", True,
+                  ("vin", "event_hour")),
+        TableSpec("daily_states", DAILY_STATES, ("vin", "event_date"), "event_date", "event_date", True,
+                  ("vin", "event_date")),
+    )
+}
+
 # Where a line came from; sorts lines in listing order.
 POSITION = ("object_key", "block_start", "row_id")

@@ -10,7 +10,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,47 +42,113 @@ class AppendTable:
         rows.select(*self.schema.names).write.mode("append").parquet(self.path)
 
 
+@dataclass(frozen=True)
+class DayIndex:
+    """The days at which each key of a table was ever stored, as a table in buckets by a hash of the key.
+
+    A batch opens only the folders of the buckets that its keys fall into. Entries are added before the rows
+    they are about and never taken out, so the index may name a day that a key has left, never too few days.
+    """
+
+    spark: SparkSession
+    path: str
+    key: str
+    #: Part of the folders' layout: an index keeps the number it was begun with.
+    buckets: int = 256
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+
+    @property
+    def exists(self) -> bool:
+        return hadoop.exists(self.spark, self.path)
+
+    def add(self, rows: DataFrame, day: str, mode: str = "append") -> None:
+        entries = rows.select(self.key, F.expr(day).alias("day"), self._bucket().alias("bucket"))
+        entries.hint("rebalance", "bucket").sortWithinPartitions("bucket", self.key).write.mode(mode).partitionBy(
+            "bucket"
+        ).parquet(self.path)
+
+    def entries_of(self, keys: DataFrame) -> DataFrame:
+        """Entries of the buckets of the keys: ``day`` and the key, other keys of the buckets included."""
+        wanted = sorted(r[0] for r in keys.select(self._bucket()).distinct().collect())
+        folders = [f"{self.path}/bucket={b}" for b in wanted]
+        folders = [f for f in folders if hadoop.exists(self.spark, f)]
+        schema = T.StructType([T.StructField(self.key, T.StringType()), T.StructField("day", T.DateType())])
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*folders)
+
+    def days_of(self, keys: DataFrame) -> set[dt.date]:
+        """``keys`` is a written table, so Spark knows its size and sends it to the entries rather than shuffling those."""
+        return distinct_days(self.entries_of(keys).join(keys.select(self.key), self.key, "left_semi"), "day")
+
+    def compact(self) -> None:
+        """Write every entry once, in few files. Not while a run goes on."""
+        if self.exists:
+            schema = f"{self.key} string, day date, bucket int"
+            kept = f"{self.path}.compact"
+            self.spark.read.schema(schema).parquet(self.path).select(self.key, "day").distinct().write.mode(
+                "overwrite"
+            ).parquet(kept)
+            self.add(self.spark.read.parquet(kept), "day", "overwrite")
+            hadoop.delete(self.spark, kept)
+
+
 @dataclass(frozen=True)
 class CuratedTable:
-    """A table with upsert by key, partitioned by day."""
+    """A table with upsert by key, partitioned by day. ``index`` leads from keys without a day to their days."""
 
     spark: SparkSession
     path: str
     spec: TableSpec
+    index: DayIndex | None = None
 
     @classmethod
-    def open(cls, spark: SparkSession, warehouse: str, spec: TableSpec) -> "CuratedTable":
-        return cls(spark, f"{warehouse.rstrip('/')}/curated/{spec.name}", spec)
+    def open(cls, spark: SparkSession, warehouse: str, spec: TableSpec, folder: str = "curated") -> "CuratedTable":
+        house = warehouse.rstrip("/")
+        index = None if spec.day_in_key else DayIndex(spark, f"{house}/index/{spec.name}", spec.keys[0])
+        return cls(spark, f"{house}/{folder}/{spec.name}", spec, index)
 
-    def _stored(self) -> DataFrame:
-        """All rows with the day column, which is a folder name and so prunes folders."""
+    @property
+    def _schema(self) -> T.StructType:
         day = T.StructField(self.spec.day_column, T.DateType())
-        fields = [f for f in self.spec.schema.fields if f.name != day.name]
-        if not hadoop.exists(self.spark, self.path):
-            return self.spark.createDataFrame([], T.StructType([*fields, day]))
-        return self.spark.read.schema(T.StructType([*fields, day])).parquet(self.path)
+        return T.StructType([*[f for f in self.spec.schema.fields if f.name != day.name], day])
+
+    @property
+    def exists(self) -> bool:
+        return hadoop.exists(self.spark, self.path)
 
     def read(self) -> DataFrame:
-        return self._stored().select(*self.spec.schema.names)
+        if not self.exists:
+            return self.spark.createDataFrame([], self.spec.schema)
+        return self.spark.read.schema(self._schema).parquet(self.path).select(*self.spec.schema.names)
 
     def read_days(self, days: set[dt.date]) -> DataFrame:
         return self._of_days(days).select(*self.spec.schema.names)
 
     def _of_days(self, days: set[dt.date]) -> DataFrame:
-        return self._stored().where(F.col(self.spec.day_column).isin(sorted(days)))
+        """Rows of some days with the day column, which is a folder name; other folders are not listed."""
+        folders = [f"{self.path}/{self.spec.day_column}={day}" for day in sorted(days)]
+        folders = [f for f in folders if hadoop.exists(self.spark, f)]
+        if not folders:
+            return self.spark.createDataFrame([], self._schema)
+        return self.spark.read.schema(self._schema).option("basePath", self.path).parquet(*folders)
 
     def replaced_rows(self, gone: DataFrame) -> DataFrame:
-        """Stored rows, with the day column, whose key is among those of ``gone``.
+        """Stored rows, with the day column, whose key is among those of ``gone``, a written table.
 
-        An event keeps its id when a correction moves it to another day, so for such keys every
-        day is looked at, though only in the columns that are asked for. ``gone`` is a written table, so
-        Spark knows its size and sends it to the stored rows rather than shuffling those.
+        An event keeps its id when a correction moves it to another day; the index names the days
+        at which such keys may be. Of those days, only the columns that are asked for are read.
         """
-        rows = self._stored()
-        if self.spec.day_in_key:
-            rows = self._of_days(distinct_days(gone, self.spec.day))
         keys = gone.select(*self.spec.keys)
-        return rows.join(keys, list(self.spec.keys), "left_semi")
+        days = distinct_days(gone, self.spec.day) if self.spec.day_in_key else self.index.days_of(keys)
+        return self._of_days(days).join(keys, list(self.spec.keys), "left_semi")
+
+    def prepare_index(self) -> None:
+        """An index for a table that was filled without one."""
+        if self.index and not self.index.exists and self.exists:
+            self.index.add(self.read(), self.spec.day)
 
     def check_source(self, source: DataFrame) -> None:
         bad = key_violations(source, self.spec.keys, self.spec.required).count()
@@ -104,6 +170,8 @@ class CuratedTable:
         gone = source if replaced is None else replaced
         changed = distinct_days(self.replaced_rows(gone), day)
         dated = source.withColumn(day, F.expr(spec.day))
+        if self.index:
+            self.index.add(source, spec.day)
         self._write(dated.where(~F.col(day).isin(sorted(changed))), "append")
         if changed:
             rows = upsert(
