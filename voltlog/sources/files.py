@@ -163,7 +163,7 @@ def read_lines(spark: SparkSession, source: Source, files: DataFrame) -> DataFra
         hidden |= row["hidden"]
         paths += [] if row["hidden"] else [row["path"]]
     scans = [
-        spark.read.text(_literal(paths[i : i + FILES_OF_A_SCAN])).select(
+        spark.read.text([hadoop.escaped(p) for p in paths[i : i + FILES_OF_A_SCAN]]).select(
             _key_of(root, _decoded(F.col("_metadata.file_path"))).alias("object_key"),
             F.col("_metadata.file_block_start").alias("block_start"),
             F.monotonically_increasing_id().alias("row_id"),
@@ -230,8 +230,3 @@ def _decoded(uri: Column) -> Column:
     # authority on the way: file:///x and file:/x are the same path.
     plain = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
     return F.regexp_replace(plain, "^([a-z]+):///", "$1:/")
-
-
-def _literal(paths: list[str]) -> list[str]:
-    """Paths with the characters escaped that the reader would take as wildcards."""
-    return ["".join("\\" + c if c in "{}[]*?\\" else c for c in path) for path in paths]

@@ -92,3 +92,14 @@ def create_exclusively(spark: SparkSession, path: str, text: str) -> bool:
     finally:
         stream.close()
     return True
+
+
+def escaped(path: str) -> str:
+    """The path with the characters escaped that would be taken as wildcards."""
+    return "".join("\\" + c if c in "{}[]*?\\" else c for c in path)
+
+
+def any_match(spark: SparkSession, pattern: str) -> bool:
+    fs, jpath = _path(spark, pattern)
+    found = fs.globStatus(jpath)
+    return found is not None and len(found) > 0

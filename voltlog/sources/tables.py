@@ -42,6 +42,14 @@ class AppendTable:
         rows.select(*self.schema.names).write.mode("append").parquet(self.path)
 
 
+def _of_folders(spark: SparkSession, path: str, column: str, values: list, schema: T.StructType) -> DataFrame:
+    """Rows of the folders ``column=value`` that exist; the others of the table are not listed."""
+    pattern = f"{hadoop.escaped(path)}/{column}={{{','.join(map(str, values))}}}"
+    if not values or not hadoop.any_match(spark, pattern):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(pattern)
+
+
 @dataclass(frozen=True)
 class DayIndex:
     """The days at which each key of a table was ever stored, as a table in buckets by a hash of the key.
@@ -54,7 +62,7 @@ class DayIndex:
     path: str
     key: str
     #: Part of the folders' layout: an index keeps the number it was begun with.
-    buckets: int = 256
+    buckets: int = 64
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
@@ -65,19 +73,16 @@ class DayIndex:
 
     def add(self, rows: DataFrame, day: str, mode: str = "append") -> None:
         entries = rows.select(self.key, F.expr(day).alias("day"), self._bucket().alias("bucket"))
-        entries.hint("rebalance", "bucket").sortWithinPartitions("bucket", self.key).write.mode(mode).partitionBy(
+        # a bucket is one file of a batch; the number of tasks is fixed so that few keys are written side by side too
+        entries.repartition(self.buckets, "bucket").sortWithinPartitions("bucket", self.key).write.mode(mode).partitionBy(
             "bucket"
         ).parquet(self.path)
 
     def entries_of(self, keys: DataFrame) -> DataFrame:
         """Entries of the buckets of the keys: ``day`` and the key, other keys of the buckets included."""
         wanted = sorted(r[0] for r in keys.select(self._bucket()).distinct().collect())
-        folders = [f"{self.path}/bucket={b}" for b in wanted]
-        folders = [f for f in folders if hadoop.exists(self.spark, f)]
         schema = T.StructType([T.StructField(self.key, T.StringType()), T.StructField("day", T.DateType())])
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*folders)
+        return _of_folders(self.spark, self.path, "bucket", wanted, schema)
 
     def days_of(self, keys: DataFrame) -> set[dt.date]:
         """``keys`` is a written table, so Spark knows its size and sends it to the entries rather than shuffling those."""
@@ -129,11 +134,7 @@ class CuratedTable:
 
     def _of_days(self, days: set[dt.date]) -> DataFrame:
         """Rows of some days with the day column, which is a folder name; other folders are not listed."""
-        folders = [f"{self.path}/{self.spec.day_column}={day}" for day in sorted(days)]
-        folders = [f for f in folders if hadoop.exists(self.spark, f)]
-        if not folders:
-            return self.spark.createDataFrame([], self._schema)
-        return self.spark.read.schema(self._schema).option("basePath", self.path).parquet(*folders)
+        return _of_folders(self.spark, self.path, self.spec.day_column, sorted(days), self._schema)
 
     def replaced_rows(self, gone: DataFrame) -> DataFrame:
         """Stored rows, with the day column, whose key is among those of ``gone``, a written table.
@@ -142,6 +143,8 @@ class CuratedTable:
         at which such keys may be. Of those days, only the columns that are asked for are read.
         """
         keys = gone.select(*self.spec.keys)
+        if not self.exists:
+            return self._of_days(set())
         days = distinct_days(gone, self.spec.day) if self.spec.day_in_key else self.index.days_of(keys)
         return self._of_days(days).join(keys, list(self.spec.keys), "left_semi")
 
@@ -168,7 +171,7 @@ class CuratedTable:
             self.check_source(source)
         spec, day = self.spec, self.spec.day_column
         gone = source if replaced is None else replaced
-        changed = distinct_days(self.replaced_rows(gone), day)
+        changed = distinct_days(self.replaced_rows(gone), day) if self.exists else set()
         dated = source.withColumn(day, F.expr(spec.day))
         if self.index:
             self.index.add(source, spec.day)
