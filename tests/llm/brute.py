@@ -93,3 +93,17 @@ def components(texts: dict, k: int, percent: int) -> dict:
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
     return {i: find(i) for i in ids}
+
+
+def class_links(texts: dict, k: int, percent: int) -> dict:
+    """The number of other distinct sets that each id's set is linked to, from all pairs."""
+    sets = {i: shingles(t, k) for i, t in texts.items()}
+    distinct = list(set(sets.values()))
+    many = {s: 0 for s in distinct}
+    for n, a in enumerate(distinct):
+        for b in distinct[:n]:
+            both = len(a & b)
+            if both and 100 * both >= percent * (len(a) + len(b) - both):
+                many[a] += 1
+                many[b] += 1
+    return {i: many[s] for i, s in sets.items()}

@@ -131,24 +131,53 @@ def near_copies(seed):
     return texts | {2000: "", 2001: " \t", 2002: "a b", 2003: "A  B", 2004: "a b c", 2005: None, 2006: "é " * 9, 2007: "É " * 9}
 
 
-@pytest.mark.parametrize("k, percent, shingles", [(4, 85, 4_000_000), (5, 80, 2_000)])
-def test_components_against_all_pairs(spark, monkeypatch, k, percent, shingles):
-    monkeypatch.setattr(jaccard, "GROUP_SHINGLES", shingles)
+@pytest.mark.parametrize("k, percent, classes, shingles", [(4, 85, 1024, 1 << 18), (5, 80, 7, 1_000)])
+def test_components_against_all_pairs(spark, monkeypatch, k, percent, classes, shingles):
+    monkeypatch.setattr(jaccard, "BLOCK_CLASSES", classes)
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", shingles)
     texts = near_copies(k)
     rows = [(i, t, "x") for i, t in texts.items()]
     docs = spark.createDataFrame([*rows, *rows[:5], (None, "w1 w2", "x")], f"{DOCS}, n string")
     got = jaccard.join(docs, k, percent).collect()
-    want = brute.components(texts, k, percent)
+    want, links = brute.components(texts, k, percent), brute.class_links(texts, k, percent)
     assert len(got) == len(texts) + 6
     for r in got:
         if r.id is None:
             assert r.component_id is None
         else:
             assert (r.component_id, r.n_shingles) == (want[r.id], len(brute.shingles(texts[r.id], k)))
+            assert r.n_links == links[r.id]
     kept = jaccard.without_near_copies(docs, k, percent).collect()
     assert {r.doc_id for r in kept} == set(want.values()) | {None}
 
 
+def test_overlaps_by_products_are_those_of_sets(monkeypatch):
+    monkeypatch.setattr(jaccard, "COLUMNS", 50)
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 900, rng.integers(1, 200), dtype=np.uint64)) for _ in range(40)]
+    want = [[len(np.intersect1d(a, b)) for b in sets[25:]] for a in sets[:25]]
+    assert jaccard.overlaps(sets[:25], sets[25:]).tolist() == want
+
+
+def test_few_candidates_for_many_classes_of_large_nodes(spark):
+    """A group of near copies gives about as many candidates as classes, not as many as nodes of classes."""
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+    many = {}
+    for size in (300, 1200):
+        texts = []
+        for i in range(size):
+            w = list(base)
+            for _ in range(1 + i % 6):
+                w[rng.randrange(300)] = f"x{rng.randrange(10**6)}"
+            texts.append((i, " ".join(w)))
+        source = spark.createDataFrame(texts, "_id long, _text string").repartition(8)
+        signed = jaccard.stored(jaccard._signatures(source, 4, 85, np.zeros(0, dtype=np.uint64), "bigint"))
+        classes = signed.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.max("n").alias("n"))
+        many[size] = jaccard._candidates(signed, classes, 85).count()
+    assert many[300] < 8 * 300 and many[1200] < 5 * many[300]
+
+
 def test_components_of_no_rows(spark):
     assert jaccard.join(spark.createDataFrame([], DOCS)).collect() == []
 

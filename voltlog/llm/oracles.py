@@ -28,9 +28,14 @@ WITH RECURSIVE words AS (
   SELECT x, min(y) AS component_id FROM reached GROUP BY x
 ), classes AS (
   SELECT whole, min(doc_id) AS class_id FROM sizes GROUP BY whole
+), counted AS (
+  SELECT x, count(DISTINCT q.whole) AS n_links FROM links JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE p.whole <> q.whole GROUP BY x
 )
-SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(class_id, d.doc_id) AS class_id
-FROM documents d JOIN smallest ON x = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(class_id, d.doc_id) AS class_id,
+  coalesce(n_links, 0) AS n_links
+FROM documents d JOIN smallest m ON m.x = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+LEFT JOIN counted o ON o.x = d.doc_id
 LEFT JOIN classes c ON c.whole = s.whole
 """
 

@@ -113,7 +113,7 @@ def op7_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_signature_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jaccard.join(read(spark, sf_dir, "documents").select("doc_id", "text"), k=4, percent=85)
-    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "class_id")
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "class_id", "n_links")
 
 
 def op9_small_world_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
