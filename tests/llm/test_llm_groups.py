@@ -228,17 +228,18 @@ def plain_leaks(docs, items, least=8):
     for d, text in docs:
         w = words_of(text)
         for item, i in known.items():
-            best = 0
+            best = (0, 0, 0)
             for p in range(len(w) - size + 1):
                 for q in range(len(item) - size + 1):
                     if any(all(w[p + o] == item[q + o] for o in m) for m in spans):
-                        run = 0
+                        run = top = equal = 0
                         for j in range(len(item)):
                             same = 0 <= p - q + j < len(w) and w[p - q + j] == item[j]
-                            run = max(0, run + (1 if same else -1))
-                            best = max(best, run)
-            if best >= least:
-                out.add((d, i, best))
+                            run, equal = max(0, run + (1 if same else -1)), equal + same
+                            top = max(top, run)
+                        best = max(best, (top, equal, q - p))
+            if best[0] >= least:
+                out.add((d, i, *best))
     return out
 
 
@@ -261,12 +262,12 @@ def test_leaks_against_all_alignments(spark, monkeypatch):
             passage = [rng.choice(words) if rng.random() < 0.12 else x for x in passage]
             at = rng.randrange(len(w) + 1)
             w[at:at] = passage[rng.randrange(4):]
-        docs.append((i, rng.choice([" ", ", ", "\n"]).join(w).title()))
+        docs.append((i, rng.choice(["", '"', "(", "- ", "\n\u2014 "]) + rng.choice([" ", ", ", "\n"]).join(w).title() + rng.choice(["", '."'])))
     docs.append(docs[-1])
     monkeypatch.setattr(decontaminate, "MOST_SEEDS", 400)
     d = spark.createDataFrame([(*r, 1) for r in docs], f"{DOCS}, score int")
     b = spark.createDataFrame(items, "item_id long, text string")
-    got = {(r.doc_id, r.item_id, r.score) for r in decontaminate.find(d, b).collect()}
+    got = {(r.doc_id, r.item_id, r.score, r.matched, -r.start) for r in decontaminate.find(d, b).collect()}
     want = plain_leaks(docs, items)
     assert got == want and len(want) > 20
     leaky = {x[0] for x in want}
@@ -354,6 +355,25 @@ def test_neighbours_against_all_products(spark):
     assert len(neighbours.search(few, few, k=20).collect()) == 6
 
 
+@pytest.mark.parametrize("clustered", [False, True])
+def test_neighbours_at_the_production_shard_size(spark, clustered):
+    """One whole shard of the production size, of vectors without any structure, or of a few tight clusters."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(4000, 64))
+    if clustered:
+        x = rng.normal(size=(20, 64))[rng.integers(0, 20, 4000)] + 0.2 * x
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = neighbours.search(vectors, vectors.where("vec_id % 20 = 0"), k=20, least_shards=1).collect()
+    by_query = {}
+    for r in got:
+        by_query.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(0, 4000, 20):
+        best = [i for i in np.argsort(-(x @ x[q]), kind="stable") if i != q][:20]
+        hits += len(by_query[q] & set(best))
+    assert hits / (20 * 200) >= 0.95
+
+
 def test_neighbours_in_many_shards_with_unequal_norms(spark):
     """Far more shards than a dozen: the best vectors of a query may lie in any of them."""
     rng = np.random.default_rng(6)

@@ -200,7 +200,7 @@ def _candidates(text: Column) -> Column:
                 F.length(found).cast("double").alias("length"),
                 F.length(digits).cast("double").alias("digits"),
                 F.length(letters).cast("double").alias("letters"),
-                F.size(F.array_distinct(F.split(F.left(found, F.lit(200)), ""))).cast("double").alias("distinct"),
+                F.size(F.array_distinct(F.split(found, ""))).cast("double").alias("distinct"),
                 F.length(F.regexp_replace(found, "[^ ()_/+=-]+", "")).cast("double").alias("separators"),
                 F.length(F.regexp_replace(found, r"[^.]+", "")).cast("double").alias("dots"),
                 yes(found.contains("@")).alias("at_sign"),
