@@ -53,6 +53,20 @@ def others(df: DataFrame, new: tuple[str, ...]) -> list[str]:
     return [c for c in df.columns if c.lower() not in new]
 
 
+def named(column: str) -> Column:
+    """The column of that very name, also where the name has dots or backticks."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def packed(columns: list[str]) -> Column:
+    """A row as one column ``_row``, so that its names meet none of an operator's own."""
+    return F.struct(*[named(c) for c in columns]).alias("_row")
+
+
+def unpacked(columns: list[str]) -> list[Column]:
+    return [F.col("_row").getField(c).alias(c) for c in columns]
+
+
 def utf8(text: Column) -> Column:
     return F.coalesce(text, F.lit("")).cast("binary")
 

@@ -15,7 +15,8 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltlog.llm.common import ascii_lower, let, others
+from voltlog.llm.common import ascii_lower, let, named, others, packed, unpacked
+from voltlog.llm.pii import running
 
 #: Everything but ASCII letters and digits and characters beyond ASCII.
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -148,24 +149,32 @@ def _rule_array(found: list[Rule]) -> Column:
 
 
 def _matches(words: Column, rule: Column) -> Column:
-    """Every match of a rule as (first character, behind the last), with the rule's data."""
+    """Every match of a rule as word numbers (end exclusive), with the rule's data.
+
+    Words are counted by the spaces in the pieces between matches and in the matches, so that each
+    character is looked at once, however many matches there are. The text begins with a space.
+    """
     both = F.struct(
         F.split(words, rule["pattern"], -1).alias("between"),
         F.regexp_extract_all(words, rule["pattern"], F.lit(0)).alias("found"),
     )
+    spaces = lambda piece: F.length(piece) - F.length(F.replace(piece, F.lit(" ")))
 
     def placed(v: Column) -> Column:
-        size = lambda a, n: F.aggregate(F.slice(a, 1, n), F.lit(0), lambda s, x: s + F.length(x))
-        return F.transform(
-            v["found"],
-            lambda m, i: let(
-                size(v["between"], i + 1) + size(v["found"], i),
-                lambda start: F.struct(
-                    start.alias("start"),
-                    (start + F.length(m)).alias("end"),
-                    rule["label"].alias("label"),
-                    rule["priority"].alias("priority"),
-                    rule["confidence"].alias("confidence"),
+        steps = F.transform(v["found"], lambda m, i: spaces(m) + spaces(F.get(v["between"], i)))
+        return let(
+            running(steps),
+            lambda before: F.transform(
+                v["found"],
+                lambda m, i: let(
+                    F.get(before, i) + spaces(F.get(v["between"], i)),
+                    lambda first: F.struct(
+                        (first - 1).alias("start"),
+                        (first + spaces(m)).alias("end"),
+                        rule["label"].alias("label"),
+                        rule["priority"].alias("priority"),
+                        rule["confidence"].alias("confidence"),
+                    ),
                 ),
             ),
         )
@@ -177,24 +186,46 @@ def _kept(found: Column) -> Column:
     """Detections that no other one with a higher claim contains.
 
     A higher claim is a higher priority, or the same with a longer match, or the same match with
-    the label that sorts first.
+    the label that sorts first. One sweep over the detections by place: one that contains another comes
+    before it, and only those that have not ended yet are looked at.
     """
+    by_place = F.array_sort(
+        F.transform(
+            found,
+            lambda d: F.struct(
+                d["start"].alias("start"), (-d["end"]).alias("back"), (-d["priority"]).alias("less"),
+                d["label"].alias("label"), (-d["confidence"]).alias("unsure"),
+            ),
+        )
+    )
+
+    def step(state: Column, d: Column) -> Column:
+        def judged(going: Column) -> Column:
+            def wins(o: Column) -> Column:
+                # of equal claims, what comes earlier is longer, or has the label that sorts first
+                return (o["back"] <= d["back"]) & (o["less"] <= d["less"])
 
-    def beaten(d: Column) -> Column:
-        def wins(o: Column) -> Column:
-            longer = (o["end"] - o["start"]) > (d["end"] - d["start"])
-            same = (o["end"] == d["end"]) & (o["start"] == d["start"])
-            return (
-                (o["start"] <= d["start"]) & (o["end"] >= d["end"])
-                & (
-                    (o["priority"] > d["priority"])
-                    | ((o["priority"] == d["priority"]) & (longer | (same & (o["label"] < d["label"]))))
-                )
+            return F.struct(
+                F.array_append(going, d).alias("going"),
+                F.when(F.exists(going, wins), state["kept"]).otherwise(F.array_append(state["kept"], d)).alias("kept"),
             )
 
-        return F.exists(found, wins)
+        return let(F.filter(state["going"], lambda o: -o["back"] > d["start"]), judged)
 
-    return F.filter(found, lambda d: ~beaten(d))
+    def sweep(places: Column) -> Column:
+        none = F.filter(places, lambda _: F.lit(False))
+        kept = F.aggregate(
+            places, F.struct(none.alias("going"), none.alias("kept")), step, lambda state: state["kept"]
+        )
+        return F.transform(
+            kept,
+            lambda d: F.struct(
+                d["start"].alias("start"), (-d["back"]).alias("end"), d["label"].alias("label"),
+                (-d["less"]).alias("priority"), (-d["unsure"]).alias("confidence"),
+            ),
+        )
+
+    return let(by_place, sweep)
 
 
 def _places_of(phrase: str) -> Callable[[Column], Column]:
@@ -223,17 +254,17 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     kept = others(docs, ("n_words", "base", "base_labels", "detections", "labels", "score"))
     all_rules = rules()
-    plain = F.trim(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), NOT_WORD, " "))
-    rows = docs.select(*kept, plain.alias("_plain"))
+    plain = F.trim(F.regexp_replace(F.coalesce(named(text), F.lit("")), NOT_WORD, " "))
+    rows = docs.select(packed(kept), plain.alias("_plain"))
     hit = reduce(or_, [F.col("_lower").contains(word) for word in COVER])
-    rows = rows.select(*kept, "_plain", F.lower("_plain").alias("_lower")).select(
-        *kept, "_plain", hit.alias("_hit"),
+    rows = rows.select("_row", "_plain", F.lower("_plain").alias("_lower")).select(
+        "_row", "_plain", hit.alias("_hit"),
         F.when(F.col("_plain") == "", 0)
         .otherwise(F.length("_plain") - F.length(F.replace(F.col("_plain"), F.lit(" "))) + 1)
         .cast("long").alias("n_words"),
     )
     lowered = F.when(F.col("_hit"), ascii_lower(F.col("_plain"))).otherwise(F.lit(""))
-    rows = rows.select(*kept, "n_words", "_hit", lowered.alias("_low"))
+    rows = rows.select("_row", "n_words", "_hit", lowered.alias("_low"))
     no_places = F.expr("cast(array() as array<int>)")
     words = F.split("_low", " ")
     base = F.struct(
@@ -252,19 +283,10 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
         gated = F.filter(_rule_array(all_rules), lambda r: low.contains(r["keyword"]))
         found = F.flatten(F.transform(gated, lambda r: _matches(low, r)))
 
-        def by_word(d: Column) -> Column:
-            number = lambda end: F.length(F.substring(low, F.lit(1), end)) - F.length(
-                F.replace(F.substring(low, F.lit(1), end), F.lit(" "))
-            )
-            return F.struct(
-                (number(d["start"]) - 1).alias("start"), number(d["end"]).alias("end"),
-                d["label"].alias("label"), d["priority"].alias("priority"), d["confidence"].alias("confidence"),
-            )
-
-        return let(found, lambda f: F.array_sort(F.transform(_kept(f), by_word)))
+        return F.array_sort(_kept(found))
 
     rows = rows.select(
-        *kept, "n_words", base.alias("base"),
+        "_row", "n_words", base.alias("base"),
         F.when(F.col("_hit"), let(F.concat(F.lit(" "), F.col("_low"), F.lit(" ")), detected))
         .otherwise(empty).alias("detections"),
     )
@@ -274,7 +296,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     own = F.transform("detections", lambda d: d["label"])
     best = F.coalesce(F.array_max(F.transform("detections", lambda d: d["confidence"])), F.lit(0)) / F.lit(100.0)
     return rows.select(
-        *kept, "n_words", "base",
+        *unpacked(kept), "n_words", "base",
         F.array_sort(base_labels).alias("base_labels"),
         "detections",
         F.array_sort(F.array_distinct(F.concat(base_labels, own))).alias("labels"),

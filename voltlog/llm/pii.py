@@ -8,14 +8,14 @@ half of the sample decides. Strict matches are always kept.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltlog.llm import trees
-from voltlog.llm.common import bounded_sample, let, others, stored
+from voltlog.llm.common import bounded_sample, let, named, others, packed, stored, unpacked
 
 # Kinds in their order, strict patterns, generous patterns. Quantifiers are possessive
 # and begin where a run begins, so no pattern goes back over a long run; what they match is the same.
@@ -271,53 +271,67 @@ def fit(docs: DataFrame, text: str = "text", sample_rows: int = 20_000, precisio
 
 
 def _selected(text: Column, strict: Column, model: Model) -> Column:
-    """Candidates over the limit that touch no strict match and no better candidate."""
-
-    def chosen(c: Column) -> Column:
-        scored = F.transform(
-            F.filter(c, lambda x: ~F.exists(strict, lambda s: _overlaps(s, x))),
-            lambda x: F.struct(
-                x["start"].alias("start"), x["kind"].cast("int").alias("kind"), x["end"].alias("end"),
-                model.of(x).alias("p"),
-            ),
-        )
+    """Candidates over the limit that touch no strict match and no better candidate that is selected.
 
-        def best(s: Column) -> Column:
-            def beaten(a: Column) -> Column:
-                def wins(b: Column) -> Column:
-                    size_a, size_b = a["end"] - a["start"], b["end"] - b["start"]
-                    same = (b["p"] == a["p"]) & (size_b == size_a)
-                    first = (b["start"] < a["start"]) | ((b["start"] == a["start"]) & (b["kind"] < a["kind"]))
-                    return _overlaps(a, b) & (
-                        (b["p"] > a["p"]) | ((b["p"] == a["p"]) & (size_b > size_a)) | (same & first)
-                    )
-
-                return F.exists(s, wins)
-
-            return F.transform(
-                F.filter(s, lambda a: ~beaten(a)),
-                lambda a: F.struct(a["start"].alias("start"), a["kind"].alias("kind"), a["end"].alias("end")),
-            )
+    The best is selected first, what touches it falls, and so on; a candidate that touches only fallen ones
+    stays. Better is a higher probability, then the longer, the earlier, the kind that comes first. One sweep by
+    place cuts the spans into chains that touch each other, and each chain is decided by itself.
+    """
 
-        return let(F.filter(scored, lambda x: x["p"] >= model.limit), best)
+    def ranked(found: Column, p: Callable[[Column], Column]) -> Column:
+        return F.transform(found, lambda x: F.struct(
+            x["start"].alias("start"), x["end"].alias("end"), x["kind"].cast("int").alias("kind"), p(x).alias("p")))
+
+    over = lambda c: F.filter(ranked(c, model.of), lambda x: x["p"] >= model.limit)
+    # strict matches are better than any candidate
+    spans = F.array_sort(F.concat(ranked(strict, lambda _: F.lit(2.0)), over(_candidates(text))))
+
+    def decided(chain: Column) -> Column:
+        by_rank = F.array_sort(F.transform(chain, lambda x: F.struct(
+            (-x["p"]).alias("less"), (x["start"] - x["end"]).alias("shorter"), x["start"].alias("start"),
+            x["kind"].alias("kind"), x["end"].alias("end"))))
+        step = lambda kept, x: F.when(F.exists(kept, lambda k: _overlaps(k, x)), kept).otherwise(F.array_append(kept, x))
+        kept = F.aggregate(by_rank, F.filter(by_rank, lambda x: F.lit(False)), step)
+        return F.transform(
+            F.filter(kept, lambda x: x["less"] > -2.0),
+            lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")),
+        )
+
+    def sweep(state: Column, x: Column) -> Column:
+        return F.when(x["start"] < state["upto"], F.struct(
+            F.array_append(state["chain"], x).alias("chain"), F.greatest(state["upto"], x["end"]).alias("upto"),
+            state["out"].alias("out"),
+        )).otherwise(F.struct(
+            F.array(x).alias("chain"), x["end"].alias("upto"), F.concat(state["out"], decided(state["chain"])).alias("out"),
+        ))
+
+    def swept(s: Column) -> Column:
+        begin = F.struct(
+            F.filter(s, lambda x: F.lit(False)).alias("chain"), F.lit(0).alias("upto"),
+            F.expr(f"cast(array() as {SPAN})").alias("out"),
+        )
+        return F.aggregate(s, begin, sweep, lambda state: F.concat(state["out"], decided(state["chain"])))
 
-    return let(_candidates(text), chosen)
+    return let(spans, swept)
 
 
 def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``base`` and ``spans``: arrays of (start, kind, end), sorted by start, then kind.
 
     ``kind`` numbers ``KINDS``; places are characters, the end exclusive. ``base`` has the strict
-    matches, ``spans`` these and the selected candidates. Null and empty texts have none. Repeated
-    rows are judged alike; no rows give no rows. Columns ``base`` and ``spans`` are replaced.
+    matches, ``spans`` these and the selected candidates (see ``_selected`` for ties). Null and empty
+    texts have none. Repeated rows are judged alike; no rows give no rows. Columns ``base`` and ``spans`` are replaced.
     """
     kept = others(docs, ("base", "spans"))
-    body = F.coalesce(F.col(text), F.lit(""))
+    body = F.coalesce(named(text), F.lit(""))
     none = F.expr(f"cast(array() as {SPAN})")
-    rows = docs.select(*kept, F.when(_may_hold(body), body).alias("_body"))
-    rows = rows.select(*kept, "_body", F.when(F.col("_body").isNotNull(), _strict(F.col("_body"))).otherwise(none).alias("base"))
-    more = F.when(F.col("_body").isNotNull(), _selected(F.col("_body"), F.col("base"), model)).otherwise(none)
-    return rows.select(*kept, "base", F.array_sort(F.concat("base", more)).alias("spans"))
+    rows = docs.select(packed(kept), F.when(_may_hold(body), body).alias("_body"))
+    held = F.col("_body").isNotNull()
+    rows = rows.select("_row", "_body", F.when(held, _strict(F.col("_body"))).otherwise(none).alias("_base"))
+    more = F.when(held, _selected(F.col("_body"), F.col("_base"), model)).otherwise(none)
+    return rows.select(
+        *unpacked(kept), F.col("_base").alias("base"), F.array_sort(F.concat("_base", more)).alias("spans")
+    )
 
 
 def written(spans: Column, kinds: Sequence[str] = KINDS) -> Column:
@@ -364,6 +378,7 @@ def redact(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             ),
         )
 
-    judged = scan(docs.select(F.struct(*docs.columns).alias("_row"), F.col(text).alias("_text")), model, "_text")
+    judged = scan(docs.select(packed(docs.columns), named(text).alias("_text")), model, "_text")
     new = F.when(F.size("spans") > 0, cut(F.col("_text"), F.col("spans"))).otherwise(F.col("_text"))
-    return judged.select(*[new.alias(c) if c == text else F.col(f"_row.`{c}`") for c in docs.columns])
+    same = dict(zip(docs.columns, unpacked(docs.columns), strict=True))
+    return judged.select(*[new.alias(c) if c == text else same[c] for c in docs.columns])

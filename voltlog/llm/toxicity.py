@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltlog.llm.common import labelled_texts, others, small_batches, stored
+from voltlog.llm.common import labelled_texts, named, others, packed, small_batches, stored, unpacked
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Besides words, their beginnings of these lengths have log-odds, written with a hyphen.
@@ -215,27 +215,33 @@ def fit(
     first, second, odds = (_log_odds(counts, h, prior, most_words, least_z) for h in ((0,), (1,), (0, 1)))
     model = Model(odds, drift, 1.0, 0.05, (-8.0, 1.0, 1.0))
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        other = WordOdds(second), WordOdds(first)
-        for batch in batches:
-            rows = []
-            for text, label, h in zip(batch["text"], batch["label"], batch["half"], strict=True):
-                words, parts = found_in(text, model, other[h])
-                rows.append((label, words, [float(s) for _, _, s in parts]))
-            yield pd.DataFrame(rows, columns=["label", "words", "scores"])
-
-    rows = sample.mapInPandas(measure, "label int, words int, scores array<double>").collect()
-    label = np.array([r["label"] for r in rows], dtype=float)
+    def measured(law: Model) -> pd.DataFrame:
+        """A row per text, however many segments it has: label, words, best score, evidence by a model's law."""
+
+        def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            other = WordOdds(second), WordOdds(first)
+            for batch in batches:
+                rows = []
+                for text, label, h in zip(batch["text"], batch["label"], batch["half"], strict=True):
+                    words, parts = found_in(text, law, other[h])
+                    top = max((float(s) for _, _, s in parts), default=0.0)
+                    rows.append((label, words, top, [float(v) for v in evidence(words, parts, law)]))
+                yield pd.DataFrame(rows, columns=["label", "words", "top", "x"])
+
+        rows = sample.mapInPandas(measure, "label int, words int, top double, x array<double>").collect()
+        # the same model whatever the order of rows
+        return pd.DataFrame(sorted((r["label"], r["words"], r["top"], *r["x"]) for r in rows))
+
+    rows = measured(model)
+    label = rows[0].to_numpy(dtype=float) if len(rows) else np.zeros(0)
     if not odds or len(set(label)) < 2:
         share = float(label.mean()) / 2 if len(label) else 0.0
         return Model({}, drift, 1.0, 0.05, (math.log((share + 1e-9) / (1 - share + 1e-9)), 0.0, 0.0))
-    tops = np.array([max(r["scores"], default=0.0) for r in rows])
-    words = np.array([max(r["words"], 1) for r in rows], dtype=float)
+    words, tops = np.maximum(rows[1].to_numpy(dtype=float), 1), rows[2].to_numpy(dtype=float)
     harmless = (label == 0) & (tops > 0)
     rate, size = _extreme_value_law(tops[harmless], words[harmless])
-    model = Model(odds, drift, rate, size, model.weights)
-    x = np.array([evidence(r["words"], [(0, 0, s) for s in r["scores"]], model) for r in rows])
-    return Model(odds, drift, rate, size, _logistic(x, label))
+    rows = measured(Model(odds, drift, rate, size, model.weights))
+    return Model(odds, drift, rate, size, _logistic(rows.iloc[:, 3:].to_numpy(dtype=float), rows[0].to_numpy(dtype=float)))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -268,6 +274,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pd.DataFrame(out, columns=["score", "passages"])
 
     kept = others(docs, ("score", "passages"))
-    return small_batches(docs).select(*kept, judge(F.coalesce(F.col(text), F.lit(""))).alias("_judged")).select(
-        *kept, "_judged.score", "_judged.passages"
+    body = F.coalesce(named(text), F.lit(""))
+    return small_batches(docs).select(packed(kept), judge(body).alias("_judged")).select(
+        *unpacked(kept), "_judged.score", "_judged.passages"
     )
