@@ -362,6 +362,16 @@ def test_recompute(site, monkeypatch):
     assert site.counts()[0] == 8
 
 
+def test_rows_are_counted_from_footers(site, spark):
+    site.put("1.jsonl", sample_batch())
+    site.run()
+    counts = site.house.row_counts()
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PushedAggregation: [COUNT(*)]") == 5
+    assert [r["row_count"] for r in counts.collect()] == [7, 4, 2, 2, 1]
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
+
+
 def all_metrics(site):
     """The aggregates as stored, and as all stored events give them."""
     enriched = site.house.table("telemetry_enriched").read()

@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltlog.operators import check, transform
+from voltlog.operators import check, reports, transform
 from voltlog.operators.lines import drop_blank, members_sql, number_lines
 from voltlog.operators.merge import recompute, touched_keys
 from voltlog.schemas import ENRICHED, LEDGER, POSITION, QUARANTINE, STATES, TABLES
-from voltlog.session import configured
+from voltlog.session import configured, footers
 from voltlog.sources import files as fs
 from voltlog.sources.lease import Lease, leased
 from voltlog.sources.published import publish
@@ -49,6 +49,11 @@ class Warehouse:
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name).read() for name in TABLES}
 
+    def row_counts(self) -> DataFrame:
+        """Rows of the five tables, counted from the footers of their files."""
+        with footers(self.spark):
+            return reports.row_counts(self.tables())
+
     @property
     def ledger(self) -> AppendTable:
         return AppendTable(self.spark, f"{self.path}/raw/processed_files", LEDGER)

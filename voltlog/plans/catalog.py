@@ -352,7 +352,7 @@ QUERIES: dict[str, Query] = {
        for name in ("vehicle_hourly_metrics", "trip_metrics", "battery_health")},
     "key_violations": _key_violations,
     **{f"loaded_{name}": _loaded_table(name) for name in TABLES},
-    "loaded_row_counts": _from_warehouse(lambda house: reports.row_counts(house.tables())),
+    "loaded_row_counts": _from_warehouse(lambda house: house.row_counts()),
     "loaded_files": _from_warehouse(lambda house: _folders(reports.loaded_files(house.ledger.read()))),
     "odd_line_events": _odd_line_events,
     "odd_line_problems": _odd_line_problems,
