@@ -72,13 +72,13 @@ def test_an_upsert_joins_after_its_aggregates(enriched):
     keys = ["vin", "event_hour"]
     hourly = transform.hourly_metrics(enriched)
     text = plan(merge.upsert(hourly, transform.hourly_metrics(enriched), keys))
-    assert "LeftAnti" not in text and 0 < text.index("Join") < text.index("partial_avg")
+    assert "LeftAnti" not in text and 0 < text.index("Join") < text.index("partial_sum")
 
 
 def test_a_recompute_joins_before_it_aggregates(spark, enriched):
     keys = ["vin", "event_hour"]
     text = plan(merge.recompute(transform.hourly_metrics, enriched, enriched.select(*keys), keys))
-    assert 0 < text.index("partial_avg") < text.index("LeftSemi")
+    assert 0 < text.index("partial_sum") < text.index("LeftSemi")
 
 
 def test_duplicates_need_two_scans_and_no_window(enriched):
