@@ -202,3 +202,53 @@ WITH RECURSIVE runs AS (
 )
 SELECT word, form, root, cast(n AS bigint) AS n, n_near, cast(form_n AS bigint) AS form_n FROM forms JOIN ends USING (word)
 """
+
+_PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
+
+
+def _places(phrase: str) -> str:
+    """Numbers, from 0, of the words at which a phrase begins."""
+    parts = phrase.split()
+    return f"[i - 1 FOR i IN range(1, len(w) - {len(parts) - 2}) IF " + " AND ".join(
+        f"w[i + {k}] = '{part}'" for k, part in enumerate(parts)
+    ) + "]"
+
+
+LICENSE_BASE = f"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+), found AS (
+  SELECT doc_id, len(w) AS n_words, {", ".join(f'{_places(phrase)} AS "{label}"' for phrase, label in _PHRASES)} FROM words
+), placed AS (
+  SELECT *, {" || ".join(f'"{label}"' for _, label in _PHRASES)} AS places FROM found
+)
+SELECT doc_id, n_words, len(places) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
+  concat_ws(',', {", ".join(f"CASE WHEN len({chr(34)}{label}{chr(34)}) > 0 THEN '{label}' END" for _, label in _PHRASES)})
+    AS base_labels
+FROM placed
+"""
+
+
+def url_rules(rules: tuple[tuple[str, str], ...]) -> str:
+    """Host, path, and the longest rule that fits, with its verdict."""
+    given = ", ".join(f"('{verdict}', '{rule}')" for verdict, rule in rules)
+    return f"""
+WITH rules(verdict, rule) AS (VALUES {given}), rest AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), cut AS (
+  SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS host, rest FROM rest
+), parts AS (
+  SELECT page_id, translate(host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(substr(rest, length(host) + 1), '^[^?#]*') AS path
+  FROM cut
+), fits AS (
+  SELECT page_id, rule, verdict FROM parts JOIN rules
+    ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
+    AND starts_with(path, substr(rule, strpos(rule, '/')))
+  QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC) = 1
+)
+SELECT page_id, host, path, rule, verdict FROM parts LEFT JOIN fits USING (page_id)
+"""

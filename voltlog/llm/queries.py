@@ -153,17 +153,29 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def base_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op2 that rules alone decide: its host, path and rule, and the verdict of that rule."""
+    out = op2_url_trees(spark, sf_dir)
+    return out.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("verdict"))
+
+
+def base_license_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op6 that its base phrases alone decide."""
+    return op6_license_rules(spark, sf_dir).drop("labels", "score")
+
+
 def _is_kind(i: int) -> Callable[[Column], Column]:
     return lambda span: span["kind"] == i
 
 
 def queries() -> dict[str, Query]:
-    return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
+    return {name: f for name, f in globals().items() if name.startswith(("op", "base_")) and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
     """Where SQL can express a query; the others are tested against plain Python or held-out labels."""
     return {
         "op4_spaced_seed_decontamination": oracles.LEAKS, "op8_signature_tree_join": oracles.JACCARD,
+        "base_url_rules": oracles.url_rules(URL_RULES), "base_license_places": oracles.LICENSE_BASE,
         "op11_merkle_manifest": oracles.MERKLE, "op13_spelling_variants": oracles.SPELLING,
     }
