@@ -78,7 +78,7 @@ def test_run_is_the_stages_in_a_row(spark):
 
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert names["pipeline"] is corpus_pipeline.run
     assert set(queries.oracle_sql()) <= set(names)
 
@@ -127,7 +127,7 @@ def test_held_out_rule(spark):
 def test_queries_against_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     with duckdb.connect() as checker:
-        for table in ("documents", "benchmark"):
+        for table in ("documents", "benchmark", "pages"):
             checker.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
         result = checker.execute(queries.oracle_sql()[name])
         columns = [c[0] for c in result.description]
