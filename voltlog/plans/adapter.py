@@ -45,7 +45,7 @@ SELECT
   event_id % 3 = 0                                               AS autopilot_engaged,
   CASE WHEN event_type = 'error'
        THEN 'CODE_' || cast(event_id % 5 AS string) END          AS alert_code,
-  '2026.14.3'                                                    AS software_version
+  'build-7041'                                                   AS software_version
 FROM events
 """.format(event_id=event_id_sql("event_id"), vin=f"'{VIN_START}' || {padded('user_id', 12)}")
 
