@@ -181,6 +181,26 @@ def test_every_generous_kind_finds_more_than_strict_formats(spark):
     assert all(n >= 145 for n in found.values()), found
 
 
+def test_personal_data_is_learned_from_all_documents(spark, monkeypatch):
+    seen, real = [], pii.trees.fit
+    monkeypatch.setattr(pii.trees, "fit", lambda rows, *a, **k: seen.append(rows) or real(rows, *a, **k))
+    docs = spark.range(20_600).select(
+        F.col("id").alias("doc_id"), F.format_string("tel 030 %07d now, or word", "id").alias("text"))
+    pii.fit(docs)
+    half = docs.where(F.pmod(F.xxhash64("text", F.lit(3)), F.lit(2)) == 0).count()
+    assert seen[0].agg(F.sum("many")).first()[0] == half
+
+
+def test_a_weight_stands_for_repeated_rows(spark):
+    rng = random.Random(4)
+    rows = [(float(rng.randrange(6)), float(rng.randrange(6)), rng.randrange(2), rng.randrange(1, 5)) for _ in range(60)]
+    table = spark.createDataFrame(rows, "a double, b double, label int, many long")
+    once = pii.trees.fit(table, ("a", "b"), "label", weight="many")
+    each = pii.trees.fit(table.withColumn("many", F.explode(F.array_repeat("many", F.col("many").cast("int")))), ("a", "b"), "label")
+    for r in table.select(once([F.col("a"), F.col("b")]).alias("x"), each([F.col("a"), F.col("b")]).alias("y")).collect():
+        assert abs(r.x - r.y) < 1e-6
+
+
 def test_running_sums(spark):
     rows = [([1, 2, 3],), ([],), (list(range(1000)),)]
     for r in spark.createDataFrame(rows, "x array<int>").select("x", pii.running(F.col("x")).alias("s")).collect():

@@ -2,8 +2,8 @@
 
 A row is handled by itself, with column expressions alone: texts without digits or at signs are done at
 once, the others are cut into matches of a few patterns. Generators propose spans generously;
-trees fitted on a bounded sample score them inside the row, and a limit calibrated on the other
-half of the sample decides. Strict matches are always kept.
+trees fitted on one half of all texts score them inside the row, and a limit calibrated on the other
+half decides. Strict matches are always kept.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltlog.llm import trees
-from voltlog.llm.common import bounded_sample, let, named, others, packed, stored, unpacked
+from voltlog.llm.common import let, named, others, packed, stored, unpacked
 
 # Kinds in their order, strict patterns, generous patterns. Quantifiers are possessive
 # and begin where a run begins, so no pattern goes back over a long run; what they match is the same.
@@ -236,30 +236,34 @@ class Model:
         return self.score([candidate[f] for f in FEATURES])
 
 
-def fit(docs: DataFrame, text: str = "text", sample_rows: int = 20_000, precision: float = 0.95) -> Model:
-    """The model, from the candidates of at most ``sample_rows`` documents with digits or at signs.
+def fit(docs: DataFrame, text: str = "text", precision: float = 0.95) -> Model:
+    """The model, from the candidates of all documents with digits or at signs.
 
     Candidates that share characters with a strict match are never selected, so they take no part.
     Labels of the others come from the texts themselves: 1 for candidates that are evident by name or
-    normalised form, or look like a secret. One half of the sample, by hash, trains the trees; the other gives the
+    normalised form, or look like a secret. One half of the texts, by hash, trains the trees; the other gives the
     lowest limit, in hundredths, from which on ``precision`` of the candidates have label 1.
     The limit is one half at least. Without any candidates nothing but strict matches is selected.
+    Candidates with the same features and label are one row with their number as weight, in a fixed order within its part.
     """
     rows = docs.where(_may_hold(F.col(text))).select(F.col(text).alias("_text"))
-    some = bounded_sample(rows, F.col("_text"), sample_rows)
     # written, or the optimizer would work out the candidates once more to pass over texts without any
-    parts = stored(some.select(
+    parts = stored(rows.select(
         _strict(F.col("_text")).alias("strict"), _candidates(F.col("_text")).alias("c"),
         F.pmod(F.xxhash64("_text", F.lit(3)), F.lit(2)).alias("half"),
     ))
     each = parts.select("half", "strict", F.explode("c").alias("c"))
     each = each.where(~F.exists("strict", lambda s: _overlaps(s, F.col("c"))))
     hit = (F.col("c.evident") == 1) | _looks_secret(F.col("c"))
-    sample = stored(each.select("half", hit.cast("int").alias("label"), *[F.col("c")[f].alias(f) for f in FEATURES]))
-    score = trees.fit(sample.where("half = 0"), FEATURES, "label")
+    each = each.select("half", hit.cast("int").alias("label"), *[F.col("c")[f].alias(f) for f in FEATURES])
+    kinds = stored(
+        each.groupBy("half", "label", *FEATURES).agg(F.count(F.lit(1)).alias("many"))
+        .sortWithinPartitions("half", "label", *FEATURES)
+    )
+    score = trees.fit(kinds.where("half = 0"), FEATURES, "label", weight="many")
     steps = (
-        sample.where("half = 1").select("label", F.floor(score([F.col(f) for f in FEATURES]) * 100).alias("step"))
-        .groupBy("step").agg(F.sum("label").alias("ones"), F.count(F.lit(1)).alias("all")).collect()
+        kinds.where("half = 1").select("label", "many", F.floor(score([F.col(f) for f in FEATURES]) * 100).alias("step"))
+        .groupBy("step").agg(F.sum(F.col("label") * F.col("many")).alias("ones"), F.sum("many").alias("all")).collect()
     )
     limit, ones, every = 1.01, 0, 0
     for r in sorted(steps, key=lambda r: -r["step"]):

@@ -1,6 +1,6 @@
 """Boosted trees whose scoring is a plain column expression.
 
-Training uses Spark's own gradient-boosted trees on a bounded sample; the fitted trees are then
+Training uses Spark's own gradient-boosted trees; the fitted trees are then
 written out as nested CASE expressions, so scoring stays inside generated code and also works on
 array elements inside higher-order functions.
 """
@@ -38,15 +38,18 @@ def fit(
     depth: int = 3,
     step: float = 0.3,
     seed: int = 11,
+    weight: str | None = None,
 ) -> Score:
     """Probability of label 1 as a function of feature columns, in the order of ``features``.
 
-    ``sample`` must be bounded by the caller. Missing values count as -1. With one class only, or
+    ``sample`` may be of any size, as Spark's trees are trained in tasks; a column ``weight`` says how many
+    rows one stands for. Missing values count as -1. With one class only, or
     no rows at all, the probability is that class (0 for no rows).
     """
     clean = sample.select(
         *[F.coalesce(F.col(f).cast("double"), F.lit(-1.0)).alias(f) for f in features],
         F.col(label).cast("double").alias("label"),
+        (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("_weight"),
     ).where(F.col("label").isNotNull())
     classes = {r["label"]: r["count"] for r in clean.groupBy("label").count().collect()}
     if len(classes) < 2:
@@ -54,8 +57,8 @@ def fit(
         return lambda x: F.lit(only)
     vectors = VectorAssembler(inputCols=list(features), outputCol="features").transform(clean)
     model = GBTClassifier(
-        maxIter=trees, maxDepth=depth, stepSize=step, seed=seed, maxBins=64, labelCol="label"
-    ).fit(vectors.select("features", "label"))
+        maxIter=trees, maxDepth=depth, stepSize=step, seed=seed, maxBins=64, labelCol="label", weightCol="_weight"
+    ).fit(vectors.select("features", "label", "_weight"))
     parts = [
         (weight, _tree(tree.toDebugString.splitlines(), 1)[0])
         for weight, tree in zip(model.treeWeights, model.trees, strict=True)
