@@ -86,6 +86,19 @@ def test_stored_events_are_not_shuffled_for_a_batch(spark, tmp_path, stage):
     assert all("latitude" not in s.split("\n")[0] for s in schemas)
 
 
+def test_many_keys_are_not_sent_through_the_driver(spark, tmp_path, stage, monkeypatch):
+    table = CuratedTable.open(spark, str(tmp_path), TABLES["telemetry_enriched"])
+    clean, _ = check.check_records(raw_events(spark, [event(event_id=f"many_{i:06d}") for i in range(200)]))
+    table.upsert(stage("one", transform.enrich(clean)), stage)
+    batch = stage("two", table.read().limit(3))
+    monkeypatch.setattr("voltlog.operators.merge.MOST_SENT", 2, raising=False)
+    replaced = table.replaced_rows(batch)
+    assert "Broadcast" not in replaced._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["event_id"] for r in replaced.collect()) == sorted(r["event_id"] for r in batch.collect())
+    table.upsert(batch, stage)
+    assert table.read().count() == 200
+
+
 def test_guards(spark, tmp_path, stage):
     table = CuratedTable.open(spark, str(tmp_path), SPEC)
     with pytest.raises(KeyViolation, match="1 duplicate"):
