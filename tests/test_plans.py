@@ -85,3 +85,33 @@ def test_duplicates_need_two_scans_and_no_window(enriched):
     positions = [F.lit("f").alias("object_key"), F.lit(0).alias("block_start"), F.unix_micros("event_ts").alias("row_id")]
     text = plan(check.later_duplicates(enriched.select("event_id", *positions)))
     assert text.count("FileScan") <= 2 and "Window" not in text
+
+
+def test_only_repeated_ids_are_sent_to_the_rows(spark, enriched):
+    positions = [F.lit("f").alias("object_key"), F.lit(0).alias("block_start"), F.unix_micros("event_ts").alias("row_id")]
+    text = plan(check.later_duplicates(enriched.select("event_id", *positions)))
+    sent = text.split("BroadcastExchange")
+    assert len(sent) == 2 and "first_position" in sent[1].split("ReadSchema: ")[1].split("\n")[0]
+
+
+def test_lines_are_not_sorted_into_their_folders(spark):
+    from voltlog.session import unsorted_text
+
+    lines = spark.range(40).selectExpr("cast(id AS string) AS value", "id % 3 AS day")
+    lines.createOrReplaceTempView("lines_of_days")
+    spark.sql("CREATE TABLE IF NOT EXISTS unsorted_lines (value string, day bigint) USING text PARTITIONED BY (day)")
+    try:
+        with unsorted_text(spark):
+            text = spark.sql("EXPLAIN INSERT OVERWRITE unsorted_lines SELECT * FROM lines_of_days").first()[0]
+            assert "Sort [" not in text
+            spark.sql("INSERT OVERWRITE unsorted_lines SELECT * FROM lines_of_days")
+        assert sorted(map(tuple, spark.table("unsorted_lines").collect())) == sorted(map(tuple, lines.collect()))
+    finally:
+        spark.sql("DROP TABLE unsorted_lines")
+
+
+@pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test data")
+def test_events_are_dealt_out_before_they_are_written(spark):
+    for plain, spread in zip(adapter.batches(spark, SF_DIR), adapter.batches(spark, SF_DIR, spread=True), strict=True):
+        assert "Exchange hashpartitioning(event_id" in plan(spread) and "Exchange" not in plan(plain)
+        assert sorted(map(tuple, spread.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
