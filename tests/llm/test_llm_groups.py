@@ -1,10 +1,13 @@
 """Operators that bring rows together: shards, packing, Jaccard join, leaks, neighbours."""
 
 import random
+import sys
+import types
 import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -104,6 +107,39 @@ def test_first_fit_decreasing_against_a_plain_scan():
         assert packing.first_fit_decreasing(lengths, 64) == want
 
 
+def test_words_that_a_worker_keeps_are_bounded_in_bytes():
+    rng = random.Random(9)
+    words = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    long = ["".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(2000)).encode() for _ in range(12_000)]
+    plain = tokenizers.Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    most = 0
+    for i, word in enumerate([*long, b"z" * 200_000, b"the"]):
+        ids = words.of(word)
+        if i % 1000 == 0 or i >= len(long):
+            assert ids == np.array(plain.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+            most = max(most, sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in words.items()))
+    assert most <= 64_000_000 and max(map(len, words)) < 200_000
+
+
+def test_a_group_leaves_a_task_in_small_batches(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "word and more words " * 400) for i in range(700)], DOCS)
+    runs = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: runs.append(run))
+    packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    monkeypatch.setattr(packing.TaskContext, "get", lambda: types.SimpleNamespace(partitionId=lambda: 3))
+    rows = pa.record_batch({"_id": pa.array(range(700)), "_text": pa.array([b"word and more words " * 400] * 700)})
+    got = list(runs[0](iter([rows])))
+    assert max(b.nbytes for b in got) <= 2_000_000
+    whole = pa.Table.from_batches(got).to_pylist()
+    assert [r["doc_id"] for r in whole] == list(range(700)) and len({r["ids"] for r in whole}) == 1
+    used = {}
+    for r in whole:
+        used.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    per = 4096 // whole[0]["length"]
+    assert len(used) == -(-700 // per) and min(used) == 3 << 40
+    assert all(sorted(v) == [(i * n, n) for i, (_, n) in enumerate(v)] for v in used.values())
+
+
 def test_crc_of_ids_is_that_of_little_endian_numbers(spark):
     docs = spark.createDataFrame([(1, "hello there")], DOCS)
     row = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).select("*", F.crc32("ids").alias("crc")).first()

@@ -3,13 +3,15 @@
 The texts are dealt out once by a hash; each task then works through its rows as a stream: it
 tokenizes, cuts long documents into full sequences, collects pieces up to a bounded number of
 tokens and packs that group by itself with a tournament tree of the room left in each sequence.
-Nothing is ever gathered beyond one group, and token ids are never shuffled.
+Nothing is ever gathered beyond one group, and token ids are never shuffled. A packed group leaves
+in small batches, and a Python worker keeps one bounded cache of words for all its tasks.
 """
 
 from __future__ import annotations
 
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from unicodedata import is_normalized
 
 import pyarrow as pa
@@ -21,8 +23,14 @@ from voltlog.llm.common import small_batches
 
 #: Punctuation that may be cut off the end of a word of letters without changing its token ids.
 TAIL = b".,!*&$%#|?;:"
-#: Words kept with their ids by a task; when there are as many, it begins anew.
-CACHED_WORDS = 600_000
+#: Bytes of the words and ids that a Python worker keeps; when there are as many, it begins anew.
+CACHED_BYTES = 56_000_000
+#: Bytes that a kept word takes besides its own and those of its ids.
+ENTRY = 120
+#: Words that take more than this are not kept.
+LONGEST = 10_000
+#: Bytes of token ids, at most, that leave a task at a time.
+OUT_BYTES = 1 << 20
 
 
 def _byte_letters() -> list[str]:
@@ -48,6 +56,7 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
+        self.held = 0
 
     def __missing__(self, word: bytes) -> bytes:
         stem = word.rstrip(TAIL)
@@ -61,9 +70,13 @@ class WordIds(dict):
             ids = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
         else:
             ids = array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = ids
+        size = len(word) + len(ids) + ENTRY
+        if size <= LONGEST:
+            if self.held + size > CACHED_BYTES:
+                self.clear()
+                self.held = 0
+            self.held += size
+            self[word] = ids
         return ids
 
     def of(self, text: bytes) -> bytes:
@@ -72,6 +85,12 @@ class WordIds(dict):
         return b"".join([self[w] for w in text.split()])
 
 
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """The ids of words, loaded once in a Python worker and shared by its tasks."""
+    return WordIds(path)
+
+
 class Room:
     """Tournament tree over sequences: each inner node knows the most room below it."""
 
@@ -132,25 +151,28 @@ def pack(
     end = array("I", [end_id]).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer)
+        words = word_ids(tokenizer)
         task, group, tokens = TaskContext.get().partitionId(), 0, 0
         pieces: list[tuple] = []
 
-        def packed() -> pa.RecordBatch:
+        def packed() -> Iterator[pa.RecordBatch]:
             places = first_fit_decreasing([len(p[2]) // 4 for p in pieces], length)
             base = (task << 40) + (group << 20)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([p[0] for p in pieces], id_type),
-                    pa.array([p[1] for p in pieces], pa.int64()),
-                    pa.array([len(p[2]) // 4 for p in pieces], pa.int64()),
-                    pa.array([p[2] for p in pieces], pa.binary()),
-                    pa.array([p[3] for p in pieces], pa.int64()),
-                    pa.array([base + s for s, _ in places], pa.int64()),
-                    pa.array([o for _, o in places], pa.int64()),
-                ],
-                names=[doc_id, "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
-            )
+            rows = max(1, OUT_BYTES // (4 * length))
+            for first in range(0, len(pieces), rows):
+                some, at = pieces[first : first + rows], places[first : first + rows]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([p[0] for p in some], id_type),
+                        pa.array([p[1] for p in some], pa.int64()),
+                        pa.array([len(p[2]) // 4 for p in some], pa.int64()),
+                        pa.array([p[2] for p in some], pa.binary()),
+                        pa.array([p[3] for p in some], pa.int64()),
+                        pa.array([base + s for s, _ in at], pa.int64()),
+                        pa.array([o for _, o in at], pa.int64()),
+                    ],
+                    names=[doc_id, "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
+                )
 
         for batch in batches:
             id_type = batch.schema.field(0).type
@@ -161,11 +183,11 @@ def pack(
                     pieces.append((key, start, ids[4 * start : 4 * (start + length)], count))
                 tokens += count
                 if tokens >= group_tokens:
-                    yield packed()
+                    yield from packed()
                     group, tokens = group + 1, 0
                     pieces.clear()
         if pieces:
-            yield packed()
+            yield from packed()
 
     return dealt.mapInArrow(
         run,
