@@ -125,3 +125,44 @@ def test_every_block_of_a_long_text_counts_for_compression():
     whole = quality.features(raw)[at]
     for b in range(0, len(raw), 4096):
         assert quality.features(raw[:b] + "ab" * 2048 + raw[b + 4096 :])[at] < whole
+
+
+@pytest.mark.parametrize("most", [10**6, 0])
+def test_quality_learns_from_all_labelled_texts(spark, monkeypatch, most):
+    """More texts than a sample had, in several blocks, with labels sent to the tasks or joined."""
+    rng = random.Random(5)
+    texts = [("x1 |# " if i % 3 else "some words. ") * rng.randrange(1, 9) for i in range(28_000)]
+    kind = [int(rng.random() < (0.2 if i % 3 else 0.7)) for i in range(28_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS).repartition(6)
+    labels = spark.createDataFrame([(i, y, 0) for i, y in enumerate(kind)], LABELS)
+    monkeypatch.setattr("voltlog.llm.common.MOST_LABELS", most)
+    monkeypatch.setattr(quality, "BLOCK", 1000)
+    fitted = quality.fit(docs, labels, rounds=12)
+    used = sorted(r.doc_id for r in labels.where(~held_out(F.col("doc_id"))).collect())
+    assert len(used) > 20_000
+    x = np.array([quality.features(texts[i]) for i in used])
+    whole = quality.train(x, np.array([float(kind[i]) for i in used]), rounds=12)
+    assert fitted.start == whole.start and len(fitted.pairs) == len(whole.pairs)
+    for a, b in zip(fitted.edges + fitted.tables, whole.edges + whole.tables, strict=True):
+        assert np.array_equal(a, b)
+    for (i, j, a), (k, m, b) in zip(fitted.pairs, whole.pairs, strict=True):
+        assert (i, j) == (k, m) and np.array_equal(a, b)
+
+
+def test_gradients_followed_between_passes_lead_where_a_pass_per_round_does(monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.random((3000, len(quality.FEATURES)))
+    x[:, 1] = x[:, 0] + 0.1 * x[:, 1]  # features that go together
+    y = (x[:, 0] + x[:, 2] ** 2 + 0.3 * rng.random(3000) > 1).astype(float)
+    some = quality.train(x, y).score(x)
+    monkeypatch.setattr(quality, "ROUNDS_A_PASS", 1)
+    monkeypatch.setattr(quality, "PAIR_ROUNDS_A_PASS", 1)
+    assert np.abs(some - quality.train(x, y).score(x)).mean() < 0.01
+
+
+def test_bins_begin_at_quantiles_and_keep_the_order():
+    x = np.sort(np.random.default_rng(2).normal(size=5000)) * 10
+    step = quality._steps(x)
+    assert (np.diff(step) >= 0).all() and (quality._least(step) <= x).all()
+    edges = quality._edges(*np.unique(step, return_counts=True), 32)
+    assert np.abs(np.searchsorted(x, edges) - np.linspace(0, 5000, 33)[1:-1]).max() < 25
