@@ -2,17 +2,22 @@
 
 import random
 import sys
+import time
 import types
 import zlib
+from pathlib import Path
 
 import brute
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltlog.llm import components, decontaminate, jaccard, neighbours, packing, shards
+from voltlog.llm.common import stored
+from voltlog.session import scratch_folder
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 tokenizers = pytest.importorskip("tokenizers")
@@ -214,6 +219,42 @@ def test_few_candidates_for_many_classes_of_large_nodes(spark):
     assert many[300] < 8 * 300 and many[1200] < 5 * many[300]
 
 
+def test_rounds_of_nodes_meet_like_all_nodes_at_once(spark, monkeypatch):
+    texts = near_copies(3)
+    docs = spark.createDataFrame(list(texts.items()), DOCS).repartition(3)
+    whole = sorted(jaccard.join(docs, 5, 80).collect(), key=lambda r: r.id)
+    written, shuffled = [], []
+    scratch = Path(scratch_folder(spark).removeprefix("file:")).parent
+    before = {f.name for f in scratch.iterdir()}
+
+    def one_round(signed, turns, meetings=jaccard._meetings):
+        shuffled.append(turns)
+        written.append(any("keys_" in c for f in scratch.iterdir() if f.name not in before for c in columns(f)))
+        return meetings(signed, turns)
+
+    def columns(folder):
+        return [c for f in sorted(folder.glob("*.parquet"))[:1] for c in pq.read_schema(f).names]
+
+    monkeypatch.setattr(jaccard, "ROUND_SHINGLES", 1)
+    monkeypatch.setattr(jaccard, "_meetings", one_round)
+    assert sorted(jaccard.join(docs, 5, 80).collect(), key=lambda r: r.id) == whole
+    assert sorted(shuffled) == [[t] for t in range(8)] and all(written)
+    assert not any("keys_" in c for f in scratch.iterdir() if f.name not in before for c in columns(f))
+
+
+def test_what_is_stored_leaves_no_shuffle_files(spark):
+    folders = Path(spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()[0])
+    shuffles = lambda: {f.name for f in folders.rglob("shuffle_*.data")}
+    before = shuffles()
+    out = stored(spark.range(10_000).groupBy((F.col("id") % 99).alias("k")).count())
+    until = time.time() + 20
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert out.count() == 99
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
 def test_components_of_no_rows(spark):
     assert jaccard.join(spark.createDataFrame([], DOCS)).collect() == []
 
