@@ -354,6 +354,34 @@ def test_leaks_against_all_alignments(spark, monkeypatch):
     assert decontaminate.find(d.limit(0), b).collect() == [] == decontaminate.find(d, b.limit(0)).collect()
 
 
+def test_leaks_in_pieces_of_documents_against_all_alignments(spark, monkeypatch):
+    """Pieces shorter than most documents; items reach over the ends of pieces and of documents."""
+    monkeypatch.setattr(decontaminate, "PIECE", 8)
+    rng = random.Random(31)
+    words = [f"v{i}" for i in range(50)]
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(8, 14)))) for i in range(12)]
+    docs = []
+    for i in range(60):
+        w = [rng.choice(words) for _ in range(rng.randrange(0, 120))]
+        for _ in range(3):
+            at = rng.randrange(len(w) + 1)
+            w[at:at] = rng.choice(items)[1].split()
+        docs.append((i, " ".join(w[rng.randrange(4) : len(w) - rng.randrange(4)])))
+    found = decontaminate.find(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string"))
+    want = plain_leaks(docs, items)
+    assert {(r.doc_id, r.item_id, r.score, r.matched, -r.start) for r in found.collect()} == want and len(want) > 100
+
+
+def test_hits_of_a_long_document_hold_few_words(spark):
+    """50,000 hits in a document of 12,000 words; with the document's words in each it would take gigabytes."""
+    rng = random.Random(41)
+    item = [f"p{rng.randrange(10**6)}" for _ in range(100)]
+    text = " ".join(" ".join([*item, *[f"r{rng.randrange(10**6)}" for _ in range(20)]]) for _ in range(100))
+    docs = spark.createDataFrame([(i, text) for i in range(4)], DOCS)
+    found = decontaminate.find(docs, spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.start, r.matched, r.score) for r in found) == [(i, 7, 0, 100, 100) for i in range(4)]
+
+
 def test_masks_meet_every_stretch_that_scores_eight():
     """All stretches whose sums stay over zero until they reach 8, as states of a walk: last words, sum."""
     span = max(map(len, decontaminate.MASKS))
