@@ -127,6 +127,14 @@ def test_every_block_of_a_long_text_counts_for_compression():
         assert quality.features(raw[:b] + "ab" * 2048 + raw[b + 4096 :])[at] < whole
 
 
+def in_passes(x, y, rounds=120):
+    """The model that tasks learn, from rows in memory."""
+    edges = [quality._edges(*np.unique(quality._steps(c), return_counts=True), 32) for c in x.T]
+    model = quality._begin(edges, y.sum(), len(y))
+    b = model.bins(x)
+    return quality._learned(model, lambda m, kind: quality._sums(m, b, y, kind), rounds, 0.1, 6, 5.0)
+
+
 @pytest.mark.parametrize("most", [10**6, 0])
 def test_quality_learns_from_all_labelled_texts(spark, monkeypatch, most):
     """More texts than a sample had, in several blocks, with labels sent to the tasks or joined."""
@@ -141,7 +149,7 @@ def test_quality_learns_from_all_labelled_texts(spark, monkeypatch, most):
     used = sorted(r.doc_id for r in labels.where(~held_out(F.col("doc_id"))).collect())
     assert len(used) > 20_000
     x = np.array([quality.features(texts[i]) for i in used])
-    whole = quality.train(x, np.array([float(kind[i]) for i in used]), rounds=12)
+    whole = in_passes(x, np.array([float(kind[i]) for i in used]), rounds=12)
     assert fitted.start == whole.start and len(fitted.pairs) == len(whole.pairs)
     for a, b in zip(fitted.edges + fitted.tables, whole.edges + whole.tables, strict=True):
         assert np.array_equal(a, b)
@@ -154,10 +162,21 @@ def test_gradients_followed_between_passes_lead_where_a_pass_per_round_does(monk
     x = rng.random((3000, len(quality.FEATURES)))
     x[:, 1] = x[:, 0] + 0.1 * x[:, 1]  # features that go together
     y = (x[:, 0] + x[:, 2] ** 2 + 0.3 * rng.random(3000) > 1).astype(float)
-    some = quality.train(x, y).score(x)
+    some = in_passes(x, y).score(x)
+    assert ((some > 0.5) == (quality.train(x, y).score(x) > 0.5)).mean() > 0.98
     monkeypatch.setattr(quality, "ROUNDS_A_PASS", 1)
     monkeypatch.setattr(quality, "PAIR_ROUNDS_A_PASS", 1)
-    assert np.abs(some - quality.train(x, y).score(x)).mean() < 0.01
+    assert np.abs(some - in_passes(x, y).score(x)).mean() < 0.01
+
+
+def test_few_labelled_texts_are_trained_from_step_by_step(spark, labelled):
+    docs, labels = labelled
+    model = quality.fit(docs, labels, rounds=12)
+    rows = docs.join(labels.where(~held_out(F.col("doc_id"))), "doc_id").collect()
+    x, y = np.array([quality.features(r.text) for r in rows]), np.array([float(r.quality) for r in rows])
+    order = np.lexsort([*x.T, y])
+    whole = quality.train(x[order], y[order], rounds=12)
+    assert all(np.array_equal(a, b) for a, b in zip(model.edges + model.tables, whole.edges + whole.tables, strict=True))
 
 
 def test_bins_begin_at_quantiles_and_keep_the_order():

@@ -127,6 +127,60 @@ def _step(grad: np.ndarray, hess: np.ndarray, ridge: float) -> np.ndarray:
     return out
 
 
+def _shallow(g: np.ndarray, h: np.ndarray, ridge: float) -> np.ndarray:
+    """What a shallow tree adds to each cell of two features: one cut of the first, then bins of the second on either side."""
+    gi, hi = np.cumsum(g.sum(1)), np.cumsum(h.sum(1))
+    gain = gi[:-1] ** 2 / (hi[:-1] + ridge) + (gi[-1] - gi[:-1]) ** 2 / (hi[-1] - hi[:-1] + ridge)
+    cut = int(np.argmax(gain)) + 1 if len(gain) else 1
+    add = np.zeros(g.shape)
+    for part in (slice(0, cut), slice(cut, None)):
+        add[part] = _step(g[part].sum(0), h[part].sum(0), 4 * ridge)
+    return add
+
+
+def train(
+    x: np.ndarray, y: np.ndarray, bins: int = 32, rounds: int = 120, rate: float = 0.1, pairs: int = 6,
+    ridge: float = 5.0,
+) -> Model:
+    """The model of labels ``y`` (0 or 1), from rows in memory; a constant when only one label occurs."""
+    share = (y.sum() + 0.5) / (len(y) + 1.0)
+    start = float(np.log(share / (1 - share)))
+    edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) if len(x) else np.zeros(0)
+             for j in range(len(FEATURES))]
+    model = Model(start, edges, [np.zeros(len(e) + 1) for e in edges], [])
+    if len(set(y)) < 2:
+        return model
+    b = model.bins(x)
+    z = np.full(len(y), start)
+
+    def sums(index: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
+        p = 1.0 / (1.0 + np.exp(-z))
+        return np.bincount(index, y - p, cells), np.bincount(index, p * (1 - p), cells)
+
+    for _ in range(rounds):
+        for j, table in enumerate(model.tables):
+            add = rate * _step(*sums(b[:, j], len(table)), ridge)
+            table += add
+            z += add[b[:, j]]
+    gains = []
+    for i in range(len(edges)):
+        for j in range(i):
+            cells = (len(edges[i]) + 1) * (len(edges[j]) + 1)
+            g, h = sums(b[:, i] * (len(edges[j]) + 1) + b[:, j], cells)
+            gains.append((float((g**2 / (h + 4 * ridge)).sum() / cells**0.5), i, j))
+    for _, i, j in sorted(gains, reverse=True)[:pairs]:
+        model.pairs.append((i, j, np.zeros((len(edges[i]) + 1, len(edges[j]) + 1))))
+    for _ in range(rounds // 4):
+        for i, j, table in model.pairs:
+            index = b[:, i] * table.shape[1] + b[:, j]
+            add = rate * _shallow(*(s.reshape(table.shape) for s in sums(index, table.size)), ridge)
+            table += add
+            z += add[b[:, i], b[:, j]]
+    return model
+
+
+#: Rows up to this many are trained from on the driver; more stay in tasks, which pass over them.
+DRIVER_ROWS = 20_000
 #: What a row adds to a sum is rounded to this fraction, so that sums are exact in any order of the rows.
 UNIT = 1 << 24
 #: Bits of a number's 32 that name its step; quantiles are looked for among steps (relative width: a thousandth).
@@ -234,13 +288,7 @@ def _learned(
         for (_, _, table), g, h in zip(model.pairs, sums.grad, sums.hess, strict=True):
             g, h = (s.reshape(table.shape) / UNIT for s in (g, h))
             for _ in range(min(PAIR_ROUNDS_A_PASS, rounds - done)):
-                # a shallow tree: one cut of the first feature, then bins of the second on either side
-                gi, hi = np.cumsum(g.sum(1)), np.cumsum(h.sum(1))
-                gain = gi[:-1] ** 2 / (hi[:-1] + ridge) + (gi[-1] - gi[:-1]) ** 2 / (hi[-1] - hi[:-1] + ridge)
-                cut = int(np.argmax(gain)) + 1 if len(gain) else 1
-                add = np.zeros(table.shape)
-                for part in (slice(0, cut), slice(cut, None)):
-                    add[part] = rate * _step(g[part].sum(0), h[part].sum(0), 4 * ridge)
+                add = rate * _shallow(g, h, ridge)
                 table += add
                 g = g - h * add
         done += PAIR_ROUNDS_A_PASS
@@ -252,27 +300,15 @@ def _begin(edges: list[np.ndarray], ones: float, rows: float) -> Model:
     return Model(float(np.log(share / (1 - share))), edges, [np.zeros(len(e) + 1) for e in edges], [])
 
 
-def train(
-    x: np.ndarray, y: np.ndarray, bins: int = 32, rounds: int = 120, rate: float = 0.1, pairs: int = 6,
-    ridge: float = 5.0,
-) -> Model:
-    """The model of labels ``y`` (0 or 1); a constant when only one label occurs."""
-    edges = [_edges(*np.unique(_steps(x[:, j]), return_counts=True), bins) for j in range(len(FEATURES))]
-    model = _begin(edges, y.sum(), len(y))
-    if len(set(y)) < 2:
-        return model
-    b = model.bins(x)
-    return _learned(model, lambda m, kind: _sums(m, b, y, kind), rounds, rate, pairs, ridge)
-
-
 def fit(
     docs: DataFrame, labels: DataFrame, target: str = "quality", bins: int = 32, rounds: int = 120, rate: float = 0.1,
     pairs: int = 6, ridge: float = 5.0,
 ) -> Model:
-    """The model that ``train`` learns from all labelled rows that are not held out.
+    """The model, from all labelled rows that are not held out.
 
-    Their bins, 21 bytes a row, stay in written blocks that tasks pass over; the driver sees sums per cell
-    of the tables, whose number depends on the bins alone. Labels other than 0 and 1 and null ids are left out;
+    Of more than ``DRIVER_ROWS`` rows the bins, 21 bytes a row, stay in written blocks that tasks pass over; the driver
+    sees sums per cell of the tables, whose number depends on the bins alone, and boosts a few rounds from each pass.
+    Of fewer rows the numbers come to the driver, which boosts them step by step. Labels other than 0 and 1 and null ids are left out;
     without any labels every text scores one half.
     """
     rows = labelled_texts(docs, labels, target).select("text", "label")
@@ -284,6 +320,12 @@ def fit(
             yield pd.DataFrame({"x": list(x), "steps": list(_steps(x)), "label": batch["label"]})
 
     measured = stored(rows.mapInPandas(measure, "x array<double>, steps array<int>, label int"))
+    count = measured.count()
+    if count <= DRIVER_ROWS:
+        few = measured.select("x", "label").toPandas()
+        x = np.array(few["x"].tolist(), dtype=float).reshape(-1, many)
+        order = np.lexsort([*x.T, few["label"].to_numpy()])  # the same model whatever the order of rows
+        return train(x[order], few["label"].to_numpy(dtype=float)[order], bins, rounds, rate, pairs, ridge)
     found = (
         measured.select("label", F.posexplode("steps").alias("feature", "step"))
         .groupBy("feature", "step").agg(F.count(F.lit(1)).alias("many"), F.sum("label").alias("ones"))
@@ -291,7 +333,7 @@ def fit(
     )
     by_feature = [found[found["feature"] == j] for j in range(many)]
     edges = [_edges(f["step"].to_numpy(), f["many"].to_numpy(), bins) for f in by_feature]
-    count, ones = int(by_feature[0]["many"].sum()), int(by_feature[0]["ones"].sum())
+    ones = int(by_feature[0]["ones"].sum())
     model = _begin(edges, ones, count)
     if ones in (0, count):
         return model
